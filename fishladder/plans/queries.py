@@ -177,3 +177,81 @@ def q_emigration_all(spark, sf):
     hist = S.emigration_summary(juvenile_history_df(spark, sf))
     cur = S.emigration_summary(inseason_travel_df(spark, sf))
     return S.emigration_all(hist, cur)
+
+
+# --- adult passage -----------------------------------------------------------------------------
+
+from fishladder.operators import passage as P  # noqa: E402
+from fishladder.sources import lookups as L  # noqa: E402
+
+
+def history_adults_df(spark, sf) -> DataFrame:
+    day_first = H.first_per_site_day(D.detections(spark, sf))
+    return P.adult_detections(day_first, D.marks_table(spark, sf), L.ADULT_OBS_TYPES)
+
+
+def inseason_adults_df(spark, sf) -> DataFrame:
+    return P.inseason_adult_detections(D.adult_report(spark, sf), D.marks_table(spark, sf))
+
+
+def adult_complete_df(spark, sf) -> DataFrame:
+    return P.passage_tables(history_adults_df(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+                            P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR))
+
+
+def adult_inseason_df(spark, sf) -> DataFrame:
+    return P.passage_tables(inseason_adults_df(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+                            lambda df: P.inseason_filter(df, D.AS_OF))
+
+
+@query("adult_calendar")
+def q_adult_calendar(spark, sf):
+    return history_adults_df(spark, sf).select(
+        "pit_id", "obs_datetime", "obs_sitecode", "obs_type", "species", "hatchery", "release_group",
+        "release_year", "obs_year", "years_at_large", "day_of_year", "dummy_date", "spawn_year", "ocean_age")
+
+
+@query("last_passage")
+def q_last_passage(spark, sf):
+    return P.passage_events(history_adults_df(spark, sf), D.PASSAGE_SITES["Lower Granite"], per_site=False)
+
+
+@query("last_passage_site")
+def q_last_passage_site(spark, sf):
+    return P.passage_events(history_adults_df(spark, sf), D.PASSAGE_SITES["Bonneville"], per_site=True)
+
+
+@query("adult_daily")
+def q_adult_daily(spark, sf):
+    ev = P.passage_events(inseason_adults_df(spark, sf), D.PASSAGE_SITES["Lower Granite"], per_site=False)
+    return P.daily_passage(ev)
+
+
+@query("adult_inseason")
+def q_adult_inseason(spark, sf):
+    return adult_inseason_df(spark, sf)
+
+
+@query("adult_complete")
+def q_adult_complete(spark, sf):
+    return adult_complete_df(spark, sf)
+
+
+@query("adult_all_dams")
+def q_adult_all_dams(spark, sf):
+    return adult_complete_df(spark, sf).unionByName(adult_inseason_df(spark, sf))
+
+
+@query("season_dense")
+def q_season_dense(spark, sf):
+    return P.season_dense(adult_complete_df(spark, sf), L.species_max_dates_df(spark), "max_date")
+
+
+@query("season_dense_asof")
+def q_season_dense_asof(spark, sf):
+    return P.season_dense(adult_inseason_df(spark, sf), P.inseason_max_dates(spark, D.AS_OF), "inseason_max")
+
+
+@query("qa_ocean_age")
+def q_qa_ocean_age(spark, sf):
+    return S.tally(history_adults_df(spark, sf), ["species", "ocean_age"])

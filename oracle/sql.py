@@ -157,3 +157,134 @@ SQL["emigration_summary"] = with_(*JUVENILE) + summary_sql("juv")
 
 SQL["emigration_all"] = with_(*JUVENILE, V.REPORT, V.UPSTREAM, TRAVEL) + \
     summary_sql("juv") + "\nUNION ALL BY NAME\n" + summary_sql("travel")
+
+
+# --- adult passage ------------------------------------------------------------------------
+
+def calendar_cols(ts: str) -> str:
+    doy = f"dayofyear({ts})"
+    return f"""CAST({doy} AS INTEGER) AS day_of_year,
+         CASE WHEN species = 'Steelhead' AND {doy} < 183 THEN DATE '1977-01-01' + CAST({doy} AS INTEGER)
+              ELSE DATE '1976-01-01' + CAST({doy} - 1 AS INTEGER) END AS dummy_date,
+         CAST(CASE WHEN species = 'Steelhead' AND {doy} >= 183 THEN year({ts}) + 1
+                   ELSE year({ts}) END AS INTEGER) AS spawn_year"""
+
+
+ADULTS_HIST = f"""
+adults0 AS (
+  SELECT f.pit_id, f.obs_datetime, f.obs_sitecode, f.obs_type, m.species, m.hatchery, m.release_group,
+         m.release_year, f.obs_year, f.obs_year - m.release_year AS years_at_large
+  FROM fpd f JOIN marks m ON f.pit_id = m.pit_id
+  WHERE f.obs_year - m.release_year > 0 AND f.obs_type IN ('recapture', 'passive recapture', 'observation')),
+adults AS (
+  SELECT *, CAST(spawn_year - release_year - CASE WHEN species = 'Steelhead' THEN 1 ELSE 0 END AS INTEGER) AS ocean_age
+  FROM (SELECT *, {calendar_cols('obs_datetime')} FROM adults0))"""
+
+ADULTS_INSEASON = f"""
+radults0 AS (
+  SELECT l_orderkey AS pit_id, 'S' || CAST(l_linenumber AS VARCHAR) AS obs_sitecode,
+         {V.OBS_TIME} AS obs_datetime
+  FROM lineitem WHERE l_returnflag IN ('A', 'N')),
+radults1 AS (
+  SELECT r.pit_id, r.obs_sitecode, r.obs_datetime, m.species, m.hatchery, m.release_group, m.release_year,
+         CAST(year(r.obs_datetime) AS INTEGER) AS obs_year
+  FROM radults0 r JOIN marks m ON r.pit_id = m.pit_id
+  WHERE year(r.obs_datetime) - m.release_year > 0),
+radults AS (SELECT *, {calendar_cols('obs_datetime')} FROM radults1)"""
+
+HIST_ADULT_CTES = (V.MARKS, V.DET, FPD, ADULTS_HIST)
+INSEASON_ADULT_CTES = (V.MARKS, ADULTS_INSEASON)
+
+PASSAGE_SITES = {"Lower Granite": ("('S1', 'S2')", False), "Bonneville": ("('S3', 'S4', 'S5')", True),
+                 "Dworshak Ladder": ("('S7')", True)}
+
+
+def last_event_sql(src: str, sites: str, per_site: bool) -> str:
+    part = "pit_id, obs_year" + (", obs_sitecode" if per_site else "")
+    return f"""
+SELECT {part}, obs_datetime, dummy_date, spawn_year, species, hatchery FROM (
+  SELECT *, row_number() OVER (PARTITION BY {part}
+                               ORDER BY obs_datetime DESC, dummy_date DESC, spawn_year DESC,
+                                        species DESC, hatchery DESC) AS rn
+  FROM {src} WHERE obs_sitecode IN {sites} AND release_group <> 'Snake Kelts' AND obs_datetime IS NOT NULL)
+WHERE rn = 1"""
+
+
+def daily_sql(events_sql: str) -> str:
+    return f"""
+SELECT dummy_date, spawn_year, species, hatchery, daily_total,
+       CAST(sum(daily_total) OVER (PARTITION BY spawn_year, species, hatchery ORDER BY dummy_date
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total,
+       CAST(sum(daily_total) OVER (PARTITION BY spawn_year, species, hatchery) AS BIGINT) AS annual_total
+FROM (SELECT dummy_date, spawn_year, species, hatchery, count(*) AS daily_total
+      FROM ({events_sql}) GROUP BY dummy_date, spawn_year, species, hatchery)"""
+
+
+def dams_sql(src: str, where: str) -> str:
+    parts = []
+    for dam, (sites, per_site) in PASSAGE_SITES.items():
+        parts.append(f"SELECT *, '{dam}' AS dam FROM ({daily_sql(last_event_sql(src, sites, per_site))}) WHERE {where}")
+    return "\nUNION ALL\n".join(parts)
+
+
+INSEASON_SEASON = "((species = 'Chinook' AND spawn_year = 2001) OR (species = 'Steelhead' AND spawn_year = 2002))"
+
+SQL["adult_calendar"] = with_(*HIST_ADULT_CTES) + """
+SELECT pit_id, obs_datetime, obs_sitecode, obs_type, species, hatchery, release_group, release_year,
+       obs_year, years_at_large, day_of_year, dummy_date, spawn_year, ocean_age FROM adults"""
+
+SQL["last_passage"] = with_(*HIST_ADULT_CTES) + last_event_sql("adults", "('S1', 'S2')", False)
+SQL["last_passage_site"] = with_(*HIST_ADULT_CTES) + last_event_sql("adults", "('S3', 'S4', 'S5')", True)
+SQL["adult_daily"] = with_(*INSEASON_ADULT_CTES) + daily_sql(last_event_sql("radults", "('S1', 'S2')", False))
+SQL["adult_inseason"] = with_(*INSEASON_ADULT_CTES) + dams_sql("radults", INSEASON_SEASON)
+SQL["adult_complete"] = with_(*HIST_ADULT_CTES) + dams_sql("adults", "spawn_year <> 2001")
+SQL["adult_all_dams"] = with_(*HIST_ADULT_CTES, ADULTS_INSEASON) + \
+    dams_sql("adults", "spawn_year <> 2001") + "\nUNION ALL\n" + dams_sql("radults", INSEASON_SEASON)
+
+
+def dense_sql(src_sql: str, limits_sql: str, join_cols: str) -> str:
+    keys = ["species", "hatchery", "spawn_year", "dam"]
+    on = " AND ".join(f"g.{k} IS NOT DISTINCT FROM d.{k}" for k in keys)
+    co = ", ".join(f"COALESCE(g.{k}, d.{k}) AS {k}" for k in keys)
+    part = ", ".join(keys)
+    return f"""
+WITH pt AS ({src_sql}),
+lim AS ({limits_sql}),
+d AS (SELECT pt.*, lim.lim_date FROM pt LEFT JOIN lim USING ({join_cols})),
+b AS (SELECT {part}, min(dummy_date) AS lo, max(lim_date) AS hi FROM d GROUP BY {part}
+      HAVING max(lim_date) >= min(dummy_date)),
+grid AS (SELECT {part}, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS dummy_date FROM b),
+f AS (SELECT {co}, COALESCE(g.dummy_date, d.dummy_date) AS dummy_date,
+             d.daily_total, d.running_total, d.annual_total
+      FROM grid g FULL OUTER JOIN d ON {on} AND g.dummy_date = d.dummy_date)
+SELECT {part}, dummy_date, COALESCE(daily_total, 0) AS daily_total,
+  last_value(running_total IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY dummy_date
+     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total,
+  last_value(annual_total IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY dummy_date
+     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS annual_total
+FROM f"""
+
+
+MAX_DATES_SQL = """SELECT * FROM (VALUES
+  ('Chinook', 'Lower Granite', DATE '1976-07-15'), ('Steelhead', 'Lower Granite', DATE '1977-05-01'),
+  ('Chinook', 'Bonneville', DATE '1976-07-15'), ('Steelhead', 'Bonneville', DATE '1977-05-01'),
+  ('Chinook', 'Dworshak Ladder', DATE '1976-09-15'), ('Steelhead', 'Dworshak Ladder', DATE '1977-05-01'))
+  AS t(species, dam, lim_date)"""
+
+ASOF_MAX_SQL = """SELECT species,
+  CASE WHEN species = 'Steelhead' AND month(DATE '2001-07-14') < 7
+       THEN DATE '1977-01-01' + CAST(dayofyear(DATE '2001-07-14') AS INTEGER)
+       ELSE DATE '1976-01-01' + CAST(dayofyear(DATE '2001-07-14') AS INTEGER) END AS lim_date
+  FROM (VALUES ('Steelhead'), ('Chinook')) AS s(species)"""
+
+
+def _inner(ctes, body):
+    return "SELECT * FROM (" + with_(*ctes) + body + ")"
+
+
+SQL["season_dense"] = dense_sql(_inner(HIST_ADULT_CTES, dams_sql("adults", "spawn_year <> 2001")),
+                                MAX_DATES_SQL, "species, dam")
+SQL["season_dense_asof"] = dense_sql(_inner(INSEASON_ADULT_CTES, dams_sql("radults", INSEASON_SEASON)),
+                                     ASOF_MAX_SQL, "species")
+SQL["qa_ocean_age"] = with_(*HIST_ADULT_CTES) + \
+    "SELECT species, ocean_age, count(*) AS n FROM adults GROUP BY species, ocean_age"
