@@ -255,3 +255,249 @@ def q_season_dense_asof(spark, sf):
 @query("qa_ocean_age")
 def q_qa_ocean_age(spark, sf):
     return S.tally(history_adults_df(spark, sf), ["species", "ocean_age"])
+
+
+# --- window counts -----------------------------------------------------------------------------
+
+from fishladder.operators import window_counts as WC  # noqa: E402
+
+
+def window_current_df(spark, sf) -> DataFrame:
+    return WC.window_current(WC.window_daily(D.window_report(spark, sf, "current")), D.AS_OF)
+
+
+def window_finished_df(spark, sf) -> DataFrame:
+    daily = WC.window_daily(D.window_report(spark, sf, "finished"), L.WINDOW_COLUMNS_FINISHED)
+    return WC.window_finished(daily, D.AS_OF)
+
+
+def window_table_df(spark, sf) -> DataFrame:
+    return WC.window_table(window_current_df(spark, sf), window_finished_df(spark, sf))
+
+
+@query("window_long")
+def q_window_long(spark, sf):
+    return WC.window_long(D.window_report(spark, sf, "current"))
+
+
+@query("window_calendar")
+def q_window_calendar(spark, sf):
+    return WC.with_window_calendar(WC.window_long(D.window_report(spark, sf, "current")))
+
+
+@query("window_daily")
+def q_window_daily(spark, sf):
+    return WC.window_daily(D.window_report(spark, sf, "current"))
+
+
+@query("window_current")
+def q_window_current(spark, sf):
+    return window_current_df(spark, sf)
+
+
+@query("window_finished")
+def q_window_finished(spark, sf):
+    return window_finished_df(spark, sf)
+
+
+@query("window_all")
+def q_window_all(spark, sf):
+    return window_table_df(spark, sf)
+
+
+# --- gauges ------------------------------------------------------------------------------------
+
+from fishladder.operators import gauges as G  # noqa: E402
+
+
+def gauge_year_df(spark, sf) -> DataFrame:
+    return G.gauge_year(D.gauge_daily_raw(spark, sf), D.gauge_sites(spark), D.AS_OF_EVENTS)
+
+
+@query("gauge_year")
+def q_gauge_year(spark, sf):
+    return gauge_year_df(spark, sf)
+
+
+@query("gauge_latest")
+def q_gauge_latest(spark, sf):
+    return G.latest_reading(gauge_year_df(spark, sf))
+
+
+# --- chunks and data-quality tallies -----------------------------------------------------------------
+
+from fishladder.operators import chunks as C  # noqa: E402
+
+
+@query("tag_chunks")
+def q_tag_chunks(spark, sf):
+    return C.tag_chunks(D.marks_table(spark, sf))
+
+
+@query("qa_release_sites")
+def q_qa_release_sites(spark, sf):
+    return S.tally(D.marks(spark, sf), ["release_site", "release_date"])
+
+
+@query("qa_life_stage")
+def q_qa_life_stage(spark, sf):
+    return S.tally(D.marks(spark, sf), ["mark_lifestage"])
+
+
+@query("qa_release_tally")
+def q_qa_release_tally(spark, sf):
+    return R.release_tally(D.marks(spark, sf))
+
+
+@query("qa_inseason_release")
+def q_qa_inseason_release(spark, sf):
+    return S.tally(inseason_travel_df(spark, sf), ["species", "hatchery", "release_sitecode", "release_date"])
+
+
+# --- dashboard ------------------------------------------------------------------------------------
+
+from fishladder.plans import dashboard as B  # noqa: E402
+
+HATCH = D.HATCHERY_ROLES
+ADULT_FIRST_YEAR = 1999
+
+
+def juveniles_df(spark, sf, species="Chinook") -> DataFrame:
+    return B.juveniles(inseason_travel_df(spark, sf), species, hatchery=HATCH["DWOR"])
+
+
+def adult_bind_df(spark, sf) -> DataFrame:
+    complete = P.season_dense(adult_complete_df(spark, sf), L.species_max_dates_df(spark), "max_date")
+    inseason = P.season_dense(adult_inseason_df(spark, sf), P.inseason_max_dates(spark, D.AS_OF), "inseason_max")
+    return B.adult_bind(complete, inseason, ADULT_FIRST_YEAR)
+
+
+def adults_sel(spark, sf) -> DataFrame:
+    return B.adults(adult_bind_df(spark, sf), "Lower Granite", "Steelhead", (1999, 2002))
+
+
+def window_sel(spark, sf) -> DataFrame:
+    return B.window_selection(WC.dashboard_window(window_table_df(spark, sf)), 1999, "Summer Chinook",
+                              "Lower Granite")
+
+
+@query("group_kde")
+def q_group_kde(spark, sf):
+    return B.arrival_density(juveniles_df(spark, sf, "Steelhead"), inseason_travel_df(spark, sf),
+                             "Steelhead", "LGR")
+
+
+@query("timing_summary")
+def q_timing_summary(spark, sf):
+    return B.timing_summary(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR")
+
+
+@query("b01")
+def q_b01(spark, sf):
+    return juveniles_df(spark, sf, "Chinook")
+
+
+@query("b01_steelhead")
+def q_b01_steelhead(spark, sf):
+    return juveniles_df(spark, sf, "Steelhead")
+
+
+@query("b02")
+def q_b02(spark, sf):
+    return B.tag_count(juveniles_df(spark, sf, "Chinook"), HATCH["DWOR"])
+
+
+@query("b03")
+def q_b03(spark, sf):
+    return B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR")
+
+
+@query("b04")
+def q_b04(spark, sf):
+    return B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN")
+
+
+@query("b04_lines")
+def q_b04_lines(spark, sf):
+    return B.timing_summary(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN")
+
+
+@query("b05")
+def q_b05(spark, sf):
+    return adults_sel(spark, sf)
+
+
+@query("b06")
+def q_b06(spark, sf):
+    return B.adult_ytd(adults_sel(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
+
+
+@query("b07")
+def q_b07(spark, sf):
+    return B.adult_last_week(adults_sel(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
+
+
+@query("b08")
+def q_b08(spark, sf):
+    return B.adult_daily_series(adults_sel(spark, sf))
+
+
+@query("b09")
+def q_b09(spark, sf):
+    return B.adult_cumulative_series(adults_sel(spark, sf), D.AS_OF)
+
+
+@query("b10")
+def q_b10(spark, sf):
+    return window_sel(spark, sf)
+
+
+@query("b11")
+def q_b11(spark, sf):
+    return B.window_ytd(window_sel(spark, sf))
+
+
+@query("b12")
+def q_b12(spark, sf):
+    return B.window_last_week(window_sel(spark, sf), D.AS_OF)
+
+
+@query("b13")
+def q_b13(spark, sf):
+    return B.window_daily_series(window_sel(spark, sf), L.window_plot_limits_df(spark))
+
+
+@query("b14")
+def q_b14(spark, sf):
+    return B.window_cumulative_series(window_sel(spark, sf), L.window_plot_limits_df(spark), D.AS_OF)
+
+
+def emigration_all_df(spark, sf) -> DataFrame:
+    return S.emigration_all(S.emigration_summary(juvenile_history_df(spark, sf)),
+                            S.emigration_summary(inseason_travel_df(spark, sf)))
+
+
+@query("b15")
+def q_b15(spark, sf):
+    return B.emigration_comparison(emigration_all_df(spark, sf), "Chinook", (1997, 2001))
+
+
+@query("b16")
+def q_b16(spark, sf):
+    return B.comparison_series(B.emigration_comparison(emigration_all_df(spark, sf), "Steelhead", (1997, 2001)))
+
+
+@query("b17")
+def q_b17(spark, sf):
+    return B.gauge_panel(gauge_year_df(spark, sf), "Clearwater (Peck)")
+
+
+@query("b18")
+def q_b18(spark, sf):
+    return B.gauge_series(gauge_year_df(spark, sf), "Clearwater (Peck)")
+
+
+@query("b19")
+def q_b19(spark, sf):
+    return B.control_limits(adult_bind_df(spark, sf), WC.dashboard_window(window_table_df(spark, sf)),
+                            emigration_all_df(spark, sf), gauge_year_df(spark, sf), D.AS_OF)

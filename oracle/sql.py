@@ -288,3 +288,301 @@ SQL["season_dense_asof"] = dense_sql(_inner(INSEASON_ADULT_CTES, dams_sql("radul
                                      ASOF_MAX_SQL, "species")
 SQL["qa_ocean_age"] = with_(*HIST_ADULT_CTES) + \
     "SELECT species, ocean_age, count(*) AS n FROM adults GROUP BY species, ocean_age"
+
+
+# --- window counts ------------------------------------------------------------------------
+
+WINDOW_CURRENT_SPECIES = ["Chinook", "Jack_Chinook", "Steelhead", "Wild_Steelhead", "Sockeye", "Coho",
+                          "Jack_Coho", "Shad", "Lamprey_Day", "Lamprey_Night", "Bull Trout", "Chum", "Pink"]
+WINDOW_FINISHED_SPECIES = ["Chinook", "Jack_Chinook", "Steelhead", "Wild_Steelhead", "Sockeye", "Coho",
+                           "Jack_Coho", "Shad", "Lamprey", "Bull Trout", "Chum", "Pink"]
+
+WREP = """
+wrep AS (
+  SELECT CASE o_orderstatus WHEN 'F' THEN 'Lower Granite' WHEN 'O' THEN 'Bonneville'
+                            WHEN 'P' THEN 'Little Goose' END AS dam,
+         CAST(o_orderdate AS DATE) AS date,
+         avg(o_totalprice) / 10000.0 AS temp,
+         CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '1'), 0) AS DOUBLE) AS c_chin,
+         CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '2'), 0) AS DOUBLE) AS c_jchin,
+         CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '3'), 0) AS DOUBLE) AS c_sthd,
+         CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '4'), 0) AS DOUBLE) AS c_wsthd,
+         CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '5'), 0) AS DOUBLE) AS c_coho
+  FROM orders GROUP BY 1, 2)"""
+
+
+def wlong(name: str, species: list) -> str:
+    vals = ", ".join(f"('{s}')" for s in species)
+    return f"""
+{name}_0 AS (
+  SELECT w.dam, w.date, CAST(year(w.date) AS INTEGER) AS year, w.temp, s.sp AS sp0,
+         CASE s.sp WHEN 'Chinook' THEN w.c_chin WHEN 'Jack_Chinook' THEN w.c_jchin
+                   WHEN 'Steelhead' THEN w.c_sthd WHEN 'Wild_Steelhead' THEN w.c_wsthd
+                   WHEN 'Coho' THEN w.c_coho ELSE CAST(NULL AS DOUBLE) END AS count,
+         CASE WHEN month(w.date) BETWEEN 3 AND 5 THEN 'Spring' WHEN month(w.date) BETWEEN 6 AND 7 THEN 'Summer'
+              WHEN month(w.date) BETWEEN 8 AND 11 THEN 'Fall' END AS run_type
+  FROM wrep w CROSS JOIN (VALUES {vals}) AS s(sp)),
+{name}_1 AS (
+  SELECT dam, date, year, run_type, temp, count,
+         CASE WHEN sp0 IN ('Jack_Chinook', 'Jack_Coho') THEN 'Jack' WHEN sp0 IN ('Chinook', 'Coho') THEN 'Adult'
+              ELSE 'All' END AS life_stage,
+         CASE WHEN sp0 = 'Wild_Steelhead' THEN 'Wild' ELSE 'All' END AS origin,
+         CASE WHEN sp0 IN ('Wild_Steelhead', 'Jack_Chinook', 'Jack_Coho') THEN split_part(sp0, '_', 2)
+              ELSE sp0 END AS sp1
+  FROM {name}_0),
+{name} AS (
+  SELECT dam, date, year, run_type, temp,
+         CASE WHEN sp1 = 'Chinook' THEN run_type || ' ' || sp1 ELSE sp1 END AS species,
+         count, life_stage, origin
+  FROM {name}_1),
+{name}_cal AS (
+  SELECT *, make_date(year(date), 7, 1) AS july_first,
+         CASE WHEN species = 'Steelhead' AND date < make_date(year(date), 7, 1)
+              THEN try_cast('1977-' || strftime(date, '%m-%d') AS DATE)
+              ELSE try_cast('1976-' || strftime(date, '%m-%d') AS DATE) END AS dummy_date,
+         CAST(CASE WHEN species = 'Steelhead' AND date >= make_date(year(date), 7, 1) THEN year(date) + 1
+                   ELSE year(date) END AS INTEGER) AS spawn_year
+  FROM {name}),
+{name}_run AS (
+  SELECT dam, date, year, run_type, temp, species, COALESCE(count, 0) AS count, life_stage, origin,
+         july_first, dummy_date, spawn_year,
+         sum(COALESCE(count, 0)) OVER (PARTITION BY spawn_year, dam, species, life_stage, origin
+             ORDER BY dummy_date NULLS LAST, date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total,
+         sum(COALESCE(count, 0)) OVER (PARTITION BY spawn_year, dam, species, life_stage, origin) AS annual_total
+  FROM {name}_cal)"""
+
+
+CUR_SY = """
+cur_sy AS (SELECT sp AS species, CAST(CASE WHEN sp = 'Steelhead' AND dayofyear(DATE '2001-07-15') >= 183
+                                           THEN 2002 ELSE 2001 END AS INTEGER) AS cur_year
+           FROM (VALUES ('Steelhead'), ('Chinook'), ('Bull Trout'), ('Chum'), ('Coho'), ('Lamprey_Day'),
+                        ('Lamprey_Night'), ('Pink'), ('Shad'), ('Sockeye'), ('Spring Chinook'),
+                        ('Summer Chinook'), ('Fall Chinook')) AS s(sp))"""
+
+WCOLS = ("dam, date, year, run_type, temp, species, count, life_stage, origin, july_first, dummy_date, "
+         "spawn_year, running_total, annual_total")
+WINDOW_ALL = WREP + "," + wlong("wc", WINDOW_CURRENT_SPECIES) + "," + wlong("wf", WINDOW_FINISHED_SPECIES) \
+    + "," + CUR_SY + f""",
+wcur AS (SELECT r.* FROM wc_run r JOIN cur_sy c ON r.species = c.species AND r.spawn_year = c.cur_year),
+wfin AS (SELECT * FROM wf_run WHERE year(date) < 2001
+            OR (species = 'Steelhead' AND year(date) = 2001 AND date < july_first)),
+wall AS (SELECT {WCOLS} FROM wcur UNION ALL SELECT {WCOLS} FROM wfin),
+wdash AS (SELECT * FROM wall WHERE NOT (species = 'Steelhead' AND origin = 'Wild') AND life_stage <> 'Jack')"""
+
+SQL["window_long"] = with_(WREP, wlong("wc", WINDOW_CURRENT_SPECIES)) + "SELECT * FROM wc"
+SQL["window_calendar"] = with_(WREP, wlong("wc", WINDOW_CURRENT_SPECIES)) + "SELECT * FROM wc_cal"
+SQL["window_daily"] = with_(WREP, wlong("wc", WINDOW_CURRENT_SPECIES)) + "SELECT * FROM wc_run"
+SQL["window_current"] = with_(WINDOW_ALL) + "SELECT * FROM wcur"
+SQL["window_finished"] = with_(WINDOW_ALL) + "SELECT * FROM wfin"
+SQL["window_all"] = with_(WINDOW_ALL) + "SELECT * FROM wall"
+
+# --- gauges ---------------------------------------------------------------------------------
+
+GAUGE = """
+graw AS (SELECT event_type AS sitenumber, CAST(ts AS DATE) AS date, avg(value) AS mean_temp,
+                sum(value) AS mean_discharge
+         FROM events GROUP BY event_type, CAST(ts AS DATE)),
+gsites AS (SELECT * FROM (VALUES ('Clearwater (Peck)', 'click'), ('Clearwater (Orofino)', 'error'),
+                                 ('Lolo Creek', 'purchase'), ('SF Clearwater', 'signup'), ('Selway', 'view'))
+           AS t(name, sitenumber)),
+gauge AS (SELECT g.sitenumber, g.date, g.mean_temp, g.mean_discharge, CAST(year(g.date) AS INTEGER) AS year,
+                 s.name, g.sitenumber AS "group"
+          FROM graw g LEFT JOIN gsites s ON g.sitenumber = s.sitenumber
+          WHERE g.date >= DATE '2023-01-30'),
+glatest AS (
+  SELECT name, date, sitenumber, mean_temp, mean_discharge, round_even(mean_temp * 9.0 / 5.0 + 32.0, 1) AS mean_temp_f
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY date DESC, sitenumber DESC,
+                                     mean_temp DESC, mean_discharge DESC) AS rn FROM gauge WHERE date IS NOT NULL)
+  WHERE rn = 1)"""
+
+SQL["gauge_year"] = with_(GAUGE) + "SELECT * FROM gauge"
+SQL["gauge_latest"] = with_(GAUGE) + "SELECT * FROM glatest"
+
+# --- chunks and tallies ------------------------------------------------------------------------
+
+SQL["tag_chunks"] = with_(V.MARKS0) + """
+SELECT CAST(floor((row_number() OVER (ORDER BY pit_id) - 1) / 10000) + 1 AS INTEGER) AS chunk, pit_id FROM marks0"""
+SQL["qa_release_sites"] = with_(V.MARKS0) + \
+    "SELECT release_site, release_date, count(*) AS n FROM marks0 GROUP BY release_site, release_date"
+SQL["qa_life_stage"] = with_(V.MARKS0) + "SELECT mark_lifestage, count(*) AS n FROM marks0 GROUP BY mark_lifestage"
+SQL["qa_release_tally"] = with_(V.MARKS0) + """
+SELECT hatchery, species, release_sitecode, release_date, count(*) AS n,
+       CAST(year(release_date) AS INTEGER) AS release_year,
+       CAST(row_number() OVER (PARTITION BY hatchery, species, release_sitecode, year(release_date)
+                               ORDER BY release_date NULLS LAST) AS INTEGER) AS release_order
+FROM marks0 GROUP BY hatchery, species, release_sitecode, release_date"""
+SQL["qa_inseason_release"] = with_(*INSEASON_TRAVEL) + """
+SELECT species, hatchery, release_sitecode, CAST(release_date AS TIMESTAMP) AS release_date, count(*) AS n
+FROM travel GROUP BY species, hatchery, release_sitecode, CAST(release_date AS TIMESTAMP)"""
+
+# --- dashboard ----------------------------------------------------------------------------------
+
+TRAVEL_TS = """
+travel_ts AS (SELECT * REPLACE (CAST(release_date AS TIMESTAMP) AS release_date) FROM travel)"""
+CHINOOK_SEL = f"""
+sel AS (SELECT * FROM travel_ts WHERE species = 'Chinook'
+          AND release_group IN ('{NF} Early', '{NF} Late', 'Kooskia'))"""
+STEELHEAD_SEL = """
+sel AS (SELECT * FROM travel_ts WHERE species = 'Steelhead' AND hatchery = 'BUILDING')"""
+
+
+def juv_ctes(sel: str):
+    return INSEASON_TRAVEL + (TRAVEL_TS, sel)
+
+
+SQL["b01"] = with_(*juv_ctes(CHINOOK_SEL)) + f"SELECT {V.history_select()} FROM sel"
+SQL["b01_steelhead"] = with_(*juv_ctes(STEELHEAD_SEL)) + f"SELECT {V.history_select()} FROM sel"
+SQL["b02"] = with_(*juv_ctes(CHINOOK_SEL)) + """
+SELECT min(species) AS selected_species, count(*) FILTER (WHERE hatchery = 'BUILDING') AS tag_count,
+       'Number Tagged: ' || format('{:,}', count(*) FILTER (WHERE hatchery = 'BUILDING')) AS tag_label
+FROM sel"""
+
+
+def timing_sql(species: str, dam: str) -> str:
+    return f"""
+, arr AS (SELECT * FROM sel WHERE {dam} IS NOT NULL),
+g AS (SELECT hatchery, release_group, min(release_date) AS release_date, median({dam}) AS median_arrival
+      FROM arr GROUP BY hatchery, release_group),
+lim AS (SELECT (SELECT min(release_date) FROM arr) - INTERVAL 2 DAY AS xmin,
+               (SELECT max({dam}) FROM travel_ts WHERE species = '{species}') + INTERVAL 7 DAY AS xmax)
+SELECT g.hatchery, g.release_group, g.release_date, g.median_arrival,
+       CAST(floor((epoch(g.median_arrival) - epoch(g.release_date)) / 86400.0) AS BIGINT) AS travel_days,
+       lim.xmin, lim.xmax
+FROM g, lim"""
+
+
+def density_sql(species: str, dam: str) -> str:
+    return f"""
+, arr AS (SELECT * FROM sel WHERE {dam} IS NOT NULL),
+lim AS (SELECT epoch((SELECT min(release_date) FROM arr) - INTERVAL 2 DAY) / 86400.0 AS lo,
+               epoch((SELECT max({dam}) FROM travel_ts WHERE species = '{species}') + INTERVAL 7 DAY) / 86400.0 AS hi),
+pts AS (SELECT a.hatchery, a.release_group, epoch(a.{dam}) / 86400.0 AS x
+        FROM arr a, lim WHERE epoch(a.{dam}) / 86400.0 BETWEEN lim.lo AND lim.hi),
+st AS (SELECT hatchery, release_group, count(*) AS n, stddev_samp(x) AS sd, quantile_cont(x, 0.25) AS q1,
+              quantile_cont(x, 0.75) AS q3, min(x) AS x1
+       FROM pts GROUP BY hatchery, release_group HAVING count(*) >= 2),
+bw AS (SELECT *, 0.5 * 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
+                                  WHEN sd > 0 THEN sd WHEN abs(x1) > 0 THEN abs(x1) ELSE 1.0 END)
+                   * pow(n, -0.2) AS bw
+       FROM st),
+grid AS (SELECT b.hatchery, b.release_group, b.n, b.bw, p.point,
+                lim.lo + p.point * (lim.hi - lim.lo) / 511 AS gx
+         FROM bw b, lim, range(512) AS p(point))
+SELECT g.hatchery, g.release_group, CAST(g.point AS INTEGER) AS point, g.gx AS x,
+       COALESCE(sum(exp(-0.5 * ((g.gx - p.x) / g.bw) * ((g.gx - p.x) / g.bw))) / (g.n * g.bw * sqrt(2 * pi())), 0.0)
+         AS density
+FROM grid g LEFT JOIN pts p ON g.hatchery IS NOT DISTINCT FROM p.hatchery
+                            AND g.release_group IS NOT DISTINCT FROM p.release_group
+GROUP BY g.hatchery, g.release_group, g.point, g.gx, g.n, g.bw"""
+
+
+SQL["timing_summary"] = with_(*juv_ctes(CHINOOK_SEL)).rstrip() + timing_sql("Chinook", "LGR")
+SQL["b04_lines"] = with_(*juv_ctes(CHINOOK_SEL)).rstrip() + timing_sql("Chinook", "BONN")
+SQL["b03"] = with_(*juv_ctes(CHINOOK_SEL)).rstrip() + density_sql("Chinook", "LGR")
+SQL["b04"] = with_(*juv_ctes(CHINOOK_SEL)).rstrip() + density_sql("Chinook", "BONN")
+SQL["group_kde"] = with_(*juv_ctes(STEELHEAD_SEL)).rstrip() + density_sql("Steelhead", "LGR")
+
+ADULT_BIND = "SELECT * FROM (" + \
+    "SELECT * FROM (" + SQL["season_dense"] + ") UNION ALL SELECT * FROM (" + SQL["season_dense_asof"] + ")" + \
+    ") WHERE spawn_year >= 1999"
+B05 = f"""SELECT * FROM ({ADULT_BIND})
+WHERE dam = 'Lower Granite' AND species = 'Steelhead' AND spawn_year BETWEEN 1999 AND 2002"""
+HATCHERIES = "('BUILDING', 'FURNITURE', 'MACHINERY')"
+
+SQL["b05"] = B05
+SQL["b06"] = f"""
+SELECT hatchery, annual_total, hatchery || ': ' || CAST(annual_total AS VARCHAR) AS label FROM (
+  SELECT *, row_number() OVER (PARTITION BY hatchery ORDER BY running_total DESC, annual_total DESC,
+                                                              dummy_date DESC) AS rn
+  FROM ({B05}) WHERE spawn_year = 2002 AND hatchery IN {HATCHERIES} AND running_total IS NOT NULL)
+WHERE rn = 1"""
+SQL["b07"] = f"""
+SELECT hatchery, CAST(sum(daily_total) AS BIGINT) AS new_count FROM ({B05})
+WHERE spawn_year = 2002 AND hatchery IN {HATCHERIES}
+  AND dayofyear(dummy_date) >= dayofyear(DATE '2001-07-08') AND dayofyear(dummy_date) <= dayofyear(DATE '2001-07-15')
+GROUP BY hatchery"""
+SQL["b08"] = f"""
+SELECT hatchery, spawn_year, dummy_date, daily_total,
+       ' Date: ' || strftime(dummy_date, '%B %d') || ' <br> Number Passed: ' || CAST(daily_total AS VARCHAR) AS label
+FROM ({B05})"""
+SQL["b09"] = f"""
+SELECT hatchery, spawn_year, dummy_date, running_total,
+       CASE WHEN spawn_year = CASE species WHEN 'Steelhead' THEN 2002 WHEN 'Chinook' THEN 2001 END
+            THEN 'Current' ELSE 'Previous' END AS yr_category
+FROM ({B05})"""
+
+W_SEL = """
+wsel AS (SELECT * FROM wdash WHERE spawn_year >= 1999 AND spawn_year <= (SELECT max(spawn_year) FROM wdash)
+                              AND species = 'Summer Chinook' AND dam = 'Lower Granite')"""
+WLIMITS = """
+wlim AS (SELECT * FROM (VALUES
+  ('Bonneville', 'Coho', DATE '1976-08-01', DATE '1976-12-31'),
+  ('Lower Granite', 'Coho', DATE '1976-09-01', DATE '1976-12-31'),
+  ('Bonneville', 'Spring Chinook', DATE '1976-03-14', DATE '1976-06-01'),
+  ('Lower Granite', 'Spring Chinook', DATE '1976-04-14', DATE '1976-06-17'),
+  ('Bonneville', 'Summer Chinook', DATE '1976-05-31', DATE '1976-08-02'),
+  ('Lower Granite', 'Summer Chinook', DATE '1976-06-16', DATE '1976-08-17'),
+  ('Bonneville', 'Fall Chinook', DATE '1976-08-01', DATE '1976-11-15'),
+  ('Lower Granite', 'Fall Chinook', DATE '1976-08-16', DATE '1976-12-15'),
+  ('Bonneville', 'Sockeye', DATE '1976-06-01', DATE '1976-08-10'),
+  ('Lower Granite', 'Sockeye', DATE '1976-06-15', DATE '1976-10-15'),
+  ('Bonneville', 'Steelhead', DATE '1976-07-01', DATE '1976-12-01'),
+  ('Lower Granite', 'Steelhead', DATE '1976-07-01', DATE '1977-06-01')) AS t(dam, species, min_date, max_date))"""
+WCTES = (WINDOW_ALL, W_SEL, WLIMITS)
+
+SQL["b10"] = with_(*WCTES) + "SELECT * FROM wsel"
+SQL["b11"] = with_(*WCTES) + """
+SELECT date, dam, running_total, dam || ': ' || format('{:,}', CAST(running_total AS BIGINT)) AS label FROM (
+  SELECT *, row_number() OVER (ORDER BY date DESC, dam DESC, running_total DESC) AS rn
+  FROM wsel WHERE date IS NOT NULL) WHERE rn = 1"""
+SQL["b12"] = with_(*WCTES) + \
+    "SELECT dam, sum(count) AS lw_total FROM wsel WHERE date >= DATE '2001-07-08' GROUP BY dam"
+SQL["b13"] = with_(*WCTES) + """
+SELECT s.dam, s.species, s.spawn_year, s.date, s.dummy_date, s.count
+FROM wsel s JOIN wlim l ON s.dam = l.dam AND s.species = l.species
+WHERE s.spawn_year = (SELECT max(spawn_year) FROM wsel)
+  AND s.dummy_date > l.min_date AND s.dummy_date < l.max_date"""
+SQL["b14"] = with_(*WCTES) + """
+SELECT s.dam, s.species, s.spawn_year, s.date, s.dummy_date, s.running_total,
+       CASE WHEN s.spawn_year = c.cur_year THEN 'Current' ELSE 'Previous' END AS yr_category
+FROM wsel s JOIN wlim l ON s.dam = l.dam AND s.species = l.species
+LEFT JOIN cur_sy c ON s.species = c.species
+WHERE s.dummy_date > l.min_date AND s.dummy_date < l.max_date"""
+
+EMIG_ALL = "(" + SQL["emigration_all"] + ")"
+SQL["b15"] = f"""
+SELECT * FROM {EMIG_ALL}
+WHERE release_year BETWEEN 1997 AND 2001 AND species = 'Chinook'
+  AND (release_group IS NULL OR release_group NOT IN ('Powell', 'Red River', 'Selway River', 'Clear Creek'))"""
+
+
+def _cmp_label(col: str, dam: str) -> str:
+    return (f"' Release Year: ' || CAST(release_year AS VARCHAR) || ' <br> Release Dates: ' || earliest_release "
+            f"|| ' - ' || latest_release || ' <br> Median Travel Time to {dam}: ' || CAST({col} AS VARCHAR) || ' days'")
+
+
+SQL["b16"] = f"""
+SELECT hatchery, release_year, release_group, median_lgr, median_bonn,
+       {_cmp_label('median_lgr', 'LGR')} AS lgr_label, {_cmp_label('median_bonn', 'BONN')} AS bonn_label
+FROM {EMIG_ALL}
+WHERE release_year BETWEEN 1997 AND 2001 AND species = 'Steelhead'
+  AND (release_group IS NULL OR release_group NOT IN ('Meadow Creek', 'Snake Kelts', 'Newsome Creek'))"""
+
+SQL["b17"] = with_(GAUGE) + """
+SELECT name, date, mean_discharge, mean_temp, round_even(mean_temp * 9.0 / 5.0 + 32.0, 1) AS mean_temp_f,
+       'Discharge: ' || format('{:,.0f}', mean_discharge) || ' CFS' AS discharge_label
+FROM (SELECT *, row_number() OVER (ORDER BY date DESC, sitenumber DESC, mean_temp DESC, mean_discharge DESC) AS rn
+      FROM gauge WHERE name = 'Clearwater (Peck)' AND date IS NOT NULL) WHERE rn = 1"""
+SQL["b18"] = with_(GAUGE) + """
+SELECT "group", date, mean_discharge, mean_temp, round_even(mean_temp * 9.0 / 5.0 + 32.0, 1) AS mean_temp_f
+FROM gauge WHERE name = 'Clearwater (Peck)'"""
+
+SQL["b19"] = f"""
+SELECT a.*, w.*, s.*, g.*, 'Chinook' AS default_adult_species,
+       DATE '2001-01-01' AS min_date, DATE '2001-03-01' AS min_range_date
+FROM (SELECT min(spawn_year) AS adult_min_sy, max(spawn_year) AS adult_max_sy FROM ({ADULT_BIND})) a,
+     ({with_(WINDOW_ALL)} SELECT min(spawn_year) AS window_min_sy, max(spawn_year) - 1 AS window_max_sy,
+              max(spawn_year) - 10 AS window_default_sy FROM wdash) w,
+     (SELECT min(release_year) AS release_min_year, max(release_year) AS release_max_year,
+             max(release_year) - 5 AS release_default_from FROM {EMIG_ALL}) s,
+     ({with_(GAUGE)} SELECT array_to_string(list_sort(list_distinct(list(name))), ', ') AS gauge_sites FROM gauge) g"""
