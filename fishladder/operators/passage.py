@@ -131,3 +131,35 @@ def season_dense(daily: DataFrame, limits: DataFrame, limit_col: str, keys=None)
     dense = dense.withColumn("daily_total", F.coalesce("daily_total", F.lit(0).cast("long")))
     out = carry_forward(dense, keys, ["dummy_date"], ["running_total", "annual_total"])
     return out.select(*keys, "dummy_date", "daily_total", "running_total", "annual_total")
+
+
+def passage_tables_reduced(det: DataFrame, marks: DataFrame, sites_by_dam: dict, per_site_by_dam: dict,
+                           season_filter, obs_types=None, kelt_group: str = L.KELT_GROUP) -> DataFrame:
+    """D20-D23 for all dams in one pass, detections reduced before the join.
+
+    Every filter between the raw rows and the "last detection" pick is
+    either per row (site, event type) or per tag-year (years at large,
+    release group), so the pick commutes with them. Detections at passage
+    sites are tagged with their dam (literal site table, broadcast) and
+    reduced to the last one per (dam, tag, year[, site]) by one
+    map-side-combined aggregation; only those rows meet the marks table.
+    All dams share the scan, the reduction, the join and the daily windows.
+    """
+    spark = det.sparkSession
+    site_dam = spark.createDataFrame(
+        [(site, dam, bool(per_site_by_dam[dam])) for dam, sites in sites_by_dam.items() for site in sites],
+        "obs_sitecode string, dam string, _per_site boolean")
+    d = det if obs_types is None else det.where(F.col("obs_type").isin(list(obs_types)))
+    d = (d.join(F.broadcast(site_dam), "obs_sitecode")
+          .withColumn("obs_year", F.year("obs_datetime"))
+          .withColumn("_site_key", F.when(F.col("_per_site"), F.col("obs_sitecode"))))
+    ev = last_by(d, ["dam", "pit_id", "obs_year", "_site_key"], ["obs_datetime"], [])
+    m = marks.select(F.col("pit_id").alias("_pid"), "hatchery", "species", "release_date", "release_group")
+    j = (ev.join(m, F.col("pit_id") == F.col("_pid"), "inner").drop("_pid")
+           .where((F.col("obs_year") - F.year("release_date") > 0) & (F.col("release_group") != kelt_group)))
+    dummy, spawn = adult_calendar("species", "obs_datetime")
+    j = j.withColumn("dummy_date", dummy).withColumn("spawn_year", spawn)
+    daily = j.groupBy("dam", "dummy_date", *ADULT_DAILY_KEYS).agg(F.count(F.lit(1)).alias("daily_total"))
+    daily = running_totals(daily, ["dam"] + ADULT_DAILY_KEYS, ["dummy_date"], "daily_total")
+    return season_filter(daily).select("dummy_date", "spawn_year", "species", "hatchery",
+                                       "daily_total", "running_total", "annual_total", "dam")

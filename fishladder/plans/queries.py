@@ -195,13 +195,15 @@ def inseason_adults_df(spark, sf) -> DataFrame:
 
 
 def adult_complete_df(spark, sf) -> DataFrame:
-    return P.passage_tables(history_adults_df(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
-                            P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR))
+    day_first = H.first_per_site_day(D.detections(spark, sf))
+    return P.passage_tables_reduced(day_first, D.marks_table(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+                                    P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR), obs_types=L.ADULT_OBS_TYPES)
 
 
 def adult_inseason_df(spark, sf) -> DataFrame:
-    return P.passage_tables(inseason_adults_df(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
-                            lambda df: P.inseason_filter(df, D.AS_OF))
+    rep = D.adult_report(spark, sf).where(F.col("report_species") != "Coho")
+    return P.passage_tables_reduced(rep, D.marks_table(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+                                    lambda df: P.inseason_filter(df, D.AS_OF))
 
 
 @query("adult_calendar")

@@ -113,11 +113,11 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
     adults_hist = save("adult_detections", P.adult_detections(day_first, marks, L.ADULT_OBS_TYPES), "spawn_year")
     drop = inp.drop_spawn_year if inp.drop_spawn_year is not None else inp.as_of.year
     per_site = {d: L.PASSAGE_PER_SITE.get(d, True) for d in inp.passage_sites}
-    complete = save("adult_complete", P.passage_tables(adults_hist, inp.passage_sites, per_site,
-                                                       P.complete_filter(drop)))
-    inseason = save("adult_inseason", P.passage_tables(P.inseason_adult_detections(inp.adult_report, marks),
-                                                       inp.passage_sites, per_site,
-                                                       lambda df: P.inseason_filter(df, inp.as_of)))
+    complete = save("adult_complete", P.passage_tables_reduced(day_first, marks, inp.passage_sites, per_site,
+                                                               P.complete_filter(drop), obs_types=L.ADULT_OBS_TYPES))
+    rep = inp.adult_report.where(F.col("report_species") != "Coho")
+    inseason = save("adult_inseason", P.passage_tables_reduced(rep, marks, inp.passage_sites, per_site,
+                                                               lambda df: P.inseason_filter(df, inp.as_of)))
     save("adult_complete_dense", P.season_dense(complete, L.species_max_dates_df(spark), "max_date"))
     save("adult_inseason_dense", P.season_dense(inseason, P.inseason_max_dates(spark, inp.as_of), "inseason_max"))
 

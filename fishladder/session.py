@@ -14,9 +14,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime (measured) size check before AQE turns a join into a broadcast.
+    # Broadcasts happen only (a) for literal lookup tables, marked with
+    # F.broadcast, whose size is fixed, or (b) when AQE has *measured* a
+    # finished shuffle stage below this threshold. Static planning never
+    # broadcasts on an estimate.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "16MB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -43,7 +46,8 @@ def build_session(master: str | None = None, app: str = "fishladder",
 def apply_job_conf(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators assume to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+              "spark.sql.autoBroadcastJoinThreshold"):
         spark.conf.set(k, BASE_CONF[k])
     return spark
 
