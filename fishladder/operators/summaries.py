@@ -30,8 +30,9 @@ def grouped_medians(df: DataFrame, keys, measures: dict) -> DataFrame:
     serves all of them.
     """
     keys = list(keys)
-    stacked = union_all(*[df.select(*keys, F.lit(name).alias("_m"), col.cast("long").alias("_v"))
-                          for name, col in measures.items()])
+    pairs = F.array(*[F.struct(F.lit(name).alias("_m"), col.cast("long").alias("_v"))
+                      for name, col in measures.items()])
+    stacked = df.select(*keys, F.explode(pairs).alias("_s")).select(*keys, "_s._m", "_s._v")
     q = grouped_quantiles(stacked, keys + ["_m"], "_v", {"_med": 0.5})
     return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == name, F.col("_med"))).alias(name)
                                   for name in measures])
