@@ -91,6 +91,13 @@ def q_first_per_site_day(spark, sf):
     return H.first_per_site_day(D.detections(spark, sf))
 
 
+@query("first_per_site_stream")
+def q_first_per_site_stream(spark, sf):
+    """D4 as an incremental stream over the report rows (state store min)."""
+    from fishladder.streaming.inseason import stream_parquet_reports
+    return stream_parquet_reports(spark, sf, "lineitem.parquet", D.report_rows)
+
+
 @query("first_per_dam")
 def q_first_per_dam(spark, sf):
     return H.detections_long(inseason_first_per_site(spark, sf), D.dam_key(spark))

@@ -168,6 +168,13 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(code, F.lit(" ARRAY")).alias("site"), code.alias("sitecode"))
 
 
+def report_rows(li: DataFrame) -> DataFrame:
+    """lineitem rows (any source, also a stream) -> typed report rows."""
+    code = F.concat(F.lit("S"), F.col("l_linenumber").cast("string"))
+    return li.select(F.col("l_orderkey").alias("pit_id"), _obs_time().alias("obs_datetime"),
+                     F.concat(code, F.lit(" ARRAY")).alias("site"), code.alias("sitecode"))
+
+
 def report_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _lineitem(spark, sf_dir)
     code = F.concat(F.lit("S"), F.col("l_linenumber").cast("string"))

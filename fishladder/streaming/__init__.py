@@ -1,0 +1 @@
+"""Structured Streaming form of the in-season ingest (see ``inseason``)."""

@@ -54,6 +54,8 @@ fpd AS (
 
 SQL["first_per_site_day"] = with_(V.DET, FPD) + "SELECT * FROM fpd"
 
+SQL["first_per_site_stream"] = with_(V.REPORT, FPS) + "SELECT * FROM fps"
+
 LONG = FPS + """,
 long AS (SELECT f.pit_id, k.dam_code, min(f.obs_datetime) AS first_detection
          FROM fps f LEFT JOIN damkey k ON f.sitecode = k.sitecode GROUP BY f.pit_id, k.dam_code)"""
