@@ -17,6 +17,7 @@ from fishladder.functions.dates import adult_calendar, days_from, ocean_age
 from fishladder.operators.verbs import (carry_forward, densify_dates, last_by,
                                         running_totals, union_all)
 from fishladder.sources import lookups as L
+from fishladder.sources.lookups import literal_df
 
 ADULT_DAILY_KEYS = ["spawn_year", "species", "hatchery"]
 DENSE_KEYS = ["species", "hatchery", "spawn_year", "dam"]
@@ -115,7 +116,7 @@ def inseason_max_dates(spark, as_of: dt.date, species=None) -> DataFrame:
     for sp in species:
         origin = L.SPRING_ORIGIN if (sp == "Steelhead" and y.month < 7) else L.AUTUMN_ORIGIN
         rows.append((sp, origin + dt.timedelta(days=doy)))
-    return spark.createDataFrame(rows, "species string, inseason_max date")
+    return literal_df(spark, rows, "species string, inseason_max date")
 
 
 def season_dense(daily: DataFrame, limits: DataFrame, limit_col: str, keys=None) -> DataFrame:
@@ -146,7 +147,7 @@ def passage_tables_reduced(det: DataFrame, marks: DataFrame, sites_by_dam: dict,
     All dams share the scan, the reduction, the join and the daily windows.
     """
     spark = det.sparkSession
-    site_dam = spark.createDataFrame(
+    site_dam = literal_df(spark, 
         [(site, dam, bool(per_site_by_dam[dam])) for dam, sites in sites_by_dam.items() for site in sites],
         "obs_sitecode string, dam string, _per_site boolean")
     d = det if obs_types is None else det.where(F.col("obs_type").isin(list(obs_types)))

@@ -17,6 +17,7 @@ from fishladder.functions.dates import window_calendar
 from fishladder.functions.text import str_c, word
 from fishladder.operators.verbs import filter_not_in, running_totals, union_all
 from fishladder.sources import lookups as L
+from fishladder.sources.lookups import literal_df
 
 RUNNING_KEYS = ["spawn_year", "dam", "species", "life_stage", "origin"]
 
@@ -77,7 +78,7 @@ def current_spawn_years_df(spark, as_of: dt.date, species=None) -> DataFrame:
     doy = as_of.timetuple().tm_yday
     rows = [(s, as_of.year + 1 if (s == "Steelhead" and doy >= L.SEASON_SWITCH_DOY) else as_of.year)
             for s in species]
-    return spark.createDataFrame(rows, "species string, spawn_year int")
+    return literal_df(spark, rows, "species string, spawn_year int")
 
 
 def window_current(daily: DataFrame, as_of: dt.date, species=None) -> DataFrame:

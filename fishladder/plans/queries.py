@@ -17,38 +17,87 @@ from fishladder.sources import driver as D
 
 REGISTRY: dict = {}
 
+# Sub-plans shared inside one query are built once per query call: the same
+# DataFrame object is reused, which saves py4j round trips and hands
+# Catalyst identical subtrees (their exchanges are then reused). The memo
+# lives only while one registered query is being built.
+_MEMO: dict | None = None
+
 
 def query(name):
     def deco(fn):
-        REGISTRY[name] = fn
-        return fn
+        def run(spark, sf):
+            global _MEMO
+            outer = _MEMO
+            _MEMO = {} if outer is None else outer
+            try:
+                return fn(spark, sf)
+            finally:
+                _MEMO = outer
+        run.__name__ = fn.__name__
+        REGISTRY[name] = run
+        return run
     return deco
 
 
+def shared(fn):
+    def get(spark, sf, *args):
+        if _MEMO is None:
+            return fn(spark, sf, *args)
+        key = (fn.__name__, id(spark), sf, args)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf, *args)
+        return _MEMO[key]
+    get.__name__ = fn.__name__
+    return get
+
+
+# driver views used by several helpers
+@shared
+def marks_v(spark, sf):
+    return D.marks(spark, sf)
+
+
+@shared
+def marks_table_v(spark, sf):
+    from fishladder.operators.releases import classify_release_groups
+    return classify_release_groups(marks_v(spark, sf), single_year=D.SINGLE_YEAR)
+
+
+@shared
+def detections_v(spark, sf):
+    return D.detections(spark, sf)
+
+
 # --- shared building blocks ---------------------------------------------------------
 
+@shared
 def hist_detections_with_dams(spark, sf) -> DataFrame:
-    return H.attach_dams(D.detections(spark, sf), D.dam_key(spark), "obs_sitecode")
+    return H.attach_dams(detections_v(spark, sf), D.dam_key(spark), "obs_sitecode")
 
 
+@shared
 def juvenile_history_df(spark, sf) -> DataFrame:
-    return H.juvenile_history(D.marks_table(spark, sf), hist_detections_with_dams(spark, sf))
+    return H.juvenile_history(marks_table_v(spark, sf), hist_detections_with_dams(spark, sf))
 
 
+@shared
 def inseason_first_per_site(spark, sf) -> DataFrame:
     return H.first_per_site(D.report(spark, sf))
 
 
+@shared
 def inseason_travel_df(spark, sf) -> DataFrame:
-    return H.inseason_travel(D.marks(spark, sf), inseason_first_per_site(spark, sf), D.dam_key(spark),
+    return H.inseason_travel(marks_v(spark, sf), inseason_first_per_site(spark, sf), D.dam_key(spark),
                              D.upstream_tags(spark, sf), release_dates=D.RELEASE_DATES)
 
 
+@shared
 def inseason_wide_df(spark, sf) -> DataFrame:
     """Marks + nine first-detection columns (before flags/travel/exclusion)."""
     det = H.attach_dams(inseason_first_per_site(spark, sf), D.dam_key(spark), "sitecode")
     wide = H.wide_first_detections(det).withColumnRenamed("pit_id", "_pid")
-    m = D.marks(spark, sf).withColumn("release_year", F.year("release_date"))
+    m = marks_v(spark, sf).withColumn("release_year", F.year("release_date"))
     return m.join(wide, F.col("pit_id") == F.col("_pid"), "left").drop("_pid")
 
 
@@ -88,7 +137,7 @@ def q_first_per_site(spark, sf):
 
 @query("first_per_site_day")
 def q_first_per_site_day(spark, sf):
-    return H.first_per_site_day(D.detections(spark, sf))
+    return H.first_per_site_day(detections_v(spark, sf))
 
 
 @query("first_per_site_stream")
@@ -139,27 +188,27 @@ def q_upstream_excluded(spark, sf):
 
 @query("release_order")
 def q_release_order(spark, sf):
-    m = R.release_order(D.marks(spark, sf))
+    m = R.release_order(marks_v(spark, sf))
     return m.select("pit_id", "hatchery", "species", "release_sitecode", "release_date",
                     "release_year", "release_order")
 
 
 @query("release_group")
 def q_release_group(spark, sf):
-    return D.marks_table(spark, sf)
+    return marks_table_v(spark, sf)
 
 
 @query("release_group_dated")
 def q_release_group_dated(spark, sf):
-    m = D.marks(spark, sf)
+    m = marks_v(spark, sf)
     return m.select("pit_id", "release_sitecode", "release_date",
                     R.release_group_dated_expr(D.RELEASE_DATES).alias("release_group"))
 
 
 @query("years_at_large")
 def q_years_at_large(spark, sf):
-    det = H.first_per_site_day(D.detections(spark, sf))
-    m = D.marks_table(spark, sf).select(F.col("pit_id").alias("_pid"), "release_year")
+    det = H.first_per_site_day(detections_v(spark, sf))
+    m = marks_table_v(spark, sf).select(F.col("pit_id").alias("_pid"), "release_year")
     j = det.join(m, F.col("pit_id") == F.col("_pid"), "left").drop("_pid")
     yal = F.col("obs_year") - F.col("release_year")
     return (j.select("pit_id", "obs_date", "obs_sitecode", "release_year", "obs_year",
@@ -192,24 +241,28 @@ from fishladder.operators import passage as P  # noqa: E402
 from fishladder.sources import lookups as L  # noqa: E402
 
 
+@shared
 def history_adults_df(spark, sf) -> DataFrame:
-    day_first = H.first_per_site_day(D.detections(spark, sf))
-    return P.adult_detections(day_first, D.marks_table(spark, sf), L.ADULT_OBS_TYPES)
+    day_first = H.first_per_site_day(detections_v(spark, sf))
+    return P.adult_detections(day_first, marks_table_v(spark, sf), L.ADULT_OBS_TYPES)
 
 
+@shared
 def inseason_adults_df(spark, sf) -> DataFrame:
-    return P.inseason_adult_detections(D.adult_report(spark, sf), D.marks_table(spark, sf))
+    return P.inseason_adult_detections(D.adult_report(spark, sf), marks_table_v(spark, sf))
 
 
+@shared
 def adult_complete_df(spark, sf) -> DataFrame:
-    day_first = H.first_per_site_day(D.detections(spark, sf))
-    return P.passage_tables_reduced(day_first, D.marks_table(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+    day_first = H.first_per_site_day(detections_v(spark, sf))
+    return P.passage_tables_reduced(day_first, marks_table_v(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
                                     P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR), obs_types=L.ADULT_OBS_TYPES)
 
 
+@shared
 def adult_inseason_df(spark, sf) -> DataFrame:
     rep = D.adult_report(spark, sf).where(F.col("report_species") != "Coho")
-    return P.passage_tables_reduced(rep, D.marks_table(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
+    return P.passage_tables_reduced(rep, marks_table_v(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
                                     lambda df: P.inseason_filter(df, D.AS_OF))
 
 
@@ -271,15 +324,18 @@ def q_qa_ocean_age(spark, sf):
 from fishladder.operators import window_counts as WC  # noqa: E402
 
 
+@shared
 def window_current_df(spark, sf) -> DataFrame:
     return WC.window_current(WC.window_daily(D.window_report(spark, sf, "current")), D.AS_OF)
 
 
+@shared
 def window_finished_df(spark, sf) -> DataFrame:
     daily = WC.window_daily(D.window_report(spark, sf, "finished"), L.WINDOW_COLUMNS_FINISHED)
     return WC.window_finished(daily, D.AS_OF)
 
 
+@shared
 def window_table_df(spark, sf) -> DataFrame:
     return WC.window_table(window_current_df(spark, sf), window_finished_df(spark, sf))
 
@@ -319,6 +375,7 @@ def q_window_all(spark, sf):
 from fishladder.operators import gauges as G  # noqa: E402
 
 
+@shared
 def gauge_year_df(spark, sf) -> DataFrame:
     return G.gauge_year(D.gauge_daily_raw(spark, sf), D.gauge_sites(spark), D.AS_OF_EVENTS)
 
@@ -340,22 +397,22 @@ from fishladder.operators import chunks as C  # noqa: E402
 
 @query("tag_chunks")
 def q_tag_chunks(spark, sf):
-    return C.tag_chunks(D.marks_table(spark, sf))
+    return C.tag_chunks(marks_table_v(spark, sf))
 
 
 @query("qa_release_sites")
 def q_qa_release_sites(spark, sf):
-    return S.tally(D.marks(spark, sf), ["release_site", "release_date"])
+    return S.tally(marks_v(spark, sf), ["release_site", "release_date"])
 
 
 @query("qa_life_stage")
 def q_qa_life_stage(spark, sf):
-    return S.tally(D.marks(spark, sf), ["mark_lifestage"])
+    return S.tally(marks_v(spark, sf), ["mark_lifestage"])
 
 
 @query("qa_release_tally")
 def q_qa_release_tally(spark, sf):
-    return R.release_tally(D.marks(spark, sf))
+    return R.release_tally(marks_v(spark, sf))
 
 
 @query("qa_inseason_release")
@@ -371,20 +428,24 @@ HATCH = D.HATCHERY_ROLES
 ADULT_FIRST_YEAR = 1999
 
 
+@shared
 def juveniles_df(spark, sf, species="Chinook") -> DataFrame:
     return B.juveniles(inseason_travel_df(spark, sf), species, hatchery=HATCH["DWOR"])
 
 
+@shared
 def adult_bind_df(spark, sf) -> DataFrame:
     complete = P.season_dense(adult_complete_df(spark, sf), L.species_max_dates_df(spark), "max_date")
     inseason = P.season_dense(adult_inseason_df(spark, sf), P.inseason_max_dates(spark, D.AS_OF), "inseason_max")
     return B.adult_bind(complete, inseason, ADULT_FIRST_YEAR)
 
 
+@shared
 def adults_sel(spark, sf) -> DataFrame:
     return B.adults(adult_bind_df(spark, sf), "Lower Granite", "Steelhead", (1999, 2002))
 
 
+@shared
 def window_sel(spark, sf) -> DataFrame:
     return B.window_selection(WC.dashboard_window(window_table_df(spark, sf)), 1999, "Summer Chinook",
                               "Lower Granite")
@@ -481,6 +542,7 @@ def q_b14(spark, sf):
     return B.window_cumulative_series(window_sel(spark, sf), L.window_plot_limits_df(spark), D.AS_OF)
 
 
+@shared
 def emigration_all_df(spark, sf) -> DataFrame:
     return S.emigration_all(S.emigration_summary(juvenile_history_df(spark, sf)),
                             S.emigration_summary(inseason_travel_df(spark, sf)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- fixed values: dams -----------------------------------------------------
@@ -184,6 +185,22 @@ TAG_CHUNK_SIZE = 10000
 
 # --- DataFrame builders ----------------------------------------------------------
 
+def literal_df(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal table built inside the JVM plan.
+
+    ``spark.createDataFrame(list)`` ships the rows through Python workers
+    at execution time; here they become literals (one-row range + inline),
+    so the table costs nothing at run time and its size is visible in the
+    plan (the proven bound behind every ``F.broadcast`` of a lookup).
+    """
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dam_key_df(spark: SparkSession, rows=None, levels=None) -> DataFrame:
     """sitecode, dam, dam_code, dam_ord (position in the level list)."""
     rows = DAM_KEY_HISTORY if rows is None else rows
@@ -194,21 +211,19 @@ def dam_key_df(spark: SparkSession, rows=None, levels=None) -> DataFrame:
         T.StructField("dam_code", T.StringType(), False),
         T.StructField("dam_ord", T.IntegerType(), False),
     ])
-    return spark.createDataFrame(
-        [(s, d, c, levels.index(c) + 1) for s, d, c in rows], schema)
+    return literal_df(spark, [(s, d, c, levels.index(c) + 1) for s, d, c in rows], schema)
 
 
 def gauge_sites_df(spark: SparkSession, rows=None) -> DataFrame:
     rows = GAUGE_SITES if rows is None else rows
-    return spark.createDataFrame(rows, "name string, sitenumber string")
+    return literal_df(spark, rows, "name string, sitenumber string")
 
 
 def species_max_dates_df(spark: SparkSession, rows=None) -> DataFrame:
     rows = SPECIES_MAX_DATES if rows is None else rows
-    return spark.createDataFrame(rows, "species string, dam string, max_date date")
+    return literal_df(spark, rows, "species string, dam string, max_date date")
 
 
 def window_plot_limits_df(spark: SparkSession, rows=None) -> DataFrame:
     rows = WINDOW_PLOT_LIMITS if rows is None else rows
-    return spark.createDataFrame(
-        rows, "dam string, species string, min_date date, max_date date")
+    return literal_df(spark, rows, "dam string, species string, min_date date, max_date date")
