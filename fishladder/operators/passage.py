@@ -91,17 +91,6 @@ def inseason_filter(daily: DataFrame, as_of: dt.date) -> DataFrame:
     return daily.where(cond)
 
 
-def passage_tables(adults: DataFrame, sites_by_dam: dict, per_site_by_dam: dict,
-                   season_filter) -> DataFrame:
-    """D20-D23 for every dam, labelled and stacked."""
-    parts = []
-    for dam, sites in sites_by_dam.items():
-        ev = passage_events(adults, sites, per_site_by_dam[dam])
-        parts.append(season_filter(daily_passage(ev)).withColumn("dam", F.lit(dam)))
-    return union_all(*parts).select("dummy_date", "spawn_year", "species", "hatchery",
-                                    "daily_total", "running_total", "annual_total", "dam")
-
-
 def complete_filter(drop_spawn_year: int):
     """D22 history: drop the one spawn year that is not finished."""
     return lambda df: df.where(F.col("spawn_year") != drop_spawn_year)

@@ -105,8 +105,3 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 def filter_not_in(col: str, values) -> Column:
     """``!x %in% values`` keeping NULL x."""
     return F.col(col).isNull() | ~F.col(col).isin(list(values))
-
-
-def top1(df: DataFrame, order_cols) -> DataFrame:
-    """Ungrouped top-1 (TakeOrderedAndProject, no single-partition sort)."""
-    return df.orderBy(*order_cols).limit(1)
