@@ -27,6 +27,9 @@ def _pick(df: DataFrame, keys, order, cols, agg) -> DataFrame:
     cols = [c for c in _names(cols) if c not in order]
     # A group whose ordering value is all NULL yields no row.
     cond = reduce(lambda a, b: a & b, [F.col(o).isNotNull() for o in order])
+    if not cols and len(order) == 1:
+        # nothing to carry: a plain min/max keeps the (hash) partial aggregation
+        return df.where(cond).groupBy(*keys).agg(agg(order[0]).alias(order[0]))
     packed = F.struct(*[F.col(c) for c in order + cols])
     out = df.where(cond).groupBy(*keys).agg(agg(packed).alias("_pick"))
     return out.select(*keys, *[F.col("_pick." + c).alias(c) for c in order + cols])
