@@ -128,3 +128,35 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
 
     save("water", gauge_year(inp.gauge_raw, inp.gauge_sites, inp.gauge_as_of or inp.as_of))
     return paths
+
+
+def main(argv=None) -> None:
+    """``spark-submit run_refresh.py --out <shared folder> (--sf-dir DIR | --inputs FILE.json)``
+
+    ``--inputs`` names a JSON file with the landed-file paths of
+    ``inputs_from_files`` and ``as_of`` (YYYY-MM-DD).
+    """
+    import argparse
+    import json
+
+    from fishladder.session import build_session
+
+    ap = argparse.ArgumentParser(description="Build the hand-off table catalogue.")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--sf-dir")
+    ap.add_argument("--inputs")
+    ap.add_argument("--chunks")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    if args.sf_dir:
+        inp = inputs_from_driver(spark, args.sf_dir)
+    else:
+        spec = json.load(open(args.inputs))
+        as_of = dt.date.fromisoformat(spec.pop("as_of"))
+        inp = inputs_from_files(spark, spec, as_of)
+    for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks).items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()
