@@ -139,7 +139,7 @@ def main(argv=None) -> None:
     import argparse
     import json
 
-    from fishladder.session import build_session
+    from fishladder.session import build_session, input_bytes, size_for_input
 
     ap = argparse.ArgumentParser(description="Build the hand-off table catalogue.")
     ap.add_argument("--out", required=True)
@@ -149,10 +149,14 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = build_session()
     if args.sf_dir:
+        size_for_input(spark, input_bytes(spark, args.sf_dir))
         inp = inputs_from_driver(spark, args.sf_dir)
     else:
         spec = json.load(open(args.inputs))
         as_of = dt.date.fromisoformat(spec.pop("as_of"))
+        files = [v for k, v in spec.items() if isinstance(v, str)] + \
+                [x for v in spec.values() if isinstance(v, list) for x in v]
+        size_for_input(spark, input_bytes(spark, files))
         inp = inputs_from_files(spark, spec, as_of)
     for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks).items():
         print(f"{name}\t{path}")

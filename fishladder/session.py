@@ -68,3 +68,42 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the given files/folders from file-system metadata."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(path.getFileSystem(conf).getContentSummary(path).getLength())
+    return total
+
+
+def size_for_input(spark: SparkSession, nbytes: int, target_partition_bytes: int = 256 << 20,
+                   expansion: float = 1.0, max_partitions: int = 50_000) -> dict:
+    """Size shuffles and scan splits for an input of ``nbytes`` (compressed).
+
+    The largest shuffle is assumed to carry about ``expansion`` times the
+    compressed input (every big shuffle here follows a map-side reduction).
+    AQE starts from enough partitions for ``target_partition_bytes`` each and
+    coalesces small ones at run time, so the number only has to be large
+    enough. It is capped: map tasks x reduce partitions shuffle blocks must
+    stay manageable (at 100 TB: ~800k map tasks x 50k partitions), so past
+    the cap partitions grow instead (~2 GB each at 100 TB, which sort-based
+    shuffle spills). Scan splits stay at 128 MB unless the input is small
+    relative to the cores.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    initial = min(max_partitions, max(cores, int(nbytes * expansion / target_partition_bytes) + 1))
+    split = min(128 << 20, max(4 << 20, nbytes // max(1, cores)))
+    conf = {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

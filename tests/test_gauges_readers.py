@@ -70,3 +70,19 @@ def test_snapshot_swap_reads_and_replaces(spark, tmpdir_path):
     write_snapshot(spark.read.parquet(path).where("id > 1"), path)
     assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [2, 3, 4]
     assert [n for n in os.listdir(tmpdir_path) if "__" in n] == []
+
+
+def test_size_for_input(spark):
+    from fishladder.session import input_bytes, size_for_input
+    n = input_bytes(spark, "/root/testdata/sf0.01")
+    assert n > 1_000_000
+    conf = size_for_input(spark, 10 * 2**40)             # 10 TiB compressed input
+    assert 10_000 < int(conf["spark.sql.shuffle.partitions"]) <= 50_000
+    assert int(size_for_input(spark, 100 * 2**40)["spark.sql.shuffle.partitions"]) == 50_000
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    size_for_input(spark, n)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
