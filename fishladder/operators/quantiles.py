@@ -81,3 +81,29 @@ def grouped_quantiles(df: DataFrame, keys, value, probs: dict,
     if count_name:
         aggs.append(F.max("_n").alias(count_name))
     return per_q.groupBy(*keys).agg(*aggs)
+
+
+def grouped_quantiles_small_domain(df: DataFrame, keys, value, probs: dict) -> DataFrame:
+    """Exact quantiles for values with few distinct values per group (e.g.
+    whole travel days): counts per (group, value) are combined map-side by a
+    hash aggregation, so a hot group collapses to one row per distinct value;
+    the cumulative counts then run over distinct values only (bounded by the
+    value domain, e.g. the days of a season), never over rows.
+    """
+    keys = list(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    h = (df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
+           .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (h.withColumn("_cum", F.sum("_c").over(w))
+          .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    aggs = []
+    for name, p in probs.items():
+        hh = (F.col("_n") - 1) * F.lit(float(p))
+        lo_rank, hi_rank = F.floor(hh) + 1, F.ceil(hh) + 1
+        covers = lambda r: (F.col("_cum") - F.col("_c") < r) & (F.col("_cum") >= r)
+        lo = F.max(F.when(covers(lo_rank), F.col("_v"))).cast("double")
+        hi = F.max(F.when(covers(hi_rank), F.col("_v"))).cast("double")
+        frac = F.max(hh - F.floor(hh))
+        aggs.append((lo + frac * (hi - lo)).alias(name))
+    return h.groupBy(*keys).agg(*aggs)

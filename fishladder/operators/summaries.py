@@ -8,32 +8,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fishladder.functions.dates import month_day_label
-from fishladder.operators.quantiles import grouped_quantiles
+from fishladder.operators.quantiles import grouped_quantiles, grouped_quantiles_small_domain
 from fishladder.operators.verbs import union_all
 
 SUMMARY_KEYS = ["hatchery", "species", "release_year", "release_group"]
 
 
 def _ns_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Join on nullable keys (NULL matches NULL). ``full_outer_keys``: full
+    outer join whose key columns are coalesced from both sides."""
     r = right
     for k in keys:
         r = r.withColumnRenamed(k, "_r_" + k)
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys])
+    if how == "full_outer_keys":
+        j = left.join(r, cond, "full_outer")
+        rest = [c for c in j.columns if c not in keys and not c.startswith("_r_")]
+        return j.select(*[F.coalesce(F.col(k), F.col("_r_" + k)).alias(k) for k in keys], *rest)
     return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
 
 
-def grouped_medians(df: DataFrame, keys, measures: dict) -> DataFrame:
-    """Exact medians of several measures in one range-partitioned pass.
+def grouped_medians(df: DataFrame, keys, measures: dict, small_domain: bool = False) -> DataFrame:
+    """Exact medians of several measures in one pass.
 
     ``measures`` maps output name -> numeric Column. The measures are stacked
-    into (keys, measure, value) so a single distributed rank computation
-    serves all of them.
+    into (keys, measure, value) so one computation serves all of them:
+    the distributed rank computation for continuous values, or the
+    histogram path when ``small_domain`` (few distinct values, e.g. days).
     """
     keys = list(keys)
     pairs = F.array(*[F.struct(F.lit(name).alias("_m"), col.cast("long").alias("_v"))
                       for name, col in measures.items()])
     stacked = df.select(*keys, F.explode(pairs).alias("_s")).select(*keys, "_s._m", "_s._v")
-    q = grouped_quantiles(stacked, keys + ["_m"], "_v", {"_med": 0.5})
+    quantiles = grouped_quantiles_small_domain if small_domain else grouped_quantiles
+    q = quantiles(stacked, keys + ["_m"], "_v", {"_med": 0.5})
     return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == name, F.col("_med"))).alias(name)
                                   for name in measures])
 
@@ -45,10 +53,12 @@ def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
     and lower dam, and the first/last release day as 'Month dd'."""
     keys = SUMMARY_KEYS if keys is None else list(keys)
     lo_u, lo_l = upper.lower(), lower.lower()
-    med = grouped_medians(hist, keys, {
-        "_mu_t": F.col(f"{lo_u}_traveltime"), "_mu_d": F.unix_micros(F.col(upper)),
-        "_ml_t": F.col(f"{lo_l}_traveltime"), "_ml_d": F.unix_micros(F.col(lower)),
-    })
+    # whole travel days: small domain -> histogram; arrival times -> rank computation
+    med_days = grouped_medians(hist, keys, {"_mu_t": F.col(f"{lo_u}_traveltime"),
+                                            "_ml_t": F.col(f"{lo_l}_traveltime")}, small_domain=True)
+    med_ts = grouped_medians(hist, keys, {"_mu_d": F.unix_micros(F.col(upper)),
+                                          "_ml_d": F.unix_micros(F.col(lower))})
+    med = _ns_join(med_days, med_ts, keys, "full_outer_keys")
     all_dates = F.count("release_date") == F.count(F.lit(1))  # min/max without na.rm
     base = hist.groupBy(*keys).agg(
         F.count(upper).alias(f"{lo_u}_detections"),

@@ -79,3 +79,21 @@ def test_number_rows_is_dense(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(4)
     idx = sorted(r["row_index"] for r in number_rows(df, "k").collect())
     assert idx == list(range(1000))
+
+
+def test_small_domain_quantiles_match_numpy(spark):
+    from fishladder.operators.quantiles import grouped_quantiles_small_domain
+    rnd = random.Random(11)
+    data = [("hot", rnd.randint(-5, 60)) for _ in range(4000)] + [(f"g{i % 9}", rnd.randint(0, 9)) for i in range(300)]
+    data += [(None, 3), (None, 8), ("one", 7), ("nulls", None)]
+    df = spark.createDataFrame(data, "g string, v long").repartition(5)
+    probs = {"q25": 0.25, "q50": 0.5, "q90": 0.9}
+    got = {r["g"]: r for r in grouped_quantiles_small_domain(df, ["g"], "v", probs).collect()}
+    groups = {}
+    for g, v in data:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, vals in groups.items():
+        for name, p in probs.items():
+            assert math.isclose(got[g][name], float(np.quantile(vals, p)), abs_tol=1e-9), (g, name)
