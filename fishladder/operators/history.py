@@ -158,28 +158,49 @@ def detections_long(det_first_site: DataFrame, dam_key: DataFrame) -> DataFrame:
 
 def inseason_travel(marks: DataFrame, det_first_site: DataFrame, dam_key: DataFrame,
                     upstream_tags: DataFrame, levels=None, release_dates=None,
-                    onsite_codes=None) -> DataFrame:
+                    onsite_codes=None, year_guard: bool = False,
+                    upstream_before_release: bool = False) -> DataFrame:
     """In-season travel table: marks (all kept) + first detection per dam,
-    flags, travel days (negative allowed, no year guard, Q21), upstream
-    contradiction removal (D13) and dated release groups (D12)."""
+    flags, travel days, upstream contradiction removal (D13) and dated
+    release groups (D12).
+
+    ``year_guard`` (Q21): the in-season job counts detections of any year
+    (default, as the program does); True keeps only detections in the
+    release year, like the history job. ``upstream_before_release`` (Q31):
+    see ``exclude_upstream``.
+    """
     from fishladder.operators.releases import release_group_dated_expr
     levels = L.DAM_LEVELS if levels is None else levels
     det_dams = attach_dams(det_first_site, dam_key, "sitecode")
-    wide = wide_first_detections(det_dams, levels=levels).withColumnRenamed("pit_id", "_pid")
+    keys = ("pit_id", "_obs_year") if year_guard else ("pit_id",)
+    if year_guard:
+        det_dams = det_dams.withColumn("_obs_year", F.year("obs_datetime"))
+    wide = wide_first_detections(det_dams, keys=keys, levels=levels).withColumnRenamed("pit_id", "_pid")
     m = marks.withColumn("release_year", F.year("release_date"))
-    j = m.join(wide, F.col("pit_id") == F.col("_pid"), "left").drop("_pid")
+    cond = F.col("pit_id") == F.col("_pid")
+    if year_guard:
+        cond = cond & (F.col("release_year") == F.col("_obs_year"))
+    j = m.join(wide, cond, "left").drop("_pid", "_obs_year")
     j = j.withColumn("release_date", F.col("release_date").cast("timestamp"))
     j = travel_times(capture_flags(j, levels), levels, release_ts="release_date")
-    j = exclude_upstream(j, marks, upstream_tags, onsite_codes)
+    j = exclude_upstream(j, marks, upstream_tags, onsite_codes, before_release=upstream_before_release)
     j = j.withColumn("release_group", release_group_dated_expr(release_dates))
     return j.select(*history_columns(levels))
 
 
 def exclude_upstream(df: DataFrame, marks: DataFrame, upstream_tags: DataFrame,
-                     onsite_codes=None) -> DataFrame:
+                     onsite_codes=None, before_release: bool = False) -> DataFrame:
     """Drop tags released on station that also appear in the upstream
-    report (presence only, Q31)."""
+    report. Default is presence only, as the program does (Q31); with
+    ``before_release`` only tags seen upstream before their release day are
+    dropped (``upstream_tags`` then needs ``obs_datetime``)."""
     onsite_codes = L.ONSITE_RELEASE_CODES if onsite_codes is None else onsite_codes
-    onsite = marks.where(F.col("release_sitecode").isin(onsite_codes)).select("pit_id")
-    flagged = onsite.join(upstream_tags.select("pit_id").distinct(), "pit_id", "left_semi")
+    onsite = marks.where(F.col("release_sitecode").isin(onsite_codes)).select("pit_id", "release_date")
+    if before_release:
+        first_up = upstream_tags.groupBy("pit_id").agg(F.min("obs_datetime").alias("_first_up"))
+        flagged = (onsite.join(first_up, "pit_id")
+                         .where(F.col("_first_up") < F.col("release_date").cast("timestamp"))
+                         .select("pit_id"))
+    else:
+        flagged = onsite.select("pit_id").join(upstream_tags.select("pit_id").distinct(), "pit_id", "left_semi")
     return df.join(flagged, "pit_id", "left_anti")

@@ -100,9 +100,29 @@ WINDOW_COLUMNS = ["dam", "date", "year", "run_type", "temp", "species", "count",
                   "july_first", "dummy_date", "spawn_year", "running_total", "annual_total"]
 
 
-def window_table(current: DataFrame, finished: DataFrame) -> DataFrame:
-    """Current season rows followed by finished seasons (UNION ALL, Q12)."""
-    return union_all(current.select(*WINDOW_COLUMNS), finished.select(*WINDOW_COLUMNS))
+WINDOW_KEY = ["dam", "date", "species", "life_stage", "origin"]
+
+
+def window_table(current: DataFrame, finished: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Current season rows followed by finished seasons (UNION ALL, Q12).
+
+    The two sources can both hold last autumn's Steelhead rows. By default
+    both are kept, as the program does; ``dedupe=True`` keeps one row per
+    (dam, date, species, life stage, origin), preferring the current source
+    (a map-side-combined pick, not a window)."""
+    u = union_all(current.select(*WINDOW_COLUMNS).withColumn("_src", F.lit(0)),
+                  finished.select(*WINDOW_COLUMNS).withColumn("_src", F.lit(1)))
+    if not dedupe:
+        return u.drop("_src")
+    rest = [c for c in WINDOW_COLUMNS if c not in WINDOW_KEY]
+    from fishladder.operators.verbs import first_by
+    return first_by(u, WINDOW_KEY, ["_src"], rest).drop("_src").select(*WINDOW_COLUMNS)
+
+
+def window_duplicates(table: DataFrame) -> DataFrame:
+    """Data check for Q12: keys present more than once in the window table."""
+    return (table.groupBy(*WINDOW_KEY).agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > 1))
 
 
 def dashboard_window(table: DataFrame) -> DataFrame:

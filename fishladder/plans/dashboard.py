@@ -109,14 +109,33 @@ def adult_ytd(sel: DataFrame, species: str, as_of: dt.date, hatcheries) -> DataF
                                                         F.col("annual_total").cast("string")).alias("label"))
 
 
-def adult_last_week(sel: DataFrame, species: str, as_of: dt.date, hatcheries) -> DataFrame:
-    """Adults counted in the last 7 days, by day of year (Q7)."""
+def _dummy_day(species: str, d: dt.date) -> dt.date:
+    """The adult dummy-calendar day of a real date (same rule as D18)."""
+    doy = d.timetuple().tm_yday
+    if species == "Steelhead" and doy < L.SEASON_SWITCH_DOY:
+        return L.SPRING_ORIGIN + dt.timedelta(days=doy)
+    return L.AUTUMN_ORIGIN + dt.timedelta(days=doy - 1)
+
+
+def adult_last_week(sel: DataFrame, species: str, as_of: dt.date, hatcheries, mode: str = "doy") -> DataFrame:
+    """Adults counted in the last 7 days.
+
+    ``mode="doy"`` (default) compares days of year of the dummy dates with
+    those of as-of - 7 days and as-of, as the dashboard does (Q7: empty in the
+    first week of January, offsets of two calendars mixed). ``mode="date"``
+    maps both ends onto the species' dummy calendar and compares dates.
+    """
     sy = adult_current_sy(sel.sparkSession, as_of).where(F.col("species") == species).select("spawn_year")
-    lw = (as_of - dt.timedelta(days=7)).timetuple().tm_yday
-    today = as_of.timetuple().tm_yday
-    cur = (sel.join(F.broadcast(sy), "spawn_year", "left_semi")
-              .where(F.col("hatchery").isin(list(hatcheries))
-                     & (F.dayofyear("dummy_date") >= lw) & (F.dayofyear("dummy_date") <= today)))
+    cur = sel.join(F.broadcast(sy), "spawn_year", "left_semi").where(F.col("hatchery").isin(list(hatcheries)))
+    if mode == "doy":
+        lw = (as_of - dt.timedelta(days=7)).timetuple().tm_yday
+        today = as_of.timetuple().tm_yday
+        cur = cur.where((F.dayofyear("dummy_date") >= lw) & (F.dayofyear("dummy_date") <= today))
+    elif mode == "date":
+        lo, hi = _dummy_day(species, as_of - dt.timedelta(days=7)), _dummy_day(species, as_of)
+        cur = cur.where(F.col("dummy_date").between(F.lit(lo), F.lit(hi)))
+    else:
+        raise ValueError(f"mode must be 'doy' or 'date', not {mode!r}")
     return cur.groupBy("hatchery").agg(F.sum("daily_total").alias("new_count"))
 
 
