@@ -22,19 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fishladder.operators.quantiles import grouped_quantiles
+from fishladder.operators.verbs import join_null_safe
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
 def _ns_join(left, right, keys, how="inner"):
-    r = right
-    for k in keys:
-        r = r.withColumnRenamed(k, "_r_" + k)
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col("_r_" + k))
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
+    return join_null_safe(left, right, keys, how)
 
 
 def group_kde(df: DataFrame, keys, value: str, limits: DataFrame, n_grid: int = 512,

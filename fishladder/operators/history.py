@@ -116,9 +116,10 @@ def capture_flags(df: DataFrame, levels=None) -> DataFrame:
 def travel_times(df: DataFrame, levels=None, release_ts: str = "release_ts") -> DataFrame:
     """release_time and <dam>_time as epoch seconds; <dam>_traveltime in whole days."""
     levels = L.DAM_LEVELS if levels is None else levels
-    out = df.withColumn("release_time", epoch_seconds(release_ts))
-    out = out.withColumns({f"{c}_time": epoch_seconds(c) for c in levels})
-    return out.withColumns({f"{c.lower()}_traveltime": travel_days(c, release_ts) for c in levels})
+    cols = {"release_time": epoch_seconds(release_ts)}
+    cols.update({f"{c}_time": epoch_seconds(c) for c in levels})
+    cols.update({f"{c.lower()}_traveltime": travel_days(c, release_ts) for c in levels})
+    return df.withColumns(cols)
 
 
 def history_columns(levels=None, release_group: bool = True) -> list[str]:

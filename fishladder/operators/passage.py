@@ -32,8 +32,7 @@ def _with_marks(det: DataFrame, marks: DataFrame) -> DataFrame:
 def with_calendar(df: DataFrame) -> DataFrame:
     """D18 columns: day_of_year, dummy_date, spawn_year, ocean_age."""
     dummy, spawn = adult_calendar("species", "obs_datetime")
-    out = df.withColumn("day_of_year", F.dayofyear("obs_datetime")) \
-            .withColumn("dummy_date", dummy).withColumn("spawn_year", spawn)
+    out = df.withColumns({"day_of_year": F.dayofyear("obs_datetime"), "dummy_date": dummy, "spawn_year": spawn})
     return out.withColumn("ocean_age", ocean_age("species", "spawn_year", "release_year"))
 
 
@@ -46,9 +45,8 @@ def adult_detections(det: DataFrame, marks: DataFrame, obs_types=None) -> DataFr
     """
     d = det if obs_types is None else det.where(F.col("obs_type").isin(list(obs_types)))
     j = _with_marks(d, marks)
-    j = (j.withColumn("obs_year", F.year("obs_datetime"))
-          .withColumn("release_year", F.year("release_date"))
-          .withColumn("years_at_large", F.col("obs_year") - F.col("release_year"))
+    j = (j.withColumns({"obs_year": F.year("obs_datetime"), "release_year": F.year("release_date"),
+                        "years_at_large": F.year("obs_datetime") - F.year("release_date")})
           .where(F.col("years_at_large") > 0))
     return with_calendar(j)
 
@@ -141,14 +139,14 @@ def passage_tables_reduced(det: DataFrame, marks: DataFrame, sites_by_dam: dict,
         "obs_sitecode string, dam string, _per_site boolean")
     d = det if obs_types is None else det.where(F.col("obs_type").isin(list(obs_types)))
     d = (d.join(F.broadcast(site_dam), "obs_sitecode")
-          .withColumn("obs_year", F.year("obs_datetime"))
-          .withColumn("_site_key", F.when(F.col("_per_site"), F.col("obs_sitecode"))))
+          .withColumns({"obs_year": F.year("obs_datetime"),
+                        "_site_key": F.when(F.col("_per_site"), F.col("obs_sitecode"))}))
     ev = last_by(d, ["dam", "pit_id", "obs_year", "_site_key"], ["obs_datetime"], [])
     m = marks.select(F.col("pit_id").alias("_pid"), "hatchery", "species", "release_date", "release_group")
     j = (ev.join(m, F.col("pit_id") == F.col("_pid"), "inner").drop("_pid")
            .where((F.col("obs_year") - F.year("release_date") > 0) & (F.col("release_group") != kelt_group)))
     dummy, spawn = adult_calendar("species", "obs_datetime")
-    j = j.withColumn("dummy_date", dummy).withColumn("spawn_year", spawn)
+    j = j.withColumns({"dummy_date": dummy, "spawn_year": spawn})
     daily = j.groupBy("dam", "dummy_date", *ADULT_DAILY_KEYS).agg(F.count(F.lit(1)).alias("daily_total"))
     daily = running_totals(daily, ["dam"] + ADULT_DAILY_KEYS, ["dummy_date"], "daily_total")
     return season_filter(daily).select("dummy_date", "spawn_year", "species", "hatchery",

@@ -15,14 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ns_cond(left_keys, right_prefix, keys):
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(right_prefix + k))
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def grouped_quantiles(df: DataFrame, keys, value, probs: dict,
                       count_name: str | None = None) -> DataFrame:
     """Exact interpolated quantiles of ``value`` per ``keys``.
@@ -38,19 +30,17 @@ def grouped_quantiles(df: DataFrame, keys, value, probs: dict,
 
     ranked = (d.repartitionByRange(*keys, "_v")
                 .sortWithinPartitions(*keys, "_v")
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_id", F.monotonically_increasing_id()))
+                .withColumns({"_pid": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}))
 
     # Per (partition, group): first local id and row count; then, per group,
     # how many of its rows sit in earlier partitions. A group spans at most
     # all partitions, so this window is bounded by the partition count.
     part = (ranked.groupBy("_pid", *keys)
                   .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    part = part.withColumn(
-        "_off", F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_pid")
-                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("_cnt"))
-    part = part.withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*keys)))
+    part = part.withColumns({
+        "_off": F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_pid")
+                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt"),
+        "_n": F.sum("_cnt").over(Window.partitionBy(*keys))})
 
     # Requested ranks (1-based) per group and probability.
     wanted = []
@@ -95,8 +85,7 @@ def grouped_quantiles_small_domain(df: DataFrame, keys, value, probs: dict) -> D
     h = (df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = (h.withColumn("_cum", F.sum("_c").over(w))
-          .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    h = h.withColumns({"_cum": F.sum("_c").over(w), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
     aggs = []
     for name, p in probs.items():
         hh = (F.col("_n") - 1) * F.lit(float(p))

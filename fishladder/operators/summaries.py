@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fishladder.functions.dates import month_day_label
 from fishladder.operators.quantiles import grouped_quantiles, grouped_quantiles_small_domain
-from fishladder.operators.verbs import union_all
+from fishladder.operators.verbs import join_null_safe, union_all
 
 SUMMARY_KEYS = ["hatchery", "species", "release_year", "release_group"]
 
 
 def _ns_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
-    """Join on nullable keys (NULL matches NULL). ``full_outer_keys``: full
-    outer join whose key columns are coalesced from both sides."""
-    r = right
-    for k in keys:
-        r = r.withColumnRenamed(k, "_r_" + k)
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys])
-    if how == "full_outer_keys":
-        j = left.join(r, cond, "full_outer")
-        rest = [c for c in j.columns if c not in keys and not c.startswith("_r_")]
-        return j.select(*[F.coalesce(F.col(k), F.col("_r_" + k)).alias(k) for k in keys], *rest)
-    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
+    return join_null_safe(left, right, keys, how)
 
 
 def grouped_medians(df: DataFrame, keys, measures: dict, small_domain: bool = False) -> DataFrame:

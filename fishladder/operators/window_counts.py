@@ -38,16 +38,20 @@ def window_long(report: DataFrame, columns=None) -> DataFrame:
     long = base.unpivot(["dam", "date", "year", "run_type", "temp"], [n for _, n in columns],
                         "species", "count")
     sp = F.col("species")
-    long = long.withColumn("life_stage", F.when(sp.isin("Jack_Chinook", "Jack_Coho"), "Jack")
-                           .when(sp.isin("Chinook", "Coho"), "Adult").otherwise("All"))
-    long = long.withColumn("origin", F.when(sp == "Wild_Steelhead", "Wild").otherwise("All"))
-    long = long.withColumn("species", F.when(sp.isin("Wild_Steelhead", "Jack_Chinook", "Jack_Coho"),
-                                             word(sp, 2, "_")).otherwise(sp))
     run = F.col("run_type")
-    expr = None
+    run_name = None
     for code, name in L.CHINOOK_RUNS:
-        expr = F.when(run == code, name) if expr is None else expr.when(run == code, name)
-    long = long.withColumn("run_type", expr)
+        run_name = F.when(run == code, name) if run_name is None else run_name.when(run == code, name)
+    # step 1 reads the original column name and run code (life stage and
+    # origin come from the name before it is rewritten, N17) ...
+    long = long.withColumns({
+        "life_stage": F.when(sp.isin("Jack_Chinook", "Jack_Coho"), "Jack")
+                       .when(sp.isin("Chinook", "Coho"), "Adult").otherwise("All"),
+        "origin": F.when(sp == "Wild_Steelhead", "Wild").otherwise("All"),
+        "species": F.when(sp.isin("Wild_Steelhead", "Jack_Chinook", "Jack_Coho"), word(sp, 2, "_")).otherwise(sp),
+        "run_type": run_name,
+    })
+    # ... step 2 prefixes Chinook with the rewritten run name
     long = long.withColumn("species", F.when(F.col("species") == "Chinook",
                                              str_c(F.col("run_type"), F.col("species"), sep=" "))
                            .otherwise(F.col("species")))
@@ -57,7 +61,7 @@ def window_long(report: DataFrame, columns=None) -> DataFrame:
 def with_window_calendar(df: DataFrame) -> DataFrame:
     """july_first, dummy_date (29 Feb Steelhead -> NULL), spawn_year."""
     jf, dummy, spawn = window_calendar("species", "date")
-    return df.withColumn("july_first", jf).withColumn("dummy_date", dummy).withColumn("spawn_year", spawn)
+    return df.withColumns({"july_first": jf, "dummy_date": dummy, "spawn_year": spawn})
 
 
 def window_running(df: DataFrame) -> DataFrame:

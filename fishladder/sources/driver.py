@@ -62,8 +62,21 @@ AS_OF_EVENTS = dt.date(2024, 1, 30)
 HISTORY_DROP_SPAWN_YEAR = 2001
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table. Reading Parquet without a schema runs a small
+    footer-reading job every time; the schema is therefore remembered per
+    (path, modification time) and handed to later reads of the same file."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    key = (path, int(jp.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jp).getModificationTime()))
+    schema = _SCHEMAS.get(key)
+    df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    if schema is None:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def _case(col, pairs, first_char: bool = False):
