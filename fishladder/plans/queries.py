@@ -451,10 +451,16 @@ def window_sel(spark, sf) -> DataFrame:
                               "Lower Granite")
 
 
+def _rounded_density(df: DataFrame) -> DataFrame:
+    """x (epoch days) and density (per day) to 6 decimals: sums of floating
+    terms depend on summation order, their rounded values do not."""
+    return df.withColumns({"x": F.round("x", 6), "density": F.round("density", 6)})
+
+
 @query("group_kde")
 def q_group_kde(spark, sf):
-    return B.arrival_density(juveniles_df(spark, sf, "Steelhead"), inseason_travel_df(spark, sf),
-                             "Steelhead", "LGR")
+    return _rounded_density(B.arrival_density(juveniles_df(spark, sf, "Steelhead"), inseason_travel_df(spark, sf),
+                                              "Steelhead", "LGR"))
 
 
 @query("timing_summary")
@@ -479,12 +485,12 @@ def q_b02(spark, sf):
 
 @query("b03")
 def q_b03(spark, sf):
-    return B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR")
+    return _rounded_density(B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR"))
 
 
 @query("b04")
 def q_b04(spark, sf):
-    return B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN")
+    return _rounded_density(B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN"))
 
 
 @query("b04_lines")

@@ -26,7 +26,8 @@ FIXED VALUES of the role mapping (ours, chosen once and used everywhere):
                priority 1..5 (NULL when 0); run by month 3-5 Sp, 6-7 Su,
                8-11 Fa; TempC = mean price / 10000
   gauges       events: site = event_type, date = day of ts, mean_temp =
-               mean value, mean_discharge = sum of values
+               mean value, mean_discharge = sum of values (both summed as
+               exact cents, so the result does not depend on summation order)
   parameters   single-release year 1996; early/late release dates 1999-01-01 /
                1999-04-01; as-of 2001-07-15 (events 2024-01-30)
 """
@@ -222,6 +223,13 @@ def dam_key(spark: SparkSession) -> DataFrame:
     return L.dam_key_df(spark, DAM_KEY)
 
 
+def _cents_sum(col: str):
+    """Exact sum of a 2-decimal amount as whole cents. Floating sums depend
+    on the order of addition; an integer sum divided once does not, so the
+    derived means are the same on every engine and partitioning."""
+    return F.sum(F.round(F.col(col) * 100).cast("long"))
+
+
 def window_report(spark: SparkSession, sf_dir: str, lamprey: str = "current") -> DataFrame:
     """Wide daily window-count report (one row per day x dam)."""
     o = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice")
@@ -230,7 +238,7 @@ def window_report(spark: SparkSession, sf_dir: str, lamprey: str = "current") ->
     counts = [F.nullif(F.sum(F.when(pr == k, 1).otherwise(0)), F.lit(0)).cast("double").alias(c)
               for k, c in WINDOW_COUNT_BY_PRIORITY]
     g = (o.groupBy(_case(F.col("o_orderstatus"), WINDOW_DAM_BY_STATUS).alias("Project"), day.alias("Date"))
-          .agg(*counts, (F.avg("o_totalprice") / 10000.0).alias("TempC")))
+          .agg(*counts, (_cents_sum("o_totalprice") / F.count("o_totalprice") / 1_000_000.0).alias("TempC")))
     m = F.month("Date")
     g = g.withColumn("Chinook Run", F.when(m.between(3, 5), "Sp").when(m.between(6, 7), "Su")
                      .when(m.between(8, 11), "Fa"))
@@ -245,7 +253,8 @@ def window_report(spark: SparkSession, sf_dir: str, lamprey: str = "current") ->
 def gauge_daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_type", "ts", "value")
     return (e.groupBy(F.col("event_type").alias("site_no"), F.to_date(F.col("ts").cast("timestamp")).alias("Date"))
-             .agg(F.avg("value").alias("X_00010_00003"), F.sum("value").alias("X_00060_00003")))
+             .agg((_cents_sum("value") / F.count("value") / 100.0).alias("X_00010_00003"),
+                  (_cents_sum("value") / 100.0).alias("X_00060_00003")))
 
 
 def gauge_sites(spark: SparkSession) -> DataFrame:

@@ -304,7 +304,7 @@ wrep AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'Lower Granite' WHEN 'O' THEN 'Bonneville'
                             WHEN 'P' THEN 'Little Goose' END AS dam,
          CAST(o_orderdate AS DATE) AS date,
-         avg(o_totalprice) / 10000.0 AS temp,
+         sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(o_totalprice) / 1000000.0 AS temp,
          CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '1'), 0) AS DOUBLE) AS c_chin,
          CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '2'), 0) AS DOUBLE) AS c_jchin,
          CAST(NULLIF(count(*) FILTER (WHERE substr(o_orderpriority, 1, 1) = '3'), 0) AS DOUBLE) AS c_sthd,
@@ -381,8 +381,9 @@ SQL["window_all"] = with_(WINDOW_ALL) + "SELECT * FROM wall"
 # --- gauges ---------------------------------------------------------------------------------
 
 GAUGE = """
-graw AS (SELECT event_type AS sitenumber, CAST(ts AS DATE) AS date, avg(value) AS mean_temp,
-                sum(value) AS mean_discharge
+graw AS (SELECT event_type AS sitenumber, CAST(ts AS DATE) AS date,
+                sum(CAST(round(value * 100) AS BIGINT)) / count(value) / 100.0 AS mean_temp,
+                sum(CAST(round(value * 100) AS BIGINT)) / 100.0 AS mean_discharge
          FROM events GROUP BY event_type, CAST(ts AS DATE)),
 gsites AS (SELECT * FROM (VALUES ('Clearwater (Peck)', 'click'), ('Clearwater (Orofino)', 'error'),
                                  ('Lolo Creek', 'purchase'), ('SF Clearwater', 'signup'), ('Selway', 'view'))
@@ -456,10 +457,11 @@ FROM g, lim"""
 def density_sql(species: str, dam: str) -> str:
     return f"""
 , arr AS (SELECT * FROM sel WHERE {dam} IS NOT NULL),
-lim AS (SELECT epoch((SELECT min(release_date) FROM arr) - INTERVAL 2 DAY) / 86400.0 AS lo,
-               epoch((SELECT max({dam}) FROM travel_ts WHERE species = '{species}') + INTERVAL 7 DAY) / 86400.0 AS hi),
-pts AS (SELECT a.hatchery, a.release_group, epoch(a.{dam}) / 86400.0 AS x
-        FROM arr a, lim WHERE epoch(a.{dam}) / 86400.0 BETWEEN lim.lo AND lim.hi),
+lim AS (SELECT epoch_us((SELECT min(release_date) FROM arr) - INTERVAL 2 DAY) / 86400000000.0 AS lo,
+               epoch_us((SELECT max({dam}) FROM travel_ts WHERE species = '{species}') + INTERVAL 7 DAY)
+                 / 86400000000.0 AS hi),
+pts AS (SELECT a.hatchery, a.release_group, epoch_us(a.{dam}) / 86400000000.0 AS x
+        FROM arr a, lim WHERE epoch_us(a.{dam}) / 86400000000.0 BETWEEN lim.lo AND lim.hi),
 st AS (SELECT hatchery, release_group, count(*) AS n, stddev_samp(x) AS sd, quantile_cont(x, 0.25) AS q1,
               quantile_cont(x, 0.75) AS q3, min(x) AS x1
        FROM pts GROUP BY hatchery, release_group HAVING count(*) >= 2),
@@ -468,11 +470,11 @@ bw AS (SELECT *, 0.5 * 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN lea
                    * pow(n, -0.2) AS bw
        FROM st),
 grid AS (SELECT b.hatchery, b.release_group, b.n, b.bw, p.point,
-                lim.lo + p.point * (lim.hi - lim.lo) / 511 AS gx
+                lim.lo + p.point * ((lim.hi - lim.lo) / 511) AS gx
          FROM bw b, lim, range(512) AS p(point))
-SELECT g.hatchery, g.release_group, CAST(g.point AS INTEGER) AS point, g.gx AS x,
-       COALESCE(sum(exp(-0.5 * ((g.gx - p.x) / g.bw) * ((g.gx - p.x) / g.bw))) / (g.n * g.bw * sqrt(2 * pi())), 0.0)
-         AS density
+SELECT g.hatchery, g.release_group, CAST(g.point AS INTEGER) AS point, round(g.gx, 6) AS x,
+       round(COALESCE(sum(exp(-0.5 * ((g.gx - p.x) / g.bw) * ((g.gx - p.x) / g.bw)))
+                      / (g.n * g.bw * sqrt(2 * pi())), 0.0), 6) AS density
 FROM grid g LEFT JOIN pts p ON g.hatchery IS NOT DISTINCT FROM p.hatchery
                             AND g.release_group IS NOT DISTINCT FROM p.release_group
 GROUP BY g.hatchery, g.release_group, g.point, g.gx, g.n, g.bw"""
