@@ -24,6 +24,14 @@ REGISTRY: dict = {}
 _MEMO: dict | None = None
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Output boundary: timestamps as TIMESTAMP_NTZ (wall-clock UTC, as read
+    from the inputs), the type plain SQL TIMESTAMP corresponds to."""
+    from pyspark.sql.types import TimestampType
+    ts = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts}) if ts else df
+
+
 def query(name):
     def deco(fn):
         def run(spark, sf):
@@ -31,7 +39,7 @@ def query(name):
             outer = _MEMO
             _MEMO = {} if outer is None else outer
             try:
-                return fn(spark, sf)
+                return naive_timestamps(fn(spark, sf)) if outer is None else fn(spark, sf)
             finally:
                 _MEMO = outer
         run.__name__ = fn.__name__
