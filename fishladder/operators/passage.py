@@ -13,9 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import adult_calendar, days_from, ocean_age
-from fishladder.operators.verbs import (carry_forward, densify_dates, last_by,
-                                        running_totals, union_all)
+from fishladder.functions.dates import adult_calendar, ocean_age
+from fishladder.operators.verbs import carry_forward, densify_dates, last_by, running_totals
 from fishladder.sources import lookups as L
 from fishladder.sources.lookups import literal_df
 
