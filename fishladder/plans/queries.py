@@ -453,6 +453,16 @@ def adults_sel(spark, sf) -> DataFrame:
     return B.adults(adult_bind_df(spark, sf), "Lower Granite", "Steelhead", (1999, 2002))
 
 
+@shared
+def adults_sel_undensified(spark, sf) -> DataFrame:
+    """The B5 selection before gap filling. Filled days only add zero counts
+    and copies of the running/season totals, so maxima of running totals,
+    the season totals they carry and sums of daily counts are the same as on
+    the filled table."""
+    both = adult_complete_df(spark, sf).unionByName(adult_inseason_df(spark, sf))
+    return B.adults(both.where(F.col("spawn_year") >= ADULT_FIRST_YEAR), "Lower Granite", "Steelhead", (1999, 2002))
+
+
 @shared
 def window_sel(spark, sf) -> DataFrame:
     return B.window_selection(WC.dashboard_window(window_table_df(spark, sf)), 1999, "Summer Chinook",
@@ -513,12 +523,12 @@ def q_b05(spark, sf):
 
 @query("b06")
 def q_b06(spark, sf):
-    return B.adult_ytd(adults_sel(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
+    return B.adult_ytd(adults_sel_undensified(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
 
 
 @query("b07")
 def q_b07(spark, sf):
-    return B.adult_last_week(adults_sel(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
+    return B.adult_last_week(adults_sel_undensified(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
 
 
 @query("b08")
