@@ -6,6 +6,8 @@ They run the library operators over the driver tables in their domain roles
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ REGISTRY: dict = {}
 # Sub-plans shared inside one query are built once per query call: the same
 # DataFrame object is reused, which saves py4j round trips and hands
 # Catalyst identical subtrees (their exchanges are then reused). The memo
-# lives only while one registered query is being built.
-_MEMO: dict | None = None
+# lives only while one registered query is being built (per thread).
+_STATE = threading.local()
 
 
 def naive_timestamps(df: DataFrame) -> DataFrame:
@@ -35,13 +37,12 @@ def naive_timestamps(df: DataFrame) -> DataFrame:
 def query(name):
     def deco(fn):
         def run(spark, sf):
-            global _MEMO
-            outer = _MEMO
-            _MEMO = {} if outer is None else outer
+            outer = getattr(_STATE, "memo", None)
+            _STATE.memo = {} if outer is None else outer
             try:
                 return naive_timestamps(fn(spark, sf)) if outer is None else fn(spark, sf)
             finally:
-                _MEMO = outer
+                _STATE.memo = outer
         run.__name__ = fn.__name__
         REGISTRY[name] = run
         return run
@@ -50,12 +51,13 @@ def query(name):
 
 def shared(fn):
     def get(spark, sf, *args):
-        if _MEMO is None:
+        memo = getattr(_STATE, "memo", None)
+        if memo is None:
             return fn(spark, sf, *args)
         key = (fn.__name__, id(spark), sf, args)
-        if key not in _MEMO:
-            _MEMO[key] = fn(spark, sf, *args)
-        return _MEMO[key]
+        if key not in memo:
+            memo[key] = fn(spark, sf, *args)
+        return memo[key]
     get.__name__ = fn.__name__
     return get
 
