@@ -42,7 +42,8 @@ class Inputs:
     window_current: DataFrame         # wide window reports, current layout
     window_finished: DataFrame        # wide window reports, finished layout
     gauge_raw: DataFrame              # site_no, Date, X_00010_00003, X_00060_00003
-    dam_key: DataFrame
+    dam_key: DataFrame                # site -> dam for the history job
+    dam_key_inseason: DataFrame       # the in-season job's shorter site list
     gauge_sites: DataFrame
     passage_sites: dict = field(default_factory=lambda: dict(L.PASSAGE_SITES))
     single_year: int = L.SINGLE_RELEASE_YEAR
@@ -70,7 +71,8 @@ def inputs_from_files(spark: SparkSession, paths: dict, as_of: dt.date, **params
         window_current=readers.read_window_reports(spark, paths["window_current"]),
         window_finished=readers.read_window_reports(spark, paths["window_finished"]),
         gauge_raw=readers.read_gauge_daily(spark, paths["gauges"]),
-        dam_key=L.dam_key_df(spark), gauge_sites=L.gauge_sites_df(spark), as_of=as_of, **params)
+        dam_key=L.dam_key_df(spark), dam_key_inseason=L.dam_key_df(spark, L.DAM_KEY_INSEASON),
+        gauge_sites=L.gauge_sites_df(spark), as_of=as_of, **params)
 
 
 def inputs_from_driver(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -81,7 +83,8 @@ def inputs_from_driver(spark: SparkSession, sf_dir: str) -> Inputs:
         upstream=D.upstream_tags(spark, sf_dir), adult_report=D.adult_report(spark, sf_dir),
         window_current=D.window_report(spark, sf_dir, "current"),
         window_finished=D.window_report(spark, sf_dir, "finished"),
-        gauge_raw=D.gauge_daily_raw(spark, sf_dir), dam_key=D.dam_key(spark), gauge_sites=D.gauge_sites(spark),
+        gauge_raw=D.gauge_daily_raw(spark, sf_dir), dam_key=D.dam_key(spark), dam_key_inseason=D.dam_key(spark),
+        gauge_sites=D.gauge_sites(spark),
         passage_sites=D.PASSAGE_SITES, single_year=D.SINGLE_YEAR, release_dates=D.RELEASE_DATES,
         drop_spawn_year=D.HISTORY_DROP_SPAWN_YEAR, as_of=D.AS_OF, gauge_as_of=D.AS_OF_EVENTS)
 
@@ -106,7 +109,7 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
     juv = save("juv_history", H.juvenile_history(marks, det_dams), "release_year")
     hist_summary = save("emigration_history", S.emigration_summary(juv))
 
-    travel = save("travel", H.inseason_travel(inp.marks_current, H.first_per_site(inp.reports), inp.dam_key,
+    travel = save("travel", H.inseason_travel(inp.marks_current, H.first_per_site(inp.reports), inp.dam_key_inseason,
                                               inp.upstream, release_dates=inp.release_dates))
     save("emigration_all", S.emigration_all(hist_summary, S.emigration_summary(travel)))
 

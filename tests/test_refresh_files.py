@@ -40,7 +40,8 @@ def _files(root):
     _w(f"{root}/hist/ignore.txt", "not a csv\n")
     rep = "Tag,Site,Obs Time\n"
     _w(f"{root}/rep_lower.csv", rep + "C1,GRJ - Lower Granite,04/05/2025 10:00:00\nC1,GRJ - Lower Granite,04/04/2025 09:00:00\n", True)
-    _w(f"{root}/rep_columbia.csv", rep + "C1,B2J - Bonneville,04/20/2025 12:00:00\nC2,B2J - Bonneville,04/25/2025 12:00:00\n", True)
+    _w(f"{root}/rep_columbia.csv", rep + "C1,B2J - Bonneville,04/20/2025 12:00:00\nC2,B2J - Bonneville,04/25/2025 12:00:00\n"
+       "C1,MCN - McNary adult ladder,04/15/2025 12:00:00\n", True)
     _w(f"{root}/upstream.csv", "Tag,Site\nC2,CLC - Clear Creek\n", True)
     _w(f"{root}/adult.csv", "Tag,Site,Obs Time,Species Name\n"
        "H3,GRA - Lower Granite Adult,07/05/2025 10:00:00,Steelhead\n"
@@ -84,6 +85,7 @@ def test_refresh_from_files(spark, tmpdir_path):
     assert set(travel) == {"C1"}  # C2 released on station and seen upstream
     assert travel["C1"]["LGR"] == dt.datetime(2025, 4, 4, 9) and travel["C1"]["lgr_traveltime"] == 8
     assert travel["C1"]["release_group"] == nf + " Early"
+    assert travel["C1"]["MCN"] is None  # MCN is not in the in-season site list
 
     summ = t["emigration_all"]
     assert summ.where(F.col("release_year") == 2025).count() == 1 and summ.where(F.col("release_year") == 2023).count() >= 1
