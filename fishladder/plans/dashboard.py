@@ -252,3 +252,31 @@ def control_limits(bound_adults: DataFrame, window: DataFrame, summaries: DataFr
     return out.withColumns({"default_adult_species": F.lit(default_species),
                             "min_date": F.lit(dt.date(as_of.year, 1, 1)),
                             "min_range_date": F.lit(dt.date(as_of.year, 3, 1))})
+
+
+# --- start-up: the shared tables every panel reads ---------------------------------------
+
+def load_app_tables(spark, catalog: dict, as_of: dt.date, first_adult_year: int) -> dict:
+    """Read the hand-off snapshots written by the refresh job (``catalog``:
+    table name -> path) and derive the tables the panels share: the bound
+    adult table (gap-filled, from ``first_adult_year``), the window rows the
+    dashboard shows, the per-species latest arrivals, gauges and summaries.
+    Nothing is collected; every entry is a lazy DataFrame."""
+    from fishladder.operators.passage import inseason_max_dates, season_dense
+    from fishladder.operators.window_counts import dashboard_window
+
+    read = {k: spark.read.parquet(v) for k, v in catalog.items()}
+    complete = season_dense(read["adult_complete"], L.species_max_dates_df(spark), "max_date")
+    inseason = season_dense(read["adult_inseason"], inseason_max_dates(spark, as_of), "inseason_max")
+    travel = read["travel"]
+    return {
+        "water": read["water"],
+        "emigration": travel,
+        "emigration_max": travel.groupBy("species").agg(
+            (F.max("LGR") + F.expr("INTERVAL 7 DAYS")).alias("LGR_max"),
+            (F.max("BONN") + F.expr("INTERVAL 7 DAYS")).alias("BON_max")),
+        "emigration_summaries": read["emigration_all"],
+        "adults": adult_bind(complete, inseason, first_adult_year),
+        "window": dashboard_window(read["window_daily"]),
+        "latest_reading": latest_reading(read["water"]),
+    }

@@ -23,3 +23,18 @@ def test_catalog_equals_registered_queries(spark, tmpdir_path):
         cols = sorted(q.columns)
         assert sorted(t.columns) == cols, table
         assert _rows(t, cols) == _rows(q, cols), table
+
+
+def test_app_tables_from_catalog(spark, tmpdir_path):
+    import datetime as dt
+
+    from fishladder.plans import dashboard as B
+    from fishladder.sources import driver as D
+    paths = build_catalog(spark, inputs_from_driver(spark, SF), f"{tmpdir_path}/cat")
+    app = B.load_app_tables(spark, paths, D.AS_OF, 1999)
+    assert set(app) >= {"water", "emigration", "adults", "window", "emigration_summaries"}
+    # a panel on the loaded tables equals the registered query over the driver tables
+    sel = B.adults(app["adults"], "Lower Granite", "Steelhead", (1999, 2002))
+    assert _rows(sel, sorted(sel.columns)) == _rows(REGISTRY["b05"](spark, SF), sorted(sel.columns))
+    assert app["emigration_max"].count() == app["emigration"].select("species").distinct().count()
+    assert isinstance(D.AS_OF, dt.date)
