@@ -91,9 +91,14 @@ def window_calendar(species, d, steelhead: str = "Steelhead"):
     return jf, dummy, spawn
 
 
+def micros(ts) -> Column:
+    """Microseconds since 1970 of a timestamp with or without time zone."""
+    return F.unix_micros(_c(ts).cast("timestamp"))
+
+
 def epoch_seconds(ts) -> Column:
     """Seconds since 1970 as double, fractions kept."""
-    return F.unix_micros(_c(ts).cast("timestamp")) / F.lit(1_000_000.0)
+    return micros(ts) / F.lit(1_000_000.0)
 
 
 def travel_days(ts, release_ts) -> Column:

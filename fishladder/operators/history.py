@@ -200,7 +200,7 @@ def exclude_upstream(df: DataFrame, marks: DataFrame, upstream_tags: DataFrame,
     if before_release:
         first_up = upstream_tags.groupBy("pit_id").agg(F.min("obs_datetime").alias("_first_up"))
         flagged = (onsite.join(first_up, "pit_id")
-                         .where(F.col("_first_up") < F.col("release_date").cast("timestamp"))
+                         .where(F.col("_first_up").cast("timestamp") < F.col("release_date").cast("timestamp"))
                          .select("pit_id"))
     else:
         flagged = onsite.select("pit_id").join(upstream_tags.select("pit_id").distinct(), "pit_id", "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import month_day_label
+from fishladder.functions.dates import micros, month_day_label
 from fishladder.operators.quantiles import grouped_quantiles, grouped_quantiles_small_domain
 from fishladder.operators.verbs import join_null_safe, union_all
 
@@ -44,8 +44,8 @@ def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
     # whole travel days: small domain -> histogram; arrival times -> rank computation
     med_days = grouped_medians(hist, keys, {"_mu_t": F.col(f"{lo_u}_traveltime"),
                                             "_ml_t": F.col(f"{lo_l}_traveltime")}, small_domain=True)
-    med_ts = grouped_medians(hist, keys, {"_mu_d": F.unix_micros(F.col(upper)),
-                                          "_ml_d": F.unix_micros(F.col(lower))})
+    med_ts = grouped_medians(hist, keys, {"_mu_d": micros(F.col(upper)),
+                                          "_ml_d": micros(F.col(lower))})
     med = _ns_join(med_days, med_ts, keys, "full_outer_keys")
     all_dates = F.count("release_date") == F.count(F.lit(1))  # min/max without na.rm
     base = hist.groupBy(*keys).agg(

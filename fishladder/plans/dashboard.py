@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import month_day_label, to_fahrenheit
+from fishladder.functions.dates import micros, month_day_label, to_fahrenheit
 from fishladder.functions.text import comma, str_c
 from fishladder.operators.density import group_kde
 from fishladder.operators.gauges import latest_reading
@@ -61,13 +61,13 @@ def timing_summary(juv: DataFrame, travel: DataFrame, species: str, dam: str = "
     the first release date (Q18) and whole days between them; axis limits."""
     keys = ["hatchery", "release_group"]
     arrived = juv.where(F.col(dam).isNotNull())
-    med = grouped_quantiles(arrived, keys, F.unix_micros(F.col(dam)), {"_m": 0.5})
+    med = grouped_quantiles(arrived, keys, micros(F.col(dam)), {"_m": 0.5})
     rel = arrived.groupBy(*keys).agg(F.min("release_date").alias("release_date"))
     j = rel.join(med, [rel[k].eqNullSafe(med[k]) for k in keys]).select(
         *[rel[k] for k in keys], rel["release_date"], med["_m"])
     j = j.withColumn("median_arrival", F.timestamp_micros(F.floor("_m").cast("long"))).drop("_m")
     j = j.withColumn("travel_days", F.floor(
-        (F.unix_micros("median_arrival") - F.unix_micros(F.col("release_date").cast("timestamp"))) / 86_400_000_000.0))
+        (micros("median_arrival") - micros(F.col("release_date").cast("timestamp"))) / 86_400_000_000.0))
     return _one_row_join(j, axis_limits(juv, travel, species, dam))
 
 
@@ -77,9 +77,9 @@ def arrival_density(juv: DataFrame, travel: DataFrame, species: str, dam: str =
 
     x and density are in days (epoch days; density per day)."""
     lim = axis_limits(juv, travel, species, dam).select(
-        (F.unix_micros("xmin") / 86_400_000_000.0).alias("lo"),
-        (F.unix_micros("xmax") / 86_400_000_000.0).alias("hi"))
-    arrived = juv.where(F.col(dam).isNotNull()).withColumn("_day", F.unix_micros(dam) / 86_400_000_000.0)
+        (micros("xmin") / 86_400_000_000.0).alias("lo"),
+        (micros("xmax") / 86_400_000_000.0).alias("hi"))
+    arrived = juv.where(F.col(dam).isNotNull()).withColumn("_day", micros(dam) / 86_400_000_000.0)
     return group_kde(arrived, ["hatchery", "release_group"], "_day", lim, n_grid, adjust)
 
 

@@ -38,3 +38,14 @@ def test_app_tables_from_catalog(spark, tmpdir_path):
     assert _rows(sel, sorted(sel.columns)) == _rows(REGISTRY["b05"](spark, SF), sorted(sel.columns))
     assert app["emigration_max"].count() == app["emigration"].select("species").distinct().count()
     assert isinstance(D.AS_OF, dt.date)
+
+
+def test_operators_accept_naive_timestamps(spark):
+    """Tables written from the registry carry TIMESTAMP_NTZ; the operators
+    must give the same answers on them."""
+    from fishladder.operators.summaries import emigration_summary
+    hist = REGISTRY["juvenile_history"](spark, SF)          # NTZ at the registry boundary
+    assert "timestamp_ntz" in dict((f.name, f.dataType.simpleString()) for f in hist.schema.fields)["LGR"]
+    got = emigration_summary(hist)
+    cols = sorted(got.columns)
+    assert _rows(got, cols) == _rows(REGISTRY["emigration_summary"](spark, SF), cols)
