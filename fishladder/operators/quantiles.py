@@ -20,7 +20,7 @@ def grouped_quantiles(df: DataFrame, keys, value, probs: dict,
     """Exact interpolated quantiles of ``value`` per ``keys``.
 
     ``value`` is a column name or Column of a numeric type (convert
-    timestamps with ``unix_micros`` first). ``probs`` maps output column name
+    timestamps with ``functions.dates.micros`` first). ``probs`` maps output column name
     to probability. NULL values are ignored; groups without values are absent.
     Output: keys + one double column per prob (+ ``count_name`` if given).
     """
