@@ -48,9 +48,12 @@ def first_per_site(det: DataFrame) -> DataFrame:
 
 
 def first_per_site_day(det: DataFrame) -> DataFrame:
-    """First detection per (tag, day, site) - collapses antenna noise."""
-    return first_by(det, ["pit_id", "obs_date", "obs_sitecode"], ["obs_datetime"],
-                    ["obs_type", "obs_year"])
+    """First detection per (tag, day, site) - collapses antenna noise.
+
+    ``obs_year`` is a function of the key (the day), so only the event type
+    rides along in the aggregation buffer and the year is derived after."""
+    first = first_by(det, ["pit_id", "obs_date", "obs_sitecode"], ["obs_datetime"], ["obs_type"])
+    return first.withColumn("obs_year", F.year("obs_date"))
 
 
 def last_per(det: DataFrame, keys) -> DataFrame:
