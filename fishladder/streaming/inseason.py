@@ -7,6 +7,11 @@ micro-batch writes only the keys whose first detection changed. Batches are
 written with dynamic partition overwrite on ``batch_id``, so a retried batch
 replaces its own output (idempotent), and ``first_detections`` folds the
 log into the current table with one partially combined aggregation.
+
+The state store keeps one row per (tag, site); its partition count is the
+session's ``spark.sql.shuffle.partitions`` at the first run of a checkpoint
+and is fixed afterwards, so size that setting for the full tag population
+(e.g. with ``session.size_for_input``) before the first run on a cluster.
 """
 
 from __future__ import annotations
