@@ -1,0 +1,390 @@
+"""Every corpus operator against a plain version, on the smallest tables and on
+a table of hard cases, and on an empty table."""
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from fishladder.llm import (chat, decontaminate, langid, mixing, pii, quality, sharding, simhash, token_counts,
+                            token_records)
+from fishladder.llm.common import work_dir
+from fishladder.llm.queries import REGISTRY
+from fishladder.llm.tokens import vocabulary_path
+
+TOKENS = ["doc_id", "start", "n_tokens", "ids_crc32"]
+PII = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
+CHAT = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]
+HITS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+COUNTS = ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+SIM = ["doc_id", "fingerprint", "component_id"]
+QUALITY = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+# --- the registered queries over the tables -----------------------------------------
+
+@pytest.mark.parametrize("name, cols, plain, inputs", [
+    ("op1_token_records", TOKENS, brute.op1, ("documents",)), ("op2_pii", PII, brute.op2, ("documents",)),
+    ("op4_chat_format", CHAT, brute.op4, ("conversations",)), ("op5_decontaminate", HITS, brute.op5, ("documents", "benchmark")),
+    ("op6_token_counts", COUNTS, brute.op6, ("documents",)), ("op9_simhash", SIM, brute.op9, ("documents",)),
+    ("op10_quality", QUALITY, brute.op10, ("documents",))])
+def test_query_matches_the_plain_version(spark, sf, tables, same, name, cols, plain, inputs):
+    same(REGISTRY[name](spark, sf), cols, plain(*(tables[t] for t in inputs)))
+
+
+# --- 1: token records ------------------------------------------------------------------
+
+def test_records_of_hard_cases(spark, hard_docs, no_docs, dicts):
+    want = brute.op1(dicts(hard_docs))
+    got = [tuple(r[c] for c in TOKENS) for r in token_records.token_records(spark, hard_docs).collect()]
+    # equal ids may come in either order: compare starts, and the records without them
+    assert sorted(r[1] for r in got)[0] == 0
+    assert sorted((str(r[0]), r[2], r[3]) for r in got) == sorted((str(r[0]), r[2], r[3]) for r in want)
+    at = 0
+    for r in sorted(got, key=lambda r: r[1]):
+        assert r[1] == at
+        at += r[2]
+    ids = [r[0] for r in sorted(got, key=lambda r: r[1])]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert token_records.token_records(spark, no_docs).collect() == []
+
+
+def test_records_round_trip_and_shuffled_reads(spark, hard_docs):
+    out = work_dir(spark, "records-test")
+    token_records.write_records(hard_docs, out, vocabulary_path())
+    key = lambda rows: sorted((str(r["doc_id"]), list(r["ids"])) for r in rows)
+    in_order = token_records.read_records(spark, out).collect()
+    shuffled = token_records.read_shuffled(spark, out, seed=3).collect()
+    assert key(in_order) == key(shuffled)
+    assert [r["doc_id"] for r in shuffled] != [r["doc_id"] for r in in_order]
+    assert [r["ids"] for r in shuffled] == [r["ids"] for r in token_records.read_shuffled(spark, out, seed=3).collect()]
+
+
+def test_damaged_records_are_noticed():
+    import io
+    record = bytearray(token_records.frame(b"\x02\x01" + bytes(8) + b"\x05\x00"))
+    assert len(list(token_records._records(io.BytesIO(bytes(record))))) == 1
+    for at in (0, 9, 15, len(record) - 6):
+        bad = bytearray(record)
+        bad[at] ^= 1
+        with pytest.raises(ValueError):
+            list(token_records._records(io.BytesIO(bytes(bad))))
+
+
+# --- 2: personal data -------------------------------------------------------------------
+
+PII_TEXTS = [
+    "a@b.c@d.e x@y @z.w@q.r", "1.2.3.4.5.6.7.8 256.1.1.1 01.002.0003.4 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "+1 (269) 555-3296 4524132264652876", "+4 9) +49 30 123456 78 9012 +1", "x" * 1500 + "@" + "y" * 1500 + ".de",
+    "1" * 1500, "1." * 900, "0 1-2 3-4 5-6 7-8 9-0 1", "..@..", "++1 23456789+2 34567890", "é@a.b ü 10.0.0.1",
+    "9" * 1500 + ".1.1.1", "a.b@c-d.e-f.g. 4111111111111111-4111111111111111"]
+
+
+def test_pii_base_spans_match_the_plain_patterns(spark, same, hard_docs, no_docs, dicts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(PII_TEXTS)], "doc_id long, text string")
+    same(pii.pii_digest(pii.pii_spans(df)), PII, brute.op2(dicts(df, ("doc_id", "text"))))
+    rest = hard_docs.where("doc_id is null or doc_id <> 7")        # one long run: see the next test
+    same(pii.pii_digest(pii.pii_spans(rest)), PII, brute.op2(dicts(rest)))
+    assert pii.pii_digest(pii.pii_spans(hard_docs)).count() == hard_docs.count()
+    assert pii.pii_digest(pii.pii_spans(no_docs)).collect() == []
+
+
+def test_pii_reads_long_runs_once():
+    """A plain search would try every start of a run; seconds would be hours."""
+    n = 1_000_000
+    assert [s[:3] for s in pii.find_spans("x" * n + "@" + "y" * n + ".de")] == [("email", 0, 2 * n + 4)]
+    assert pii.find_spans("1" * n) == [] and pii.find_spans("x" * n + "1") == [] and pii.find_spans("@" * n + "1") == []
+    assert len(pii.find_spans("1." * n)) == n // 4
+    assert pii.find_spans("9" * n + ".1.1.1 +" + "(" * n) == []
+
+
+def test_pii_further_kinds_and_scores():
+    found = {k: t[s:e] for t in ["IBAN GB82 WEST 1234 5698 7654 32.", "her social security number 123-45-6789",
+                                 "password=135299847ac0e0f0dc", 'token = "0641917ea4e9feb9cda8"'] for k, s, e, _ in pii.find_spans(t)}
+    assert found["iban"] == "GB82 WEST 1234 5698 7654 32" and found["ssn"] == "123-45-6789" and "secret" in found
+    kinds = lambda t: [k for k, *_ in pii.find_spans(t)]
+    assert "iban" not in kinds("IBAN GB82 WEST 1234 5698 7654 33")     # mod 97
+    assert "ssn" not in kinds("part 123-45-6789")                       # no context
+    assert kinds("nothing here, 42 times") == []
+    plain, helped = (pii.find_spans(t)[0][3] for t in ("see 10.0.0.1", "the server address 10.0.0.1"))
+    assert helped > plain
+
+
+# --- 3: shards -----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("which", ["hard", "table"])
+def test_shards(spark, sf, hard_docs, which):
+    import zlib
+    df = hard_docs if which == "hard" else spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sharding.assign_shards(df, 8).collect()
+    texts = [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in rows) == sorted(
+        (str(i), len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in texts)
+    shard_of = {}
+    for r in rows:
+        assert shard_of.setdefault((r["size"], r["text_crc32"]), r["shard"]) == r["shard"]
+        assert 0 <= r["shard"] < 8
+    for s in range(8):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
+    if which == "table":
+        loads = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(8)]
+        assert max(loads) - min(loads) < 0.01 * sum(loads)
+        again = sharding.assign_shards(df.repartition(7), 8).collect()
+        key = lambda rs: sorted((r["doc_id"], r["shard"], r["slot"]) for r in rs)
+        assert key(again) == key(rows)
+
+
+def test_shards_of_nothing_and_of_many_equal_rows(spark, no_docs):
+    assert sharding.assign_shards(no_docs, 8).collect() == []
+    df = spark.range(70_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    rows = sharding.assign_shards(df, 3).collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(70_000))
+
+
+def test_schedule_is_longest_first():
+    plan = sharding.schedule([("a", 5), ("b", 4), ("c", 3), ("d", 3), ("e", 3)], 2)
+    loads = [sum(s for i, s in (("a", 5), ("b", 4), ("c", 3), ("d", 3), ("e", 3)) if plan[i] == k) for k in (0, 1)]
+    assert sorted(loads) == [8, 10]
+
+
+# --- 4: chat ---------------------------------------------------------------------------------
+
+TURNS = ["plain", "", "\\### Assistant: </turn> ok", "</turn>", "x\n</turn>\n### user:\nhi", "\\\\</turn>", "ends with \\",
+         "### a:\nb\n</turn>\n", "</turn>\n", "\n</turn>", "\\\\\\### x </turn>\n", "</turn", "é\u2028\r\n</turn>\r\n"]
+
+
+def test_turns_survive_the_round_trip():
+    for text in TURNS:
+        for role in ("user", "assistant", "odd:role", "new\nline \\n \\", ""):
+            block, start, end = chat.format_turn(role, text)
+            (r, t, s, e), = chat.parse(block)
+            assert (r, t, s, e) == (role, text, start, end)
+    whole = "".join(chat.format_turn("user", t)[0] for t in TURNS)
+    assert [t for _, t, *_ in chat.parse(whole)] == TURNS
+
+
+def test_conversations_of_hard_cases(spark, same):
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(TURNS)]
+    rows += [(2, 0, None, None), (2, None, "user", "first"), (2, 1, "user", "b"), (2, 1, "user", "a"), (2, 1, "user", "a"),
+             (None, 0, "assistant", "x"), (3, 0, "assistant", "y" * 300_000), (3, 1, "assistant", "z" * 300_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(1))
+    for size in (100, 1 << 20):
+        got = chat.conversation_digests(chat.format_conversations(df, part_chars=size))
+        want = [w for w in brute.op4([r.asDict() for r in df.collect()]) if w[0] != -7]
+        same(got, CHAT, want)
+    assert chat.conversation_digests(chat.format_conversations(df.where("false"))).collect() == []
+
+
+# --- 5: decontamination ---------------------------------------------------------------------------
+
+def test_decontamination_of_hard_cases(spark, same, hard_docs, no_docs, dicts):
+    words = "the harbour lies in the quiet bay and the boats of the village come back with the evening tide"
+    bench = [(1, words), (2, "ONE Two"), (3, None), (4, ""), (5, "two"), (None, "evening tide"), (7, words), (7, "same line"),
+             (8, "word3 word4 word5 word6 word7 word8 word9 word10 word11 word12 word13 word14 word15 word16"), (9, "café déjà")]
+    b = spark.createDataFrame(bench, "item_id long, text string").withColumn("tok", F.lit(1))
+    for item in (b, b.where("item_id = 8"), b.where("item_id = 5"), b.where("false"), b.where("item_id in (3, 4)")):
+        out = decontaminate.decontaminate(hard_docs, item)
+        out = out.select("doc_id", "n_words", "n_hit", F.size("items").alias("n_items"),
+                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                         decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+        same(out, HITS, brute.op5(dicts(hard_docs), dicts(item, ("item_id", "text"))))
+    assert decontaminate.decontaminate(no_docs, b).collect() == []
+
+
+# --- 6: token counts ---------------------------------------------------------------------------------
+
+def test_token_counts_of_hard_cases(hard_docs, no_docs, same, dicts):
+    same(token_counts.token_counts(hard_docs, vocabulary_path()), COUNTS, brute.op6(dicts(hard_docs)))
+    assert token_counts.token_counts(no_docs, vocabulary_path()).collect() == []
+
+
+def test_frequent_table_is_bounded_and_right():
+    words, counts = token_counts.frequent_table(vocabulary_path(), 500)
+    t = brute.tokenizer()
+    assert len(words.split("\n")) == len(counts) == 500
+    assert [len(t.encode(w, add_special_tokens=False).ids) for w in words.split("\n")] == list(counts)
+
+
+# --- 7: mixing ---------------------------------------------------------------------------------------------
+
+def check_mix(df, rows):
+    import re
+    from collections import defaultdict
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    own = defaultdict(int)
+    for r in df.select("text", "source").collect():
+        own[r["source"]] += size(r["text"])
+    targets = brute.op7_targets(own)
+    by = defaultdict(lambda: [0, 0, 0])
+    assert len(rows) == df.count()
+    for r in rows:
+        assert r["taken"] in [k * r["size"] for k in range(4)]
+    return own, targets, by
+
+
+def test_mix_targets_match_repeated_sharing(spark):
+    import random
+    rnd = random.Random(4)
+    for n in (1, 2, 3, 7, 12):
+        sizes = {(None if i == n - 1 and n > 2 else f"s{i}"): rnd.choice([0, 1, 3, 50, 1000, 10**6]) for i in range(n)}
+        df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+        want = brute.op7_targets(sizes)
+        assert got.keys() == want.keys()
+        for s in want:
+            assert abs(got[s] - want[s]) <= 1e-9 * max(1, want[s]), (sizes, s)
+
+
+def test_mix_comes_near_its_targets(spark, hard_docs, no_docs):
+    docs = spark.range(3000).select(
+        "id", F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.pow(F.col("id") / 3000, 2) * 6).cast("int")).alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 17 + 1).cast("int")).alias("text"))
+    rows = mixing.mix(docs).collect()
+    own, targets, _ = check_mix(docs, rows)
+    of = {r["doc_id"]: r["source"] for r in docs.collect()}
+    taken = {}
+    for r in rows:
+        s = of[r["doc_id"]]
+        taken[s] = taken.get(s, 0) + r["taken"]
+        assert r["source_size"] == own[s] and abs(r["target"] - targets[s]) < 1e-6
+    for s in own:
+        assert abs(taken[s] - targets[s]) <= 17, s
+    key = lambda rs: sorted((r["doc_id"], r["taken"]) for r in rs)
+    assert key(mixing.mix(docs.repartition(5)).collect()) == key(rows)
+    assert sorted(r["doc_id"] for r in mixing.mixed_rows(docs).collect()) == sorted(
+        r["doc_id"] for r in rows for _ in range(r["copies"]))
+    check_mix(hard_docs, mixing.mix(hard_docs).collect())
+    assert mixing.mixed_rows(hard_docs).columns == hard_docs.columns
+    assert mixing.mix(no_docs).collect() == [] and mixing.mixed_rows(no_docs).collect() == []
+
+
+# --- 8: language ---------------------------------------------------------------------------------------------
+
+def test_languages_are_found_on_held_out_documents(spark, sf, tables):
+    lang = {d["doc_id"]: d["lang"] for d in tables["documents"]}
+    rows = REGISTRY["op8_language_id"](spark, sf).collect()
+    import zlib
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.98 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_of_hard_cases(spark, sf, hard_docs, no_docs):
+    trees = langid.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    got = langid.predict_languages(hard_docs, trees).collect()
+    assert len(got) == hard_docs.count()
+    by = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    for i in (3, 4, 5, 8):
+        assert by[i]["lang_pred"] == "und" and by[i]["score"] == 0.0
+    assert by[1]["lang_pred"] == "en"
+    kept = langid.known_languages(hard_docs, trees)
+    assert kept.columns == hard_docs.columns and 1 in {r["doc_id"] for r in kept.collect()}
+    assert not {3, 4, 5, 8} & {r["doc_id"] for r in kept.collect()}
+    assert langid.predict_languages(no_docs, trees).collect() == []
+    # nothing to learn from
+    none = langid.fit(no_docs)
+    assert none == {} and {r["lang_pred"] for r in langid.predict_languages(hard_docs, none).collect()} == {"und"}
+
+
+def test_code_length_is_that_of_a_proper_code():
+    """In every context the probabilities of all bytes add up to one."""
+    tree = langid.Tree({"abba": 3, "abc": 1, "bcd": 2})
+    for context in (b" ", b" a", b" ab", b" zz", b" abb"):
+        total = sum(2 ** -tree.bits(context + bytes([s]), len(context)) for s in range(256))
+        assert abs(total - 1) < 1e-9
+    scorer = langid.Scorer({"x": tree})
+    bits, n = scorer.costs("Abba abc 12")
+    assert n == 9 and abs(bits[0] - sum(tree.bits(b" " + w + b" ") for w in (b"abba", b"abc"))) < 1e-9
+
+
+# --- 9: SimHash ------------------------------------------------------------------------------------------------
+
+def test_simhash_of_hard_cases(hard_docs, no_docs, same, dicts):
+    out = simhash.near_duplicates(hard_docs).select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    same(out, SIM, brute.op9(dicts(hard_docs)))
+    assert simhash.near_duplicates(no_docs).collect() == []
+
+
+def test_links_of_chains_and_crowds(spark):
+    """Fingerprints in chains and balls: components as by comparing all pairs,
+    also where lists are dealt into sublists."""
+    import random
+    rnd = random.Random(8)
+    fps, x = set(), rnd.getrandbits(64)
+    for _ in range(60):                                  # a chain, each link 3 bits on
+        fps.add(x)
+        for b in rnd.sample(range(64), 3):
+            x ^= 1 << b
+    centre = rnd.getrandbits(64)
+    for _ in range(150):                                 # a crowd around one value
+        y = centre
+        for b in rnd.sample(range(64), rnd.randint(0, 4)):
+            y ^= 1 << b
+        fps.add(y)
+    fps |= {rnd.getrandbits(64) for _ in range(100)} | {0, (1 << 64) - 1, 1 << 63}
+    fps = sorted(fps)
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                root[find(i)] = find(j)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(6)
+    want = {}
+    for i, f in enumerate(signed):
+        want.setdefault(find(i), set()).add(f)
+    for size in (4, 2048):
+        found = {}
+        for r in simhash.components(simhash.near_links(nodes, 3, size)).collect():
+            found.setdefault(r["root"], set()).add(r["node"])
+        assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
+def test_one_row_of_each_group_stays(spark, hard_docs, dicts, no_docs):
+    kept = simhash.keep_one(hard_docs)
+    assert kept.columns == hard_docs.columns
+    rows, docs = dicts(kept), dicts(hard_docs)
+    fps = [brute.fingerprint(r["text"]) for r in rows]
+    assert all((a ^ b).bit_count() > 3 for i, a in enumerate(fps) for b in fps[:i])
+    # each component is there: its members' smallest id stays
+    assert len(rows) == len({c for *_, c in brute.op9([{**d, "doc_id": i} for i, d in enumerate(docs)])})
+    assert {r["doc_id"] for r in rows} == {c for *_, c in brute.op9(docs)}
+    assert simhash.keep_one(no_docs).collect() == []
+
+
+# --- 10: quality ------------------------------------------------------------------------------------------------
+
+def test_quality_of_hard_cases(hard_docs, no_docs, same, dicts):
+    same(quality.quality(hard_docs), QUALITY, brute.op10(dicts(hard_docs)))
+    assert quality.quality(no_docs).collect() == []
+
+
+def test_repeated_words(spark, same, dicts):
+    w = [f"w{i}" for i in range(30)]
+    texts = [" ".join(w + w), " ".join(w[:9] + ["x"] + w[:9]), " ".join(["a"] * 40), " ".join(w[:8]), " ".join(w[:7] * 2),
+             " ".join(w + ["gap"] + w[5:14] + w[3:12]), "a b\na b\n \n a b\na b", "|#|\n|#|\n|#|"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    same(quality.quality(df), QUALITY, brute.op10(dicts(df, ("doc_id", "text"))))
+
+
+def test_rules_drop_junk_and_keep_prose(spark):
+    prose = "The boats of the village come back with the evening tide and the people wait for them in the harbour. "
+    prose += "Nobody knows how long it takes until the last one is home and the lamps are out again."
+    words = prose.split()
+    junk = {"symbols": " ".join(x + "&&&" for x in words), "shouting": " ".join(x.upper() + "!!" for x in words),
+            "table": " | ".join(words) + " |", "short": "too short"}
+    rows = [("prose", prose)] + list(junk.items())
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got.pop("prose") is True and not any(got.values())
+
+
+def test_native_operators_run_no_python(spark, sf):
+    for name in ("op5_decontaminate", "op7_mixing", "op10_quality"):
+        plan = REGISTRY[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "ExistingRDD")), name
