@@ -6,6 +6,7 @@ All functions return Columns; none of them leaves the JVM.
 from __future__ import annotations
 
 import datetime as dt
+from enum import Enum
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,26 +34,67 @@ def mdy_hms(col) -> Column:
                       F.try_to_timestamp(c, F.lit("M/d/yyyy H:mm:ss")))
 
 
-# Parse attempts for a column that mixes year-first, month-first and
-# day-first dates; the first layout that parses wins.
+# Layouts of a column that mixes year-first, month-first and day-first dates.
 _ORDER_FORMATS = {"ymd": "yyyy-M-d", "mdy": "M/d/yyyy", "dmy": "d/M/yyyy"}
 
 
 def parse_mixed_date(col, orders=("ymd", "mdy", "dmy")) -> Column:
+    """One value on its own: the first order that parses wins."""
     c = F.trim(_c(col).cast("string"))
     return F.coalesce(*[F.try_to_date(c, _ORDER_FORMATS[o]) for o in orders])
 
 
+def parse_mixed_date_by(df, col: str, keys, orders=("ymd", "mdy", "dmy")):
+    """``df`` with text column ``col`` parsed to dates, the order chosen per
+    ``keys`` (e.g. the file): the order that parses most of a file's values is
+    tried first, ties in the order given, values it cannot parse go on to the
+    next. So 3/4 in a file that also has 25/4 is the 3rd of April.
+    """
+    text = F.trim(F.col(col).cast("string"))
+    attempts = [F.try_to_date(text, _ORDER_FORMATS[o]) for o in orders]
+    fits = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        *[F.count(a).alias(f"_n{i}") for i, a in enumerate(attempts)])
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    tried = F.array_sort(F.array(*[F.struct((-F.col(f"_n{i}")).alias("n"), F.lit(i).alias("i"), a.alias("d"))
+                                   for i, a in enumerate(attempts)]))
+    best = F.get(F.filter(tried, lambda x: x["d"].isNotNull()), F.lit(0))["d"]
+    out = df.join(fits, on, "left")
+    return out.select(*[best.alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
+
+
 def days_from(origin, n) -> Column:
     """origin + n days (R's as.Date(n, origin=...))."""
     return F.date_add(_lit_date(origin), _c(n).cast("int"))
 
 
-def adult_calendar(species, ts, steelhead: str = "Steelhead",
-                   switch_doy: int = L.SEASON_SWITCH_DOY):
+class SeasonRule(Enum):
+    """When a Steelhead season turns over. The program uses three switches,
+    each in its own place; they differ on 1 July of common years."""
+
+    DAY_OF_YEAR = "from day 183 of the year"
+    MONTH = "from July on"
+    FIRST_OF_JULY = "from 1 July on"
+
+
+def season_switched(d, rule: SeasonRule):
+    """True once the next season has begun on ``d`` (a date, or a date Column)."""
+    if isinstance(d, dt.date):
+        doy, month, july = d.timetuple().tm_yday, d.month, d >= dt.date(d.year, 7, 1)
+    else:
+        doy, month, july = F.dayofyear(d), F.month(d), d >= july_first(d)
+    return {SeasonRule.DAY_OF_YEAR: doy >= L.SEASON_SWITCH_DOY, SeasonRule.MONTH: month >= 7,
+            SeasonRule.FIRST_OF_JULY: july}[rule]
+
+
+def spawn_year_of(species: str, d: dt.date, rule: SeasonRule, steelhead: str = "Steelhead") -> int:
+    """Spawn year in progress for a species on a day."""
+    return d.year + 1 if species == steelhead and season_switched(d, rule) else d.year
+
+
+def adult_calendar(species, ts, steelhead: str = "Steelhead", rule: SeasonRule = SeasonRule.DAY_OF_YEAR):
     """Day-of-year season calendar for adult detections.
 
-    Returns (dummy_date, spawn_year). Steelhead seen before day ``switch_doy``
+    Returns (dummy_date, spawn_year). Steelhead seen before the switch
     map to spring (1977 origin, offset = day of year), everything else to the
     1976 origin with offset day-of-year - 1; Steelhead from the switch day on
     spawn the following year.
@@ -60,9 +102,10 @@ def adult_calendar(species, ts, steelhead: str = "Steelhead",
     doy = F.dayofyear(_c(ts))
     yr = F.year(_c(ts))
     is_sthd = _c(species) == steelhead
-    dummy = (F.when(is_sthd & (doy < switch_doy), days_from(L.SPRING_ORIGIN, doy))
+    switched = season_switched(_c(ts), rule)
+    dummy = (F.when(is_sthd & ~switched, days_from(L.SPRING_ORIGIN, doy))
              .otherwise(days_from(L.AUTUMN_ORIGIN, doy - 1)))
-    spawn = F.when(is_sthd & (doy >= switch_doy), yr + 1).otherwise(yr)
+    spawn = F.when(is_sthd & switched, yr + 1).otherwise(yr)
     return dummy, spawn
 
 
@@ -85,9 +128,10 @@ def window_calendar(species, d, steelhead: str = "Steelhead"):
     """Month-day season calendar for window counts: (july_first, dummy_date, spawn_year)."""
     jf = july_first(d)
     is_sthd = _c(species) == steelhead
-    dummy = (F.when(is_sthd & (_c(d) < jf), remap_year(d, 1977))
+    switched = season_switched(_c(d), SeasonRule.FIRST_OF_JULY)
+    dummy = (F.when(is_sthd & ~switched, remap_year(d, 1977))
              .otherwise(remap_year(d, 1976)))
-    spawn = F.when(is_sthd & (_c(d) >= jf), F.year(_c(d)) + 1).otherwise(F.year(_c(d)))
+    spawn = F.when(is_sthd & switched, F.year(_c(d)) + 1).otherwise(F.year(_c(d)))
     return jf, dummy, spawn
 
 

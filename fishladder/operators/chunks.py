@@ -1,10 +1,11 @@
 """Tag id export in fixed-size chunks for the bulk tag-history lookup.
 
 Numbering rows needs a global order, but a window without PARTITION BY
-would pull every id into one task. Instead ids are range-partitioned,
-each partition numbers its own sorted rows, and a per-partition offset
-(one row per partition: bounded by the partition count) turns local numbers
-into global ones.
+would pull every id into one task. Ids are counted (equal ids combine
+map-side), range-partitioned, and written to the shared folder together with
+the number of their range. From then on the range is data, not a property of
+a plan: the ranges' totals give each its first number, and ids are numbered
+inside their range only.
 """
 
 from __future__ import annotations
@@ -12,20 +13,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fishladder.session import work_folder
 from fishladder.sources import lookups as L
 
+RUN = 1 << 16
+
 
 def number_rows(df: DataFrame, order_col: str, name: str = "row_index") -> DataFrame:
-    """0-based global row number by ``order_col`` without a single-partition window."""
-    r = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    part = r.groupBy("_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    part = part.withColumn("_off", F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt"))
-    # one row per partition -> safe to broadcast
-    out = r.join(F.broadcast(part.select("_pid", "_first", "_off")), "_pid")
-    return out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_first", "_off")
+    """(order_col, 0-based global row number) of every row, in the order of ``order_col``."""
+    spark = df.sparkSession
+    path = work_folder(spark, "numbered-rows")
+    (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
+       .repartitionByRange(order_col).withColumn("_range", F.spark_partition_id())
+       .write.parquet(path))
+    r = spark.read.parquet(path)
+    # one row per range
+    firsts = r.groupBy("_range").agg(F.sum("_n").alias("_rows"))
+    firsts = firsts.select("_range", (F.sum("_rows").over(Window.orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")).alias("_first"))
+    before = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = r.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(F.broadcast(firsts), "_range")
+    # repeated ids: runs of at most RUN numbers, then single numbers
+    last = F.col("_n") - 1
+    out = (out.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(RUN).cast("long"))))
+              .withColumn("_k", F.explode(F.sequence("_run", F.least(F.col("_run") + (RUN - 1), last)))))
+    return out.select(order_col, (F.col("_first") + F.col("_before") + F.col("_k")).alias(name))
 
 
 def tag_chunks(marks: DataFrame, chunk: int = L.TAG_CHUNK_SIZE, id_col: str = "pit_id") -> DataFrame:

@@ -6,36 +6,31 @@ limits, using only arrivals inside the limits, bandwidth = ``adjust`` x the
 normal reference rule ``0.9 * min(sd, IQR / 1.34) * n^-0.2`` (zero -> sd,
 then |x|, then 1); groups with fewer than two arrivals are dropped.
 
-Evaluated exactly (up to a kernel cut at ``cut`` bandwidths, where the
-Gaussian is below 1e-14 of its peak), without pairing data rows: equal
-arrival times are pre-aggregated into weights, every distinct time is
-exploded only over the grid points within reach of its kernel, and the
-contributions are summed by (group, grid point) with map-side combine.
-Quartiles come from the skew-safe exact quantile operator.
+Equal arrival times are counted first (combined map-side); count, spread and
+quartiles are then window expressions over the distinct times of a group
+(bounded by the grain of the season), so the input is built once. Every
+distinct time contributes to every grid point; contributions are summed by
+(group, grid point) with map-side combine.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fishladder.operators.quantiles import grouped_quantiles
-from fishladder.operators.verbs import join_null_safe
+from fishladder.operators.quantiles import window_quantile
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-def _ns_join(left, right, keys, how="inner"):
-    return join_null_safe(left, right, keys, how)
-
-
 def group_kde(df: DataFrame, keys, value: str, limits: DataFrame, n_grid: int = 512,
-              adjust: float = 0.5, cut: float = 8.0) -> DataFrame:
+              adjust: float = 0.5, weight: str | None = None) -> DataFrame:
     """Density per group at ``n_grid`` points from ``lo`` to ``hi``.
 
-    ``value`` is a numeric column (e.g. epoch days); ``limits`` is a one-row
+    ``value`` is a numeric column (e.g. epoch days), ``weight`` a column of
+    counts where ``df`` is counted already; ``limits`` is a one-row
     DataFrame with columns ``lo`` and ``hi`` in the same unit (an aggregate
     of the data, so no value passes through the driver). Output: keys,
     point (0-based), x, density.
@@ -44,33 +39,30 @@ def group_kde(df: DataFrame, keys, value: str, limits: DataFrame, n_grid: int =
     lim = F.broadcast(limits.select(F.col("lo").cast("double").alias("_lo"),
                                     F.col("hi").cast("double").alias("_hi"),
                                     F.lit(1).alias("_k")))
-    pts = (df.select(*keys, F.col(value).cast("double").alias("_x"), F.lit(1).alias("_k"))
-             .join(lim, "_k").drop("_k")
-             .where(F.col("_x").isNotNull() & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
-    q = grouped_quantiles(pts, keys, "_x", {"_q1": 0.25, "_q3": 0.75})
-    mom = pts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
-                                 F.min("_x").alias("_x1"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    st = _ns_join(mom.where(F.col("_n") >= 2), q, keys)
-    lo_ref = F.least(F.col("_sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
+    times = df.groupBy(*keys, F.col(value).cast("double").alias("_x")).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
+    pts = (times.withColumn("_k", F.lit(1)).join(lim, "_k").drop("_k")
+                .where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))))
+    group = Window.partitionBy(*keys)
+    c, x = F.col("_c"), F.col("_x")
+    st = pts.withColumns({
+        "_n": F.sum(c).over(group), "_mean": F.sum(c * (x - F.col("_lo"))).over(group), "_x1": F.min(x).over(group),
+        "_upto": F.sum(c).over(group.orderBy(x).rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    st = st.withColumn("_mean", F.col("_lo") + F.col("_mean") / F.col("_n")).where(F.col("_n") >= 2)
+    quart = lambda p: window_quantile(x, c, F.col("_upto"), F.col("_n"), p, group)
+    st = st.withColumns({
+        "_sd": F.sqrt(F.sum(c * (x - F.col("_mean")) * (x - F.col("_mean"))).over(group) / (F.col("_n") - 1)),
+        "_iqr": quart(0.75) - quart(0.25)})
+    lo_ref = F.least(F.col("_sd"), F.col("_iqr") / 1.34)
     base = (F.when(lo_ref > 0, lo_ref).when(F.col("_sd") > 0, F.col("_sd"))
              .when(F.abs("_x1") > 0, F.abs("_x1")).otherwise(F.lit(1.0)))
-    st = (st.withColumn("_bw", F.lit(adjust) * 0.9 * base * F.pow(F.col("_n").cast("double"), -0.2))
-            .withColumn("_step", (F.col("_hi") - F.col("_lo")) / (n_grid - 1))
-            .select(*keys, "_n", "_bw", "_lo", "_step"))
-
-    w = pts.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_w"))
-    w = _ns_join(w, st, keys)
-    lo, step, bw = F.col("_lo"), F.col("_step"), F.col("_bw")
-    first = F.greatest(F.lit(0), F.ceil((F.col("_x") - cut * bw - lo) / step).cast("int"))
-    last = F.least(F.lit(n_grid - 1), F.floor((F.col("_x") + cut * bw - lo) / step).cast("int"))
-    contrib = (w.where(last >= first)
-                .withColumn("point", F.explode(F.sequence(first, last)))
-                .withColumn("_z", (lo + F.col("point") * step - F.col("_x")) / bw)
-                .withColumn("_c", F.col("_w") * F.exp(-0.5 * F.col("_z") * F.col("_z"))
-                            / (F.col("_n") * bw * SQRT_2PI)))
-    sums = contrib.groupBy(*keys, "point").agg(F.sum("_c").alias("density"))
-
-    grid = st.select(*keys, "_lo", "_step", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))).alias("point"))
-    out = _ns_join(grid, sums, keys + ["point"], "left")
-    return out.select(*keys, "point", (F.col("_lo") + F.col("point") * F.col("_step")).alias("x"),
-                      F.coalesce("density", F.lit(0.0)).alias("density"))
+    st = st.select(*keys, "_x", "_c", "_n", "_lo",
+                   (F.lit(adjust) * 0.9 * base * F.pow(F.col("_n").cast("double"), -0.2)).alias("_bw"),
+                   ((F.col("_hi") - F.col("_lo")) / (n_grid - 1)).alias("_step"))
+    # the times of one group share a task here; deal them out before each becomes n_grid rows
+    st = st.repartition(*keys, "_x")
+    at = F.col("_lo") + F.col("point") * F.col("_step")
+    z = (at - F.col("_x")) / F.col("_bw")
+    contrib = (st.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))))
+                 .withColumn("_d", F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_bw") * SQRT_2PI)))
+    return contrib.groupBy(*keys, "point", at.alias("x")).agg(F.sum("_d").alias("density"))

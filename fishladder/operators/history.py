@@ -79,21 +79,20 @@ def dam_grid(long: DataFrame, levels=None) -> DataFrame:
     """Every observed tag x every dam level (+ the NULL level when some
     site was unmapped), missing combinations with NULL first_detection.
 
-    Each tag row is exploded over the literal level list (<= 10 entries), so
-    the grid is tags x levels and is generated without a cross join.
+    One conditional ``min`` per level makes a wide row per tag, which is then
+    stacked into (level, time) pairs over the literal level list.
     """
     levels = L.DAM_LEVELS if levels is None else levels
-    codes = F.array(*[F.lit(c) for c in levels], F.lit(None).cast("string"))
     # one-row flag: does any detection sit at an unmapped site?
-    flag = long.agg(F.max(F.col("dam_code").isNull().cast("int")).alias("_has_null")) \
-               .withColumn("_k", F.lit(1))
-    tags = (long.select("pit_id").distinct().withColumn("_k", F.lit(1))
-                .join(F.broadcast(flag), "_k").drop("_k")
-                .withColumn("_code", F.explode(codes))
-                .where(F.col("_code").isNotNull() | (F.col("_has_null") == 1))
-                .drop("_has_null").withColumnRenamed("pit_id", "_pid"))
-    j = tags.join(long, (F.col("_pid") == F.col("pit_id")) & F.col("_code").eqNullSafe(F.col("dam_code")), "left")
-    return j.select(F.col("_pid").alias("pit_id"), F.col("_code").alias("dam_code"), "first_detection")
+    flag = long.agg(F.max(F.col("dam_code").isNull().cast("int")).alias("_has_null")).withColumn("_k", F.lit(1))
+    at = {c: F.min(F.when(F.col("dam_code") == c, F.col("first_detection"))).alias(f"_{i}") for i, c in enumerate(levels)}
+    wide = long.groupBy("pit_id").agg(
+        *at.values(), F.min(F.when(F.col("dam_code").isNull(), F.col("first_detection"))).alias("_none"))
+    cells = [F.struct(F.lit(c).alias("dam_code"), F.col(f"_{i}").alias("first_detection")) for i, c in enumerate(levels)]
+    unmapped = F.struct(F.lit(None).cast("string").alias("dam_code"), F.col("_none").alias("first_detection"))
+    stacked = F.when(F.col("_has_null") == 1, F.array(*cells, unmapped)).otherwise(F.array(*cells))
+    return (wide.withColumn("_k", F.lit(1)).join(F.broadcast(flag), "_k")
+                .select("pit_id", F.explode(stacked).alias("_cell")).select("pit_id", "_cell.*"))
 
 
 def wide_first_detections(det_dams: DataFrame, keys=("pit_id",), levels=None,

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import adult_calendar, ocean_age
+from fishladder.functions.dates import SeasonRule, adult_calendar, ocean_age, spawn_year_of
 from fishladder.operators.verbs import carry_forward, densify_dates, last_by, running_totals
 from fishladder.sources import lookups as L
 from fishladder.sources.lookups import literal_df
@@ -74,8 +74,7 @@ def daily_passage(events: DataFrame) -> DataFrame:
 
 def current_spawn_years(as_of: dt.date) -> dict:
     """Spawn year in progress per species at ``as_of`` (month switch)."""
-    sthd = as_of.year + 1 if as_of.month >= 7 else as_of.year
-    return {"Chinook": as_of.year, "Steelhead": sthd}
+    return {s: spawn_year_of(s, as_of, SeasonRule.MONTH) for s in ("Chinook", "Steelhead")}
 
 
 def inseason_filter(daily: DataFrame, as_of: dt.date) -> DataFrame:

@@ -2,75 +2,106 @@
 
 ``percentile``/``median`` keep a value->count map per group inside a single
 aggregation buffer, so a release group holding a third of all tags would land
-in one task. Here the values are range-partitioned on (group, value) instead,
-which splits a hot group over many tasks; each task numbers its sorted rows,
-a small per-(partition, group) table turns local numbers into global ranks,
-and only the two rows around each requested rank are fetched back. The result
+in one task. Here equal values are counted first (combined map-side), and
+values fall into order-preserving buckets by a deterministic expression of the
+value alone. The bucket totals of a group give each wanted rank its bucket;
+only those buckets are numbered value by value. No partition ids, no sampled
+bounds: the result does not depend on how Spark plans or reuses a shuffle. It
 is R / DuckDB ``quantile_cont`` (type 7): ``v[lo] + frac * (v[hi] - v[lo])``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fishladder.operators.verbs import join_null_safe
 
-def grouped_quantiles(df: DataFrame, keys, value, probs: dict,
-                      count_name: str | None = None) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per ``keys``.
 
-    ``value`` is a column name or Column of a numeric type (convert
-    timestamps with ``functions.dates.micros`` first). ``probs`` maps output column name
-    to probability. NULL values are ignored; groups without values are absent.
-    Output: keys + one double column per prob (+ ``count_name`` if given).
-    """
-    keys = list(keys)
+def value_counts(df: DataFrame, keys, value) -> DataFrame:
+    """keys, _v, _c: rows per group and non-NULL value."""
     v = F.col(value) if isinstance(value, str) else value
-    d = df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
-
-    ranked = (d.repartitionByRange(*keys, "_v")
-                .sortWithinPartitions(*keys, "_v")
-                .withColumns({"_pid": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}))
-
-    # Per (partition, group): first local id and row count; then, per group,
-    # how many of its rows sit in earlier partitions. A group spans at most
-    # all partitions, so this window is bounded by the partition count.
-    part = (ranked.groupBy("_pid", *keys)
-                  .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    part = part.withColumns({
-        "_off": F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_pid")
-                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt"),
-        "_n": F.sum("_cnt").over(Window.partitionBy(*keys))})
-
-    # Requested ranks (1-based) per group and probability.
-    wanted = []
+    return (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+
+
+def bucket(v: Column, width=None) -> Column:
+    """Order-preserving bucket of a number: ``floor(v / width)``, or without a
+    width 32 steps per power of two (mirrored for negative values)."""
+    if width is not None:
+        return F.floor(v / width).cast("long")
+    step = 100_000 + F.floor(F.log2(F.abs(v).cast("double")) * 32).cast("long")
+    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, step).otherwise(-step)
+
+
+def _wanted(probs: dict, n: Column) -> Column:
+    """The (1-based) ranks each probability needs in a group of ``n`` rows."""
+    out = []
     for name, p in probs.items():
-        h = (F.col("_n") - 1) * F.lit(float(p))
+        h = (n - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(h) + 1), ("hi", F.ceil(h) + 1)):
-            wanted.append(F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"),
-                                   rank.cast("long").alias("rank"),
-                                   (h - F.floor(h)).alias("frac")))
-    targets = (part.withColumn("_w", F.explode(F.array(*wanted)))
-                   .where((F.col("_w.rank") > F.col("_off")) &
-                          (F.col("_w.rank") <= F.col("_off") + F.col("_cnt")))
-                   .select(*[F.col(k) for k in keys], "_n", F.col("_w.q").alias("_q"),
-                           F.col("_w.side").alias("_side"), F.col("_w.frac").alias("_frac"),
-                           (F.col("_first") + F.col("_w.rank") - F.col("_off") - 1).alias("_tid")))
-
-    # Fetch the few target rows by their unique id. The target table holds at
-    # most 2 x groups x probs rows; AQE measures it and broadcasts when small.
-    hits = (ranked.select("_id", "_v")
-                  .join(targets, F.col("_id") == F.col("_tid"))
-                  .select(*keys, "_n", "_q", "_side", "_frac", F.col("_v").cast("double").alias("_v")))
-    per_q = (hits.groupBy(*keys, "_n", "_q")
-                 .agg(F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_lo"),
-                      F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_hi"),
-                      F.max("_frac").alias("_frac"))
-                 .withColumn("_val", F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))))
-    aggs = [F.max(F.when(F.col("_q") == name, F.col("_val"))).alias(name) for name in probs]
+            out.append(F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), rank.cast("long").alias("rank"),
+                                (h - F.floor(h)).alias("frac")))
+    return F.array(*out)
+
+
+def quantiles_of_counts(counts: DataFrame, keys, probs: dict, count_name: str | None = None,
+                        width=None) -> DataFrame:
+    """``grouped_quantiles`` of a counted table (keys, _v, _c)."""
+    keys = list(keys)
+    counts = counts.withColumn("_b", bucket(F.col("_v"), width))
+    # one row per (group, bucket): prefix sums over buckets, never over rows
+    hist = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_t"))
+    group = Window.partitionBy(*keys)
+    hist = hist.withColumns({
+        "_before": F.sum("_t").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_t"),
+        "_n": F.sum("_t").over(group)})
+    held = F.exists(_wanted(probs, F.col("_n")), lambda r: (r["rank"] > F.col("_before"))
+                    & (r["rank"] <= F.col("_before") + F.col("_t")))
+    target = hist.where(held).select(*keys, "_b", "_before", "_n")    # at most two buckets per group and probability
+
+    cells = join_null_safe(counts, target, keys + ["_b"])
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v")
+                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cells = cells.withColumn("_upto", F.col("_before") + upto)
+    covered = F.filter(_wanted(probs, F.col("_n")), lambda r: (r["rank"] > F.col("_upto") - F.col("_c"))
+                       & (r["rank"] <= F.col("_upto")))
+    hits = cells.select(*keys, "_n", F.col("_v").cast("double").alias("_v"), F.explode(covered).alias("_r"))
+
+    pick = lambda name, side, col: F.max(F.when((F.col("_r.q") == name) & (F.col("_r.side") == side), F.col(col)))
+    aggs = []
+    for name in probs:
+        lo, hi = pick(name, "lo", "_v"), pick(name, "hi", "_v")
+        aggs.append((lo + pick(name, "lo", "_r.frac") * (hi - lo)).alias(name))
     if count_name:
         aggs.append(F.max("_n").alias(count_name))
-    return per_q.groupBy(*keys).agg(*aggs)
+    return hits.groupBy(*keys).agg(*aggs)
+
+
+def grouped_quantiles(df: DataFrame, keys, value, probs: dict, count_name: str | None = None,
+                      width=None) -> DataFrame:
+    """Exact interpolated quantiles of ``value`` per ``keys``.
+
+    ``value`` is a column name or Column of a numeric type (convert
+    timestamps with ``functions.dates.micros`` first). ``probs`` maps output column name
+    to probability; ``width`` is the bucket width (a number or a Column over the
+    keys) where the caller knows the grain. NULL values are ignored; groups
+    without values are absent. Output: keys + one double column per prob
+    (+ ``count_name`` if given).
+    """
+    keys = list(keys)
+    return quantiles_of_counts(value_counts(df, keys, value), keys, probs, count_name, width)
+
+
+def window_quantile(v: Column, c: Column, upto: Column, n: Column, p: float, group) -> Column:
+    """Quantile of a counted table as a window expression: ``upto`` is the
+    running sum of the counts ``c`` in value order, ``n`` their total, ``group``
+    the unordered window of the group."""
+    h = (n - 1) * F.lit(float(p))
+    covers = lambda r: (upto - c < r) & (upto >= r)
+    lo = F.max(F.when(covers(F.floor(h) + 1), v)).over(group).cast("double")
+    hi = F.max(F.when(covers(F.ceil(h) + 1), v)).over(group).cast("double")
+    return lo + (h - F.floor(h)) * (hi - lo)
 
 
 def grouped_quantiles_small_domain(df: DataFrame, keys, value, probs: dict) -> DataFrame:
@@ -81,18 +112,14 @@ def grouped_quantiles_small_domain(df: DataFrame, keys, value, probs: dict) -> D
     value domain, e.g. the days of a season), never over rows.
     """
     keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    h = (df.select(*[F.col(k) for k in keys], v.alias("_v")).where(F.col("_v").isNotNull())
-           .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    h = value_counts(df, keys, value)
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = h.withColumns({"_cum": F.sum("_c").over(w), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
     aggs = []
     for name, p in probs.items():
         hh = (F.col("_n") - 1) * F.lit(float(p))
-        lo_rank, hi_rank = F.floor(hh) + 1, F.ceil(hh) + 1
         covers = lambda r: (F.col("_cum") - F.col("_c") < r) & (F.col("_cum") >= r)
-        lo = F.max(F.when(covers(lo_rank), F.col("_v"))).cast("double")
-        hi = F.max(F.when(covers(hi_rank), F.col("_v"))).cast("double")
-        frac = F.max(hh - F.floor(hh))
-        aggs.append((lo + frac * (hi - lo)).alias(name))
+        lo = F.max(F.when(covers(F.floor(hh) + 1), F.col("_v"))).cast("double")
+        hi = F.max(F.when(covers(F.ceil(hh) + 1), F.col("_v"))).cast("double")
+        aggs.append((lo + F.max(hh - F.floor(hh)) * (hi - lo)).alias(name))
     return h.groupBy(*keys).agg(*aggs)

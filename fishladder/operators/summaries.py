@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fishladder.functions.dates import micros, month_day_label
-from fishladder.operators.quantiles import grouped_quantiles, grouped_quantiles_small_domain
+from fishladder.operators.quantiles import quantiles_of_counts
 from fishladder.operators.verbs import join_null_safe, union_all
 
 SUMMARY_KEYS = ["hatchery", "species", "release_year", "release_group"]
@@ -16,45 +16,59 @@ def _ns_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> Data
     return join_null_safe(left, right, keys, how)
 
 
-def grouped_medians(df: DataFrame, keys, measures: dict, small_domain: bool = False) -> DataFrame:
-    """Exact medians of several measures in one pass.
+def stacked_counts(df: DataFrame, keys, measures: dict) -> DataFrame:
+    """keys, _m, _v, _c: rows per group, measure and value (NULL included).
 
-    ``measures`` maps output name -> numeric Column. The measures are stacked
-    into (keys, measure, value) so one computation serves all of them:
-    the distributed rank computation for continuous values, or the
-    histogram path when ``small_domain`` (few distinct values, e.g. days).
-    """
-    keys = list(keys)
+    ``measures`` maps name -> integer Column. All measures are stacked into
+    one counted table, so ``df`` is read once for all of them."""
     pairs = F.array(*[F.struct(F.lit(name).alias("_m"), col.cast("long").alias("_v"))
                       for name, col in measures.items()])
     stacked = df.select(*keys, F.explode(pairs).alias("_s")).select(*keys, "_s._m", "_s._v")
-    quantiles = grouped_quantiles_small_domain if small_domain else grouped_quantiles
-    q = quantiles(stacked, keys + ["_m"], "_v", {"_med": 0.5})
+    return stacked.groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def grouped_medians(df: DataFrame, keys, measures: dict, width=None) -> DataFrame:
+    """Exact medians of several integer measures (name -> Column) in one pass."""
+    keys = list(keys)
+    counts = stacked_counts(df, keys, measures).where(F.col("_v").isNotNull())
+    q = quantiles_of_counts(counts, keys + ["_m"], {"_med": 0.5}, width=width)
     return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == name, F.col("_med"))).alias(name)
                                   for name in measures])
 
 
+DAY_MICROS = 86_400_000_000
+
+
 def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
                        keys=None) -> DataFrame:
     """Per hatchery x species x release year x group: floor of the median
     travel days, date of the median arrival and detection count at the upper
-    and lower dam, and the first/last release day as 'Month dd'."""
+    and lower dam, and the first/last release day as 'Month dd'.
+
+    Travel days, arrival times and release days are counted together in one
+    aggregation of the histories; counts, first and last days and all four
+    medians come from that table.
+    """
     keys = SUMMARY_KEYS if keys is None else list(keys)
     lo_u, lo_l = upper.lower(), lower.lower()
-    # whole travel days: small domain -> histogram; arrival times -> rank computation
-    med_days = grouped_medians(hist, keys, {"_mu_t": F.col(f"{lo_u}_traveltime"),
-                                            "_ml_t": F.col(f"{lo_l}_traveltime")}, small_domain=True)
-    med_ts = grouped_medians(hist, keys, {"_mu_d": micros(F.col(upper)),
-                                          "_ml_d": micros(F.col(lower))})
-    med = _ns_join(med_days, med_ts, keys, "full_outer_keys")
-    all_dates = F.count("release_date") == F.count(F.lit(1))  # min/max without na.rm
-    base = hist.groupBy(*keys).agg(
-        F.count(upper).alias(f"{lo_u}_detections"),
-        F.count(lower).alias(f"{lo_l}_detections"),
-        F.when(all_dates, month_day_label(F.min("release_date"))).alias("earliest_release"),
-        F.when(all_dates, month_day_label(F.max("release_date"))).alias("latest_release"))
+    counts = stacked_counts(hist, keys, {
+        "_mu_t": F.col(f"{lo_u}_traveltime"), "_ml_t": F.col(f"{lo_l}_traveltime"),
+        "_mu_d": micros(F.col(upper)), "_ml_d": micros(F.col(lower)),
+        "_rel": F.datediff(F.col("release_date").cast("date"), F.lit("1970-01-01").cast("date"))})
+    of, v, c = (lambda m: F.col("_m") == m), F.col("_v"), F.col("_c")
+    seen = lambda m: F.coalesce(F.sum(F.when(of(m) & v.isNotNull(), c)), F.lit(0)).cast("long")
+    day = lambda agg: month_day_label(F.date_add(F.lit("1970-01-01").cast("date"), agg(F.when(of("_rel"), v)).cast("int")))
+    all_dates = F.count(F.when(of("_rel") & v.isNull(), 1)) == 0           # min/max without na.rm
+    base = counts.groupBy(*keys).agg(
+        seen("_mu_d").alias(f"{lo_u}_detections"), seen("_ml_d").alias(f"{lo_l}_detections"),
+        F.when(all_dates, day(F.min)).alias("earliest_release"), F.when(all_dates, day(F.max)).alias("latest_release"))
+    # buckets: whole days for arrival times, single values for travel days
+    width = F.when(F.col("_m").isin("_mu_d", "_ml_d"), F.lit(DAY_MICROS)).otherwise(F.lit(1))
+    measured = counts.where((F.col("_m") != "_rel") & v.isNotNull())
+    q = quantiles_of_counts(measured, keys + ["_m"], {"_med": 0.5}, width=width)
+    med = q.groupBy(*keys).agg(*[F.max(F.when(of(m), F.col("_med"))).alias(m) for m in ("_mu_t", "_ml_t", "_mu_d", "_ml_d")])
     j = _ns_join(base, med, keys)
-    ts_date = lambda c: F.to_date(F.timestamp_micros(F.floor(F.col(c)).cast("long")))
+    ts_date = lambda c: F.to_date(F.timestamp_micros(F.floor(F.col(c)).cast("long")))
     return j.select(
         *keys,
         F.floor("_mu_t").cast("long").alias(f"median_{lo_u}"),

@@ -81,23 +81,22 @@ def densify_dates(df: DataFrame, keys, date_col: str, upper: str) -> DataFrame:
     """Add the missing days of every group from its first day to ``upper``.
 
     ``upper`` is a column of ``df`` (the group's season end; its max per group
-    is used). Rows outside the generated range are kept (full outer join,
-    N12); a group whose end lies before its first day gets no new rows (N13).
-    The generated grid is bounded by groups x season length.
+    is used). Every row is followed by the days up to the next row's day, or
+    to the end for the last one, so no join is needed and filters on the keys
+    reach the input. Rows beyond the end or without a day are kept (N12); a
+    group whose end lies before its first day gets no new rows (N13). New
+    rows have the keys and the day only.
     """
     keys = _names(keys)
-    bounds = (df.groupBy(*keys)
-                .agg(F.min(date_col).alias("_lo"), F.max(upper).alias("_hi"))
-                .where(F.col("_hi") >= F.col("_lo")))
-    grid = bounds.select(*[F.col(k).alias("_g_" + k) for k in keys],
-                         F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY")))
-                         .alias("_g_" + date_col))
-    allk = keys + [date_col]
-    cond = [F.col("_g_" + k).eqNullSafe(F.col(k)) for k in allk]
-    joined = grid.join(df, cond, "full_outer")
-    out_cols = [F.coalesce(F.col("_g_" + k), F.col(k)).alias(k) for k in allk]
-    rest = [F.col(c) for c in df.columns if c not in allk]
-    return joined.select(*out_cols, *rest)
+    day, group = F.col(date_col), Window.partitionBy(*_names(keys))
+    d = df.withColumns({"_next": F.lead(date_col).over(group.orderBy(F.col(date_col).asc_nulls_first())),
+                        "_end": F.max(upper).over(group)})
+    last = F.least(F.date_sub("_next", 1), F.col("_end"))
+    fill = F.when(day.isNotNull() & F.col("_end").isNotNull() & (last > day),
+                  F.sequence(day, last, F.expr("INTERVAL 1 DAY"))).otherwise(F.array(day))
+    d = d.select(*df.columns, F.posexplode(fill).alias("_pos", "_day"))
+    rest = [c for c in df.columns if c not in keys + [date_col]]
+    return d.select(*keys, F.col("_day").alias(date_col), *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in rest])
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import window_calendar
+from fishladder.functions.dates import SeasonRule, spawn_year_of, window_calendar
 from fishladder.functions.text import str_c, word
 from fishladder.operators.verbs import filter_not_in, running_totals, union_all
 from fishladder.sources import lookups as L
@@ -79,9 +79,7 @@ def window_daily(report: DataFrame, columns=None) -> DataFrame:
 def current_spawn_years_df(spark, as_of: dt.date, species=None) -> DataFrame:
     """Per species, the spawn year in progress (day-of-year switch)."""
     species = L.WINDOW_SPECIES if species is None else species
-    doy = as_of.timetuple().tm_yday
-    rows = [(s, as_of.year + 1 if (s == "Steelhead" and doy >= L.SEASON_SWITCH_DOY) else as_of.year)
-            for s in species]
+    rows = [(s, spawn_year_of(s, as_of, SeasonRule.DAY_OF_YEAR)) for s in species]
     return literal_df(spark, rows, "species string, spawn_year int")
 
 

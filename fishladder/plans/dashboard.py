@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import micros, month_day_label, to_fahrenheit
+from fishladder.functions.dates import SeasonRule, micros, month_day_label, season_switched, to_fahrenheit
 from fishladder.functions.text import comma, str_c
 from fishladder.operators.density import group_kde
 from fishladder.operators.gauges import latest_reading
-from fishladder.operators.quantiles import grouped_quantiles
+from fishladder.operators.quantiles import window_quantile
 from fishladder.operators.verbs import filter_not_in, last_by, union_all
 from fishladder.operators.window_counts import current_spawn_years_df
 from fishladder.sources import lookups as L
@@ -30,13 +30,17 @@ def _one_row_join(df: DataFrame, one: DataFrame) -> DataFrame:
 
 # --- juvenile emigration (B1-B4, D30, D29) -------------------------------------------
 
+def juvenile_selection(species: str, hatchery: str = "DWOR", chinook_groups=None):
+    """B1 as a condition on the travel table."""
+    groups = L.DASHBOARD_CHINOOK_GROUPS if chinook_groups is None else chinook_groups
+    own = F.col("hatchery") == hatchery if species == "Steelhead" else F.col("release_group").isin(list(groups))
+    return (F.col("species") == species) & own
+
+
 def juveniles(travel: DataFrame, species: str, hatchery: str = "DWOR",
               chinook_groups=None) -> DataFrame:
     """B1: Steelhead -> one hatchery; otherwise the named release groups."""
-    groups = L.DASHBOARD_CHINOOK_GROUPS if chinook_groups is None else chinook_groups
-    if species == "Steelhead":
-        return travel.where((F.col("species") == species) & (F.col("hatchery") == hatchery))
-    return travel.where((F.col("species") == species) & F.col("release_group").isin(list(groups)))
+    return travel.where(juvenile_selection(species, hatchery, chinook_groups))
 
 
 def tag_count(juv: DataFrame, hatchery: str = "DWOR") -> DataFrame:
@@ -46,41 +50,55 @@ def tag_count(juv: DataFrame, hatchery: str = "DWOR") -> DataFrame:
     return one.withColumn("tag_label", str_c("Number Tagged: ", comma("tag_count")))
 
 
-def axis_limits(juv: DataFrame, travel: DataFrame, species: str, dam: str = "LGR") -> DataFrame:
+ARRIVAL_KEYS = ["hatchery", "release_group"]
+
+
+def arrivals(travel: DataFrame, species: str, dam: str, selection) -> DataFrame:
+    """Arrivals of a species at a dam, counted per hatchery x release group and
+    time: everything the timing panels need, from one pass over the travel
+    table. ``_own``: rows of the panel's selection; the others only bound the axis."""
+    return (travel.where((F.col("species") == species) & F.col(dam).isNotNull())
+                  .groupBy(F.coalesce(selection, F.lit(False)).alias("_own"), *ARRIVAL_KEYS, micros(dam).alias("_us"))
+                  .agg(F.count(F.lit(1)).alias("_c"), F.min("release_date").alias("_rel")))
+
+
+def axis_limits(counted: DataFrame) -> DataFrame:
     """One row: xmin = first release - 2 days, xmax = latest arrival of the
-    species at ``dam`` + 7 days (A4, A8)."""
-    arrived = juv.where(F.col(dam).isNotNull())
-    lo = arrived.agg((F.min("release_date").cast("timestamp") - F.expr("INTERVAL 2 DAYS")).alias("xmin"))
-    hi = (travel.where(F.col("species") == species)
-                .agg((F.max(dam) + F.expr("INTERVAL 7 DAYS")).alias("xmax")))
-    return _one_row_join(lo, hi)
+    species + 7 days (A4, A8)."""
+    return counted.agg(
+        (F.min(F.when(F.col("_own"), F.col("_rel"))).cast("timestamp") - F.expr("INTERVAL 2 DAYS")).alias("xmin"),
+        (F.timestamp_micros(F.max("_us")) + F.expr("INTERVAL 7 DAYS")).alias("xmax"))
 
 
-def timing_summary(juv: DataFrame, travel: DataFrame, species: str, dam: str = "LGR") -> DataFrame:
+def timing_summary(travel: DataFrame, species: str, dam: str = "LGR", selection=None) -> DataFrame:
     """D30 / B3-B4 lines: per hatchery x release group the median arrival,
-    the first release date (Q18) and whole days between them; axis limits."""
-    keys = ["hatchery", "release_group"]
-    arrived = juv.where(F.col(dam).isNotNull())
-    med = grouped_quantiles(arrived, keys, micros(F.col(dam)), {"_m": 0.5})
-    rel = arrived.groupBy(*keys).agg(F.min("release_date").alias("release_date"))
-    j = rel.join(med, [rel[k].eqNullSafe(med[k]) for k in keys]).select(
-        *[rel[k] for k in keys], rel["release_date"], med["_m"])
-    j = j.withColumn("median_arrival", F.timestamp_micros(F.floor("_m").cast("long"))).drop("_m")
+    the first release date (Q18) and whole days between them; axis limits.
+    The median runs over the distinct arrival times of a group."""
+    selection = juvenile_selection(species) if selection is None else selection
+    counted = arrivals(travel, species, dam, selection)
+    group = Window.partitionBy(*ARRIVAL_KEYS)
+    upto = F.sum("_c").over(group.orderBy("_us").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    t = counted.where("_own").withColumns({"_upto": upto, "_n": F.sum("_c").over(group)})
+    t = t.withColumn("_m", window_quantile(F.col("_us"), F.col("_c"), F.col("_upto"), F.col("_n"), 0.5, group))
+    j = t.groupBy(*ARRIVAL_KEYS).agg(
+        F.min("_rel").alias("release_date"),
+        F.timestamp_micros(F.floor(F.max("_m")).cast("long")).alias("median_arrival"))
     j = j.withColumn("travel_days", F.floor(
         (micros("median_arrival") - micros(F.col("release_date").cast("timestamp"))) / 86_400_000_000.0))
-    return _one_row_join(j, axis_limits(juv, travel, species, dam))
+    return _one_row_join(j, axis_limits(counted))
 
 
-def arrival_density(juv: DataFrame, travel: DataFrame, species: str, dam: str = "LGR",
+def arrival_density(travel: DataFrame, species: str, dam: str = "LGR", selection=None,
                     n_grid: int = 512, adjust: float = 0.5) -> DataFrame:
     """D29 / B3-B4 curves: density of arrival days per hatchery x group.
 
     x and density are in days (epoch days; density per day)."""
-    lim = axis_limits(juv, travel, species, dam).select(
-        (micros("xmin") / 86_400_000_000.0).alias("lo"),
-        (micros("xmax") / 86_400_000_000.0).alias("hi"))
-    arrived = juv.where(F.col(dam).isNotNull()).withColumn("_day", micros(dam) / 86_400_000_000.0)
-    return group_kde(arrived, ["hatchery", "release_group"], "_day", lim, n_grid, adjust)
+    selection = juvenile_selection(species) if selection is None else selection
+    counted = arrivals(travel, species, dam, selection)
+    lim = axis_limits(counted).select((micros("xmin") / 86_400_000_000.0).alias("lo"),
+                                      (micros("xmax") / 86_400_000_000.0).alias("hi"))
+    own = counted.where("_own").withColumn("_day", F.col("_us") / 86_400_000_000.0)
+    return group_kde(own, ARRIVAL_KEYS, "_day", lim, n_grid, adjust, weight="_c")
 
 
 # --- adults (B5-B9) ---------------------------------------------------------------------
@@ -99,20 +117,22 @@ def adult_current_sy(spark, as_of: dt.date) -> DataFrame:
     return current_spawn_years_df(spark, as_of, L.ADULT_SPECIES)
 
 
-def adult_ytd(sel: DataFrame, species: str, as_of: dt.date, hatcheries) -> DataFrame:
+def adult_ytd(sel: DataFrame, species: str, as_of: dt.date, hatcheries, names: dict | None = None) -> DataFrame:
     """Per hatchery, the season total of the row with the largest
-    running total in the species' current spawn year."""
+    running total in the species' current spawn year; the text shows the
+    hatchery's name (``names``: code -> name)."""
     sy = adult_current_sy(sel.sparkSession, as_of).where(F.col("species") == species).select("spawn_year")
     cur = sel.join(F.broadcast(sy), "spawn_year", "left_semi").where(F.col("hatchery").isin(list(hatcheries)))
     top = last_by(cur, ["hatchery"], ["running_total"], ["annual_total", "dummy_date"])
-    return top.select("hatchery", "annual_total", str_c(F.col("hatchery"), F.lit(": "),
-                                                        F.col("annual_total").cast("string")).alias("label"))
+    names = L.HATCHERY_NAMES if names is None else names
+    shown = F.coalesce(*[F.when(F.col("hatchery") == code, name) for code, name in names.items()], F.col("hatchery"))
+    return top.select("hatchery", "annual_total", str_c(shown, F.lit(": "), F.col("annual_total").cast("string")).alias("label"))
 
 
 def _dummy_day(species: str, d: dt.date) -> dt.date:
     """The adult dummy-calendar day of a real date (same rule as D18)."""
     doy = d.timetuple().tm_yday
-    if species == "Steelhead" and doy < L.SEASON_SWITCH_DOY:
+    if species == "Steelhead" and not season_switched(d, SeasonRule.DAY_OF_YEAR):
         return L.SPRING_ORIGIN + dt.timedelta(days=doy)
     return L.AUTUMN_ORIGIN + dt.timedelta(days=doy - 1)
 
@@ -200,11 +220,17 @@ def window_cumulative_series(sel: DataFrame, limits: DataFrame, as_of: dt.date)
 
 # --- emigration comparison (B15-B16) -------------------------------------------------------
 
+def comparison_selection(species: str, years: tuple):
+    """B15 as a condition on the summary keys; it can be applied before the
+    summaries are made, as it looks at keys only."""
+    excl = L.COMPARISON_EXCLUDED["Chinook" if species == "Chinook" else "other"]
+    return ((F.col("release_year") >= min(years)) & (F.col("release_year") <= max(years))
+            & (F.col("species") == species) & filter_not_in("release_group", excl))
+
+
 def emigration_comparison(summaries: DataFrame, species: str, years: tuple) -> DataFrame:
     """Summaries in the year range, without named groups (NULL kept)."""
-    excl = L.COMPARISON_EXCLUDED["Chinook" if species == "Chinook" else "other"]
-    return summaries.where((F.col("release_year") >= min(years)) & (F.col("release_year") <= max(years))
-                           & (F.col("species") == species) & filter_not_in("release_group", excl))
+    return summaries.where(comparison_selection(species, years))
 
 
 def comparison_series(cmp: DataFrame, upper: str = "LGR", lower: str = "BONN") -> DataFrame:

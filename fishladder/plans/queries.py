@@ -11,7 +11,7 @@ import threading
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import parse_mixed_date
+from fishladder.functions.dates import parse_mixed_date_by
 from fishladder.operators import history as H
 from fishladder.operators import releases as R
 from fishladder.operators import summaries as S
@@ -135,7 +135,8 @@ def q_mixed_dates(spark, sf):
             .when(F.col("Project") == "Bonneville", F.date_format("Date", "M/d/yyyy"))
             .otherwise(F.date_format("Date", "d/M/yyyy")))
     t = w.select(F.col("Project").alias("dam"), fmt.alias("date_text"))
-    return t.select("dam", "date_text", parse_mixed_date("date_text").alias("date"))
+    # the dam stands for the file the row came from
+    return parse_mixed_date_by(t.withColumn("date", F.col("date_text")), "date", ["dam"])
 
 
 # --- first events, dams, wide histories -------------------------------------------------
@@ -152,9 +153,10 @@ def q_first_per_site_day(spark, sf):
 
 @query("first_per_site_stream")
 def q_first_per_site_stream(spark, sf):
-    """D4 as an incremental stream over the report rows (state store min)."""
-    from fishladder.streaming.inseason import stream_parquet_reports
-    return stream_parquet_reports(spark, sf, "lineitem.parquet", D.report_rows)
+    """D4 by the stream's own steps over the report rows: the updates of one
+    batch, folded like the batch log (a stream itself runs only when started)."""
+    from fishladder.streaming.inseason import fold, updates
+    return fold(updates(D.report(spark, sf)))
 
 
 @query("first_per_dam")
@@ -438,6 +440,10 @@ HATCH = D.HATCHERY_ROLES
 ADULT_FIRST_YEAR = 1999
 
 
+def own(species):
+    return B.juvenile_selection(species, hatchery=HATCH["DWOR"])
+
+
 @shared
 def juveniles_df(spark, sf, species="Chinook") -> DataFrame:
     return B.juveniles(inseason_travel_df(spark, sf), species, hatchery=HATCH["DWOR"])
@@ -479,13 +485,12 @@ def _rounded_density(df: DataFrame) -> DataFrame:
 
 @query("group_kde")
 def q_group_kde(spark, sf):
-    return _rounded_density(B.arrival_density(juveniles_df(spark, sf, "Steelhead"), inseason_travel_df(spark, sf),
-                                              "Steelhead", "LGR"))
+    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Steelhead", "LGR", own("Steelhead")))
 
 
 @query("timing_summary")
 def q_timing_summary(spark, sf):
-    return B.timing_summary(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR")
+    return B.timing_summary(inseason_travel_df(spark, sf), "Chinook", "LGR", own("Chinook"))
 
 
 @query("b01")
@@ -505,17 +510,17 @@ def q_b02(spark, sf):
 
 @query("b03")
 def q_b03(spark, sf):
-    return _rounded_density(B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "LGR"))
+    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Chinook", "LGR", own("Chinook")))
 
 
 @query("b04")
 def q_b04(spark, sf):
-    return _rounded_density(B.arrival_density(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN"))
+    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Chinook", "BONN", own("Chinook")))
 
 
 @query("b04_lines")
 def q_b04_lines(spark, sf):
-    return B.timing_summary(juveniles_df(spark, sf), inseason_travel_df(spark, sf), "Chinook", "BONN")
+    return B.timing_summary(inseason_travel_df(spark, sf), "Chinook", "BONN", own("Chinook"))
 
 
 @query("b05")
@@ -525,7 +530,8 @@ def q_b05(spark, sf):
 
 @query("b06")
 def q_b06(spark, sf):
-    return B.adult_ytd(adults_sel_undensified(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()))
+    names = {role: L.HATCHERY_NAMES[code] for code, role in HATCH.items()}
+    return B.adult_ytd(adults_sel_undensified(spark, sf), "Steelhead", D.AS_OF, list(HATCH.values()), names)
 
 
 @query("b07")
@@ -568,20 +574,23 @@ def q_b14(spark, sf):
     return B.window_cumulative_series(window_sel(spark, sf), L.window_plot_limits_df(spark), D.AS_OF)
 
 
-@shared
-def emigration_all_df(spark, sf) -> DataFrame:
-    return S.emigration_all(S.emigration_summary(juvenile_history_df(spark, sf)),
-                            S.emigration_summary(inseason_travel_df(spark, sf)))
+def comparison_df(spark, sf, species, years) -> DataFrame:
+    """The selection looks at summary keys only, so it is applied to the
+    histories and the medians of other species and years are never computed."""
+    sel = B.comparison_selection(species, years)
+    both = S.emigration_all(S.emigration_summary(juvenile_history_df(spark, sf).where(sel)),
+                            S.emigration_summary(inseason_travel_df(spark, sf).where(sel)))
+    return B.emigration_comparison(both, species, years)
 
 
 @query("b15")
 def q_b15(spark, sf):
-    return B.emigration_comparison(emigration_all_df(spark, sf), "Chinook", (1997, 2001))
+    return comparison_df(spark, sf, "Chinook", (1997, 2001))
 
 
 @query("b16")
 def q_b16(spark, sf):
-    return B.comparison_series(B.emigration_comparison(emigration_all_df(spark, sf), "Steelhead", (1997, 2001)))
+    return B.comparison_series(comparison_df(spark, sf, "Steelhead", (1997, 2001)))
 
 
 @query("b17")

@@ -3,8 +3,8 @@
 Inputs come either from landed files (``inputs_from_files``) or from the
 benchmark driver tables (``inputs_from_driver``); both produce the same
 normalised DataFrames, and ``build_catalog`` turns them into the tables the
-dashboard reads. Tables are written with ``write_snapshot`` (staging + swap)
-under ``out_root``; marks and daily detections are written first and read
+dashboard reads. Tables are written with ``write_snapshot`` (a new version,
+then the switch) under ``out_root``; marks and daily detections are written first and read
 back, which cuts the lineage that every later table shares (a written table
 in the shared folder, so lost executors never force a recompute from raw).
 """
@@ -90,7 +90,7 @@ def inputs_from_driver(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: str | None = None) -> dict:
-    """Write all hand-off tables; returns {table name: path}."""
+    """Write all hand-off tables; returns {table name: folder of the version written}."""
     root = out_root.rstrip("/")
     paths = {}
 
@@ -113,11 +113,12 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
                                               inp.upstream, release_dates=inp.release_dates))
     save("emigration_all", S.emigration_all(hist_summary, S.emigration_summary(travel)))
 
-    adults_hist = save("adult_detections", P.adult_detections(day_first, marks, L.ADULT_OBS_TYPES), "spawn_year")
     drop = inp.drop_spawn_year if inp.drop_spawn_year is not None else inp.as_of.year
+    finished = P.complete_filter(drop)          # the season that is not over stays out of the saved table
+    save("adult_detections", finished(P.adult_detections(day_first, marks, L.ADULT_OBS_TYPES)), "spawn_year")
     per_site = {d: L.PASSAGE_PER_SITE.get(d, True) for d in inp.passage_sites}
     complete = save("adult_complete", P.passage_tables_reduced(day_first, marks, inp.passage_sites, per_site,
-                                                               P.complete_filter(drop), obs_types=L.ADULT_OBS_TYPES))
+                                                               finished, obs_types=L.ADULT_OBS_TYPES))
     rep = inp.adult_report.where(F.col("report_species") != "Coho")
     inseason = save("adult_inseason", P.passage_tables_reduced(rep, marks, inp.passage_sites, per_site,
                                                                lambda df: P.inseason_filter(df, inp.as_of)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +72,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder for one intermediate table.
+
+    Only a local session may go without ``spark.checkpoint.dir``; its driver
+    and workers share one machine and get one temporary folder.
+    """
+    fallback = None
+    if spark.sparkContext.master.split("[")[0] == "local":
+        fallback = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="fishladder-")
+    return f"{checkpoint_dir(spark, fallback).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total size of the given files/folders from file-system metadata."""
     jvm = spark._jvm
@@ -82,21 +96,21 @@ def input_bytes(spark: SparkSession, paths) -> int:
 
 
 def size_for_input(spark: SparkSession, nbytes: int, target_partition_bytes: int = 256 << 20,
-                   expansion: float = 1.0, max_partitions: int = 50_000) -> dict:
+                   expansion: float = 1.0, max_partitions: int | None = None) -> dict:
     """Size shuffles and scan splits for an input of ``nbytes`` (compressed).
 
     The largest shuffle is assumed to carry about ``expansion`` times the
     compressed input (every big shuffle here follows a map-side reduction).
     AQE starts from enough partitions for ``target_partition_bytes`` each and
     coalesces small ones at run time, so the number only has to be large
-    enough. It is capped: map tasks x reduce partitions shuffle blocks must
-    stay manageable (at 100 TB: ~800k map tasks x 50k partitions), so past
-    the cap partitions grow instead (~2 GB each at 100 TB, which sort-based
-    shuffle spills). Scan splits stay at 128 MB unless the input is small
+    enough. A job whose shuffle service cannot manage that many blocks (map
+    tasks x reduce partitions) names its own ``max_partitions``; partitions
+    then grow instead. Scan splits stay at 128 MB unless the input is small
     relative to the cores.
     """
     cores = spark.sparkContext.defaultParallelism
-    initial = min(max_partitions, max(cores, int(nbytes * expansion / target_partition_bytes) + 1))
+    initial = max(cores, int(nbytes * expansion / target_partition_bytes) + 1)
+    initial = min(initial, max_partitions or initial)
     split = min(128 << 20, max(4 << 20, nbytes // max(1, cores)))
     conf = {
         "spark.sql.shuffle.partitions": str(initial),

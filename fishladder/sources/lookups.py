@@ -110,6 +110,7 @@ COMPARISON_EXCLUDED = {
     "other": ["Meadow Creek", "Snake Kelts", "Newsome Creek"],
 }
 DASHBOARD_HATCHERIES = ["DWOR", "KOOS", "CLWH"]
+HATCHERY_NAMES = {"DWOR": "Dworshak", "KOOS": "Kooskia", "CLWH": "Clearwater"}
 
 # --- fixed values: seasons and calendars -------------------------------------
 

@@ -1,9 +1,9 @@
 """Readers for the landed input files.
 
 All readers go through ``spark.read`` so files are split and read in
-parallel. The driver only touches file metadata: it lists paths and reads at
-most a few KB from the head of a file to sniff a line separator or a header
-line (the number of files is what the driver sees, never their rows).
+parallel. The driver lists paths; header lines and line separators are read
+by a Spark job (one small row per file comes back, however long the header),
+so many files do not queue up behind the driver.
 """
 
 from __future__ import annotations
@@ -13,11 +13,9 @@ from collections import OrderedDict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import parse_mixed_date
+from fishladder.functions.dates import parse_mixed_date_by
 from fishladder.operators.verbs import union_all
 
-SNIFF_BYTES = 8192
-
 
 # --- file-system helpers (Hadoop FS, so they work for any cluster store) ----------
 
@@ -31,47 +29,61 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> list[str
     """Files directly under ``path`` (or ``path`` itself) ending in ``suffix``, sorted."""
     p, fs = _fs_path(spark, path)
     if fs.getFileStatus(p).isFile():
-        return [path]
+        return [fs.makeQualified(p).toString()]
     out = [st.getPath().toString() for st in fs.listStatus(p)
            if st.isFile() and st.getPath().getName().lower().endswith(suffix)]
     return sorted(out)
 
 
-def head_bytes(spark: SparkSession, path: str, n: int = SNIFF_BYTES) -> bytes:
-    p, fs = _fs_path(spark, path)
-    stream = fs.open(p)
-    try:
-        status = fs.getFileStatus(p)
-        size = int(min(n, status.getLen()))
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)) if size else b""
-    finally:
-        stream.close()
-
-
-def sniff_line_sep(head: bytes, encoding: str) -> str:
-    text = head.decode(encoding, errors="ignore")
-    return "\r\n" if "\r\n" in text else "\n"
-
-
-def header_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
-    text = head_bytes(spark, path).decode(encoding, errors="ignore").lstrip("﻿")
-    return text.splitlines()[0] if text else ""
+def file_heads(spark: SparkSession, files: list[str], encoding: str = "utf-8") -> list[tuple[str, str, str]]:
+    """(path, header line, line separator) of every file, in the order given.
+
+    Tasks read each file up to its first line end, wherever that is. The
+    separator is the one that ends the header line.
+    """
+    def read(batches):
+        import codecs
+        import re
+
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+        for batch in batches:
+            rows = []
+            for i, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                uri = re.sub("^file:/(?!/)", "file:///", path).replace("s3a://", "s3://")
+                store, at = pafs.FileSystem.from_uri(uri)
+                decode, text = codecs.getincrementaldecoder(encoding)(errors="replace"), ""
+                with store.open_input_stream(at) as stream:
+                    while "\n" not in text and (data := stream.read(1 << 16)):
+                        text += decode.decode(data)
+                line = text.partition("\n")[0].lstrip("\ufeff")
+                rows.append((i, line.rstrip("\r"), "\r\n" if line.endswith("\r") else "\n"))
+            yield pa.RecordBatch.from_pydict({"i": pa.array([r[0] for r in rows], pa.int32()), "head": [r[1] for r in rows],
+                                              "sep": [r[2] for r in rows]})
+
+    if not files:
+        return []
+    tasks = min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    paths = spark.createDataFrame(list(enumerate(files)), "i int, path string").repartition(tasks)
+    found = {r["i"]: r for r in paths.mapInArrow(read, "i int, head string, sep string").collect()}  # a row per listed file
+    return [(f, found[i]["head"], found[i]["sep"]) for i, f in enumerate(files)]
 
 
 # --- S1: UTF-16LE detection reports ------------------------------------------------
 
 def read_utf16_report(spark: SparkSession, path: str) -> DataFrame:
     """Delimited UTF-16LE report (with or without BOM, LF or CRLF), all
-    columns as strings. The line separator is sniffed from the file head
-    because a wrong one silently yields wrong rows."""
-    files = list_files(spark, path)
-    by_sep: OrderedDict[str, list[str]] = OrderedDict()
-    for f in files:
-        by_sep.setdefault(sniff_line_sep(head_bytes(spark, f), "utf-16-le"), []).append(f)
-    parts = [spark.read.options(header=True, encoding="UTF-16LE", lineSep=sep, inferSchema=False).csv(group)
-             for sep, group in by_sep.items()]
-    df = union_all(*parts)
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    columns as strings. The line separator is the one that ends the header
+    line, because a wrong one silently yields wrong rows; files stack by
+    column name."""
+    groups: OrderedDict[tuple, list[str]] = OrderedDict()
+    for f, head, sep in file_heads(spark, list_files(spark, path), "utf-16-le"):
+        groups.setdefault((head, sep), []).append(f)
+    parts = []
+    for (_, sep), files in groups.items():
+        df = spark.read.options(header=True, encoding="UTF-16LE", lineSep=sep, inferSchema=False).csv(files)
+        parts.append(df.toDF(*[c.lstrip("\ufeff") for c in df.columns]))
+    return union_all(*parts)
 
 
 def read_detection_report(spark: SparkSession, path: str) -> DataFrame:
@@ -95,32 +107,46 @@ def read_mark_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tag_histories(spark: SparkSession, directory: str) -> DataFrame:
-    """All ``*.csv`` tag-history exports in a directory as one table (S3)."""
-    return read_csv_strings(spark, directory, pathGlobFilter="*.csv")
+    """All ``*.csv`` tag-history exports in a directory as one table (S3),
+    stacked by column name."""
+    return read_csv_union(spark, directory)
 
 
 # --- S4/S5/S6: CSV sets whose headers differ -------------------------------------------
 
-def read_csv_union(spark: SparkSession, paths, encoding: str = "utf-8") -> DataFrame:
+FILE = "_source_file"
+
+
+def read_csv_union(spark: SparkSession, paths, encoding: str = "utf-8", with_file: bool = False) -> DataFrame:
     """Files grouped by identical header line, each group read in one
-    ``spark.read``, groups stacked by column name (missing -> NULL)."""
+    ``spark.read``, groups stacked by column name (missing -> NULL).
+    ``with_file`` adds each row's file path as ``_source_file``."""
     files = []
     for p in ([paths] if isinstance(paths, str) else list(paths)):
         files.extend(list_files(spark, p))
     groups: OrderedDict[str, list[str]] = OrderedDict()
-    for f in files:
-        groups.setdefault(header_line(spark, f, encoding), []).append(f)
-    return union_all(*[read_csv_strings(spark, g) for g in groups.values()])
+    for f, head, _ in file_heads(spark, files, encoding):
+        groups.setdefault(head, []).append(f)
+    parts = [read_csv_strings(spark, g) for g in groups.values()]
+    if with_file:
+        parts = [p.withColumn(FILE, F.col("_metadata.file_path")) for p in parts]
+    return union_all(*parts)
 
 
 WINDOW_TEXT_COLUMNS = {"Project", "Date", "Chinook Run"}
 
 
+def _with_dates(df: DataFrame, orders) -> DataFrame:
+    if "Date" in df.columns:
+        df = parse_mixed_date_by(df, "Date", [FILE], orders)
+    return df.drop(FILE)
+
+
 def read_window_reports(spark: SparkSession, paths, date_orders=("ymd", "mdy", "dmy")) -> DataFrame:
     """Window-count reports (current or finished layout, any mix),
-    ``Date`` unified from mixed layouts (D3), counts and temperature numeric."""
-    df = read_csv_union(spark, paths)
-    df = df.withColumn("Date", parse_mixed_date("Date", date_orders))
+    ``Date`` unified with the order that fits each file (D3), counts and
+    temperature numeric."""
+    df = _with_dates(read_csv_union(spark, paths, with_file=True), date_orders)
     for c in df.columns:
         if c not in WINDOW_TEXT_COLUMNS:
             df = df.withColumn(c, F.expr(f"try_cast(`{c}` AS double)"))
@@ -130,16 +156,19 @@ def read_window_reports(spark: SparkSession, paths, date_orders=("ymd", "mdy", "
 def read_gauge_daily(spark: SparkSession, paths) -> DataFrame:
     """Landed daily gauge values (site_no, Date, X_00010_00003,
     X_00060_00003; either value column may be absent for a site)."""
-    df = read_csv_union(spark, paths)
+    df = _with_dates(read_csv_union(spark, paths, with_file=True), ("ymd", "mdy", "dmy"))
     for c in ("X_00010_00003", "X_00060_00003"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("double"))
-        else:
-            df = df.withColumn(c, F.expr(f"try_cast(`{c}` AS double)"))
-    return df.withColumn("Date", parse_mixed_date("Date"))
+        value = F.expr(f"try_cast(`{c}` AS double)") if c in df.columns else F.lit(None).cast("double")
+        df = df.withColumn(c, value)
+    return df
 
 
 # --- S7: snapshots -----------------------------------------------------------------------
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The current version of a table written by ``sinks.write_snapshot``."""
+    from fishladder.sources.sinks import current_version
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(version)

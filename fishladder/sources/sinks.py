@@ -4,33 +4,60 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+KEEP_VERSIONS = 2       # the current one and the one before, which running readers may still use
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of the table's pointer files, oldest first."""
+    jvm, fs, root = _fs(spark, f"{path.rstrip('/')}/_pointers")
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    # a pointer's name is number.version: complete as soon as it exists
+    found = [n.split(".", 1) for n in names if n[:1].isdigit()]
+    return sorted((int(n), v) for n, v in found)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the table's current version; None if there is no table."""
+    found = _pointers(spark, path)
+    return f"{path.rstrip('/')}/{found[-1][1]}" if found else None
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by=None) -> str:
-    """Replace the Parquet table at ``path``.
+    """Write a new version of the table at ``path`` and make it current.
 
-    The data is written to a sibling staging folder first and swapped in by
-    renames, so a failed job never leaves a half-written table and a plan may
-    read the table it replaces.
+    A version is a folder of its own below ``path`` that is never changed. The
+    table switches by one new, empty pointer file whose name carries the
+    version: there is no moment without a table, nothing is renamed, a job
+    that fails before the switch leaves the old version current, and a plan
+    may read the table it replaces. Returns the version's folder.
+
+    Rows are dealt out by the partition columns first, so a partition has few
+    files; Spark splits a partition that is larger than others (REBALANCE).
     """
     spark = df.sparkSession
-    jvm = spark._jvm
-    staging = f"{path.rstrip('/')}.__staging_{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
+    root = path.rstrip("/")
+    version = f"v-{uuid.uuid4().hex}"
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(staging)
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}")
-    had_old = fs.exists(target)
-    if had_old:
-        fs.rename(target, old)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        if had_old:
-            fs.rename(old, target)
-        raise RuntimeError(f"could not move {staging} to {path}")
-    if had_old:
-        fs.delete(old, True)
-    return path
+        by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(f"{root}/{version}")
+    else:
+        df.write.mode("errorifexists").parquet(f"{root}/{version}")
+    old = _pointers(spark, root)
+    number = old[-1][0] + 1 if old else 1
+    jvm, fs, pointer = _fs(spark, f"{root}/_pointers/{number:012d}.{version}")
+    if not fs.createNewFile(pointer):
+        raise RuntimeError(f"could not make {version} the current version of {root}")
+    for n, v in old[:-(KEEP_VERSIONS - 1)] if KEEP_VERSIONS > 1 else old:
+        for gone in (f"{root}/_pointers/{n:012d}.{v}", f"{root}/{v}"):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(gone), True)
+    return f"{root}/{version}"

@@ -33,10 +33,18 @@ t AS (
                        WHEN 'Bonneville' THEN strftime(d, '%-m/%-d/%Y')
                        ELSE strftime(d, '%-d/%-m/%Y') END AS date_text
   FROM w)
-SELECT dam, date_text,
-       CAST(COALESCE(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y'),
-                     try_strptime(date_text, '%d/%m/%Y')) AS DATE) AS date
-FROM t"""
+-- per dam (file): the layout that parses most values goes first, ties as listed
+, p AS (
+  SELECT dam, date_text, try_strptime(date_text, '%Y-%m-%d') AS d1, try_strptime(date_text, '%m/%d/%Y') AS d2,
+         try_strptime(date_text, '%d/%m/%Y') AS d3 FROM t),
+n AS (SELECT dam, count(d1) AS n1, count(d2) AS n2, count(d3) AS n3 FROM p GROUP BY dam),
+o AS (
+  SELECT dam, date_text, d, row_number() OVER (PARTITION BY dam, date_text ORDER BY n DESC, i) AS rn FROM (
+    SELECT p.dam, date_text, d1 AS d, n1 AS n, 1 AS i FROM p JOIN n ON p.dam = n.dam UNION ALL
+    SELECT p.dam, date_text, d2, n2, 2 FROM p JOIN n ON p.dam = n.dam UNION ALL
+    SELECT p.dam, date_text, d3, n3, 3 FROM p JOIN n ON p.dam = n.dam) WHERE d IS NOT NULL)
+SELECT t.dam, t.date_text, CAST(o.d AS DATE) AS date
+FROM t LEFT JOIN o ON t.dam = o.dam AND t.date_text = o.date_text AND o.rn = 1"""
 
 SQL["first_per_site"] = """
 SELECT pit_id, site, sitecode, obs_datetime FROM (
@@ -495,7 +503,8 @@ HATCHERIES = "('BUILDING', 'FURNITURE', 'MACHINERY')"
 
 SQL["b05"] = B05
 SQL["b06"] = f"""
-SELECT hatchery, annual_total, hatchery || ': ' || CAST(annual_total AS VARCHAR) AS label FROM (
+SELECT hatchery, annual_total, CASE hatchery WHEN 'BUILDING' THEN 'Dworshak' WHEN 'FURNITURE' THEN 'Kooskia'
+       WHEN 'MACHINERY' THEN 'Clearwater' ELSE hatchery END || ': ' || CAST(annual_total AS VARCHAR) AS label FROM (
   SELECT *, row_number() OVER (PARTITION BY hatchery ORDER BY running_total DESC, annual_total DESC,
                                                               dummy_date DESC) AS rn
   FROM ({B05}) WHERE spawn_year = 2002 AND hatchery IN {HATCHERIES} AND running_total IS NOT NULL)

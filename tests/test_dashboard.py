@@ -65,7 +65,9 @@ def test_tag_count_and_axis(spark):
         "species string, hatchery string, release_date timestamp, LGR timestamp")
     tc = B.tag_count(juv, "DWOR").collect()[0]
     assert (tc["selected_species"], tc["tag_count"], tc["tag_label"]) == ("Chinook", 1, "Number Tagged: 1")
-    ax = B.axis_limits(juv, juv, "Chinook").collect()[0]
+    juv = juv.withColumn("release_group", F.lit("g"))
+    counted = B.arrivals(juv, "Chinook", "LGR", F.col("hatchery") == "DWOR")
+    ax = B.axis_limits(counted).collect()[0]
     assert ax["xmin"] == T(2025, 3, 25) and ax["xmax"] == T(2025, 4, 27)
 
 

@@ -63,13 +63,82 @@ def test_window_reports_mixed_headers_and_dates(spark, tmpdir_path):
                    ("Lower Granite", D(2025, 4, 13), 10.0, None, 2.0)]
 
 
-def test_snapshot_swap_reads_and_replaces(spark, tmpdir_path):
+def test_csvs_stack_by_column_name(spark, tmpdir_path):
+    """The same two columns in another order must not change places."""
+    open(os.path.join(tmpdir_path, "a.csv"), "w").write("Tag Code,Event Type Name\nT1,Recapture\n")
+    open(os.path.join(tmpdir_path, "b.csv"), "w").write("Event Type Name,Tag Code\nObservation,T2\n")
+    df = readers.read_tag_histories(spark, tmpdir_path)
+    assert rows(df, "Tag Code", "Event Type Name") == [("T1", "Recapture"), ("T2", "Observation")]
+
+
+def test_headers_of_any_length(spark, tmpdir_path):
+    """Two headers that differ only far behind the start of the file."""
+    cols = [f"column_with_a_long_name_{i:04d}" for i in range(1200)]
+    for name, tail in (("a", ["X", "Y"]), ("b", ["Y", "X"])):
+        lines = [",".join(cols + tail), ",".join(["0"] * len(cols) + [c.lower() + name for c in tail])]
+        open(os.path.join(tmpdir_path, f"{name}.csv"), "w").write("\n".join(lines) + "\n")
+        _utf16(os.path.join(tmpdir_path, f"{name}16.txt"), lines, True, name == "a")
+    assert os.path.getsize(os.path.join(tmpdir_path, "a.csv")) > 3 * 8192
+    assert rows(readers.read_csv_union(spark, tmpdir_path), "X", "Y") == [("xa", "ya"), ("xb", "yb")]
+    for name in "ab":
+        df = readers.read_utf16_report(spark, os.path.join(tmpdir_path, f"{name}16.txt"))
+        assert rows(df, "X", "Y") == [(f"x{name}", f"y{name}")]
+
+
+def test_date_order_is_chosen_per_file(spark, tmpdir_path):
+    head = "Project,Date,Chinook Run,TempC,Chin\n"
+    open(os.path.join(tmpdir_path, "dm.csv"), "w").write(head + "A,3/4/2024,Sp,7,1\nA,25/4/2024,Sp,7,2\nA,2024-04-26,Sp,7,3\n")
+    open(os.path.join(tmpdir_path, "md.csv"), "w").write(head + "B,3/4/2024,Sp,7,1\nB,4/25/2024,Sp,7,2\n")
+    df = readers.read_window_reports(spark, tmpdir_path)
+    assert rows(df, "Project", "Date") == [("A", D(2024, 4, 3)), ("A", D(2024, 4, 25)), ("A", D(2024, 4, 26)),
+                                           ("B", D(2024, 3, 4)), ("B", D(2024, 4, 25))]
+
+
+def test_snapshot_versions(spark, tmpdir_path, monkeypatch):
+    from fishladder.sources import sinks
     path = os.path.join(tmpdir_path, "tbl")
-    write_snapshot(spark.range(5), path)
+    ids = lambda: sorted(r[0] for r in readers.read_snapshot(spark, path).collect())
+    first = write_snapshot(spark.range(5), path)
+    assert ids() == [0, 1, 2, 3, 4] and first.startswith(path)
     # overwrite a table with a plan that reads it
-    write_snapshot(spark.read.parquet(path).where("id > 1"), path)
-    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [2, 3, 4]
-    assert [n for n in os.listdir(tmpdir_path) if "__" in n] == []
+    write_snapshot(readers.read_snapshot(spark, path).where("id > 1"), path)
+    assert ids() == [2, 3, 4]
+    assert sorted(r[0] for r in spark.read.parquet(first).collect()) == [0, 1, 2, 3, 4]    # running readers keep theirs
+
+    # the switch fails: an error, and the old version stays current
+    real = sinks._pointers
+    monkeypatch.setattr(sinks, "_pointers", lambda s, p: [(n - 1, v) for n, v in real(s, p)])
+    os.makedirs(os.path.join(path, "_pointers"), exist_ok=True)
+
+    class Refused:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def createNewFile(self, _):
+            return False
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    fs_of = sinks._fs
+    monkeypatch.setattr(sinks, "_fs", lambda s, p: (lambda jvm, fs, x: (jvm, Refused(fs), x))(*fs_of(s, p)))
+    try:
+        write_snapshot(spark.range(1), path)
+        raise AssertionError("a refused switch must raise")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert ids() == [2, 3, 4]
+    # only the current version and the one before stay
+    write_snapshot(spark.range(2), path)
+    assert ids() == [0, 1] and len(os.listdir(os.path.join(path, "_pointers"))) <= 4
+
+
+def test_partitioned_snapshot_has_few_files(spark, tmpdir_path):
+    df = spark.range(20000).select((F.col("id") % 5).alias("year"), "id").repartition(16)
+    out = write_snapshot(df, os.path.join(tmpdir_path, "t"), "year")
+    files = [f for d, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 10 and spark.read.parquet(out).count() == 20000
 
 
 def test_size_for_input(spark):
@@ -78,7 +147,9 @@ def test_size_for_input(spark):
     assert n > 1_000_000
     conf = size_for_input(spark, 10 * 2**40)             # 10 TiB compressed input
     assert 10_000 < int(conf["spark.sql.shuffle.partitions"]) <= 50_000
-    assert int(size_for_input(spark, 100 * 2**40)["spark.sql.shuffle.partitions"]) == 50_000
+    # the count follows the input; only a job's own limit stops it
+    assert int(size_for_input(spark, 100 * 2**40)["spark.sql.shuffle.partitions"]) > 400_000
+    assert int(size_for_input(spark, 100 * 2**40, max_partitions=50_000)["spark.sql.shuffle.partitions"]) == 50_000
     assert conf["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
     size_for_input(spark, n)
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= spark.sparkContext.defaultParallelism

@@ -95,3 +95,24 @@ def test_first_by_equals_window_definition(spark):
     ref = (det.where(F.col("obs_datetime").isNotNull()).withColumn("rn", F.row_number().over(w))
               .where("rn = 1").select("pit_id", "obs_date", "obs_sitecode", "obs_datetime", "obs_type", "obs_year"))
     assert got == sorted(ref.collect())
+
+
+def test_panels_are_the_same_on_the_filled_tables(spark):
+    """B6, B7 and B19 are registered on the tables before gap filling and
+    summarising; the dashboard hands them the filled and summarised ones."""
+    from fishladder.operators import summaries as S
+    from fishladder.operators import window_counts as WC
+    from fishladder.plans import dashboard as B
+    from fishladder.plans import queries as Q
+    from fishladder.sources import driver as D
+    names = {role: Q.L.HATCHERY_NAMES[code] for code, role in Q.HATCH.items()}
+    dense = Q.adults_sel(spark, SF)
+    key = lambda df: sorted(str(r.asDict()) for r in df.collect())
+    hatcheries = list(Q.HATCH.values())
+    assert key(B.adult_ytd(dense, "Steelhead", D.AS_OF, hatcheries, names)) == key(REGISTRY["b06"](spark, SF))
+    assert key(B.adult_last_week(dense, "Steelhead", D.AS_OF, hatcheries)) == key(REGISTRY["b07"](spark, SF))
+    summaries = S.emigration_all(S.emigration_summary(Q.juvenile_history_df(spark, SF)),
+                                 S.emigration_summary(Q.inseason_travel_df(spark, SF)))
+    full = B.control_limits(Q.adult_bind_df(spark, SF), WC.dashboard_window(Q.window_table_df(spark, SF)), summaries,
+                            Q.gauge_year_df(spark, SF), D.AS_OF)
+    assert key(full) == key(REGISTRY["b19"](spark, SF))

@@ -55,3 +55,36 @@ def test_juvenile_history_reduces_detections_before_the_join(spark):
     p = plan(REGISTRY["juvenile_history"](spark, SF))
     # the detection side reaches the marks join only after a partial aggregation
     assert "partial_min" in p
+
+
+def test_comparison_filters_lie_below_the_medians(spark):
+    """Species and years reach the histories: no median of another species or
+    year is computed, and every input is filtered before the stacked counts."""
+    p = REGISTRY["b15"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    explodes = [i for i, line in enumerate(p) if "Generate explode" in line and "_mu_t" in line]
+    assert explodes
+    for i in explodes:
+        below = []
+        for line in p[i + 1:]:
+            if depth(line) <= depth(p[i]):
+                break
+            below.append(line)
+        assert any("Filter" in line and "Chinook" in line and "1997" in line and "2001" in line for line in below) or (
+            any("Chinook" in line for line in below) and any("1997" in line for line in below)), below[:5]
+
+
+def test_shared_tables_are_built_few_times(spark):
+    scans = lambda name: plan(REGISTRY[name](spark, SF)).count("FileScan")
+    assert scans("group_kde") <= 20 and scans("emigration_all") <= 33
+    assert scans("dam_grid") <= 2
+    p = plan(REGISTRY["season_dense"](spark, SF))
+    assert "FullOuter" not in p
+
+
+def test_season_filters_pass_below_gap_filling(spark):
+    p = REGISTRY["b05"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    fills = [i for i, line in enumerate(p) if "Generate posexplode" in line]
+    assert fills
+    chosen = [i for i, line in enumerate(p) if "Filter" in line and "= Lower Granite" in line]
+    assert chosen and min(chosen) > min(fills)          # the dam is chosen below the gap filling

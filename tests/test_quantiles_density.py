@@ -97,3 +97,57 @@ def test_small_domain_quantiles_match_numpy(spark):
     for g, vals in groups.items():
         for name, p in probs.items():
             assert math.isclose(got[g][name], float(np.quantile(vals, p)), abs_tol=1e-9), (g, name)
+
+
+def _with_conf(spark, conf, fn):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return fn()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+SMALL = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+
+
+def test_numbers_are_unique_in_a_union(spark):
+    """The outer read shares a stage with another shuffle here."""
+    def run():
+        n = number_rows(spark.range(40000).select((F.col("id") * 7919 % 40000).alias("k")), "k")
+        big = spark.range(400000).select(F.col("id").alias("k"), (F.col("id") + 1_000_000).alias("row_index")).repartition("k")
+        got = n.unionByName(big).where("row_index < 1000000").select("k", "row_index").collect()
+        assert sorted((r[0], r[1]) for r in got) == [(i, i) for i in range(40000)]
+    _with_conf(spark, SMALL, run)
+
+
+def test_repeated_values_get_a_number_each(spark):
+    df = spark.createDataFrame([(5,)] * 3000 + [(1,), (None,), (9,)], "k long")
+    got = sorted((r[1], r[0]) for r in number_rows(df, "k").collect())
+    assert got == [(0, None), (1, 1)] + [(i + 2, 5) for i in range(3000)] + [(3002, 9)]
+
+
+def test_quantiles_do_not_depend_on_exchange_reuse(spark):
+    rnd = random.Random(5)
+    data = [(f"g{i % 3}", rnd.randint(-10**6, 10**9)) for i in range(6000)]
+    df = spark.createDataFrame(data, "g string, v long").repartition(9)
+    want = {g: float(np.quantile([v for k, v in data if k == g], 0.5)) for g in ("g0", "g1", "g2")}
+    for conf in ({"spark.sql.exchange.reuse": "false"}, SMALL, {**SMALL, "spark.sql.exchange.reuse": "false"}):
+        for width in (None, 1000):
+            def run():
+                q = grouped_quantiles(df, ["g"], "v", {"m": 0.5}, width=width)
+                assert {r["g"]: r["m"] for r in q.collect()} == want
+                u = q.unionByName(spark.range(50000).select(F.lit("x").alias("g"), F.col("id").cast("double").alias("m")).repartition("m"))
+                assert {r["g"]: r["m"] for r in u.where("g != 'x'").collect()} == want
+            _with_conf(spark, conf, run)
+
+
+def test_bucket_keeps_the_order(spark):
+    from fishladder.operators.quantiles import bucket
+    rnd = random.Random(2)
+    vals = sorted([0.0, 1.0, -1.0] + [rnd.uniform(-1, 1) * 10 ** rnd.randint(-12, 18) for _ in range(3000)])
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.orderBy("v").select(bucket(F.col("v"))).collect()]
+    assert got == sorted(got)
