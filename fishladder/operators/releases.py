@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fishladder.functions.dates import mdy
 from fishladder.functions.text import word
+from fishladder.session import work_folder
 from fishladder.sources import lookups as L
 
 MARK_COLUMNS = ["pit_id", "hatchery", "mark_date", "release_site", "release_sitecode",
@@ -48,18 +49,33 @@ def release_tally(marks: DataFrame) -> DataFrame:
     return tally.withColumn("release_order", F.row_number().over(w))
 
 
-def release_order(marks: DataFrame) -> DataFrame:
+# Release events up to which the tally is broadcast, and copies of it beyond.
+TALLY_ROWS, TALLY_SALTS = 1_000_000, 32
+
+
+def release_order(marks: DataFrame, tally_rows: int = TALLY_ROWS) -> DataFrame:
     """Attach release_year and release_order to every mark.
 
-    The back-join matches NULL keys with NULL (N5). The tally side is the
-    small one; AQE measures it at run time and broadcasts it, otherwise the
-    skew-join split protects a release event holding most tags.
+    The tally (one row per release event) is written to the shared folder and
+    its size looked up there. Up to ``tally_rows`` events it is broadcast, so
+    marks are not shuffled at all; a larger one is joined in copies by a salt
+    of the tag, so an event that holds most tags is dealt over many tasks. The
+    join matches NULL keys with NULL (N5).
     """
-    t = release_tally(marks).select(*[F.col(k).alias("_t_" + k) for k in RELEASE_KEYS + ["release_date"]],
-                                    "release_year", "release_order")
-    cond = [F.col(k).eqNullSafe(F.col("_t_" + k)) for k in RELEASE_KEYS + ["release_date"]]
-    out = marks.join(t, cond, "left")
-    return out.drop(*["_t_" + k for k in RELEASE_KEYS + ["release_date"]])
+    spark = marks.sparkSession
+    on = RELEASE_KEYS + ["release_date"]
+    tally = release_tally(marks).select(*[F.col(k).alias("_t_" + k) for k in on], "release_year", "release_order")
+    path = work_folder(spark, "release-tally")
+    tally.write.parquet(path)
+    t = spark.read.schema(tally.schema).parquet(path)
+    cond = [F.col(k).eqNullSafe(F.col("_t_" + k)) for k in on]
+    if t.count() <= tally_rows:
+        t = F.broadcast(t)
+    else:
+        marks = marks.withColumn("_salt", F.pmod(F.xxhash64("pit_id"), F.lit(TALLY_SALTS)).cast("int"))
+        t = t.withColumn("_t_salt", F.explode(F.sequence(F.lit(0), F.lit(TALLY_SALTS - 1))))
+        cond.append(F.col("_salt") == F.col("_t_salt"))
+    return marks.join(t, cond, "left").drop("_salt", "_t_salt", *["_t_" + k for k in on])
 
 
 def release_group_expr(rules=None, single_year: int = L.SINGLE_RELEASE_YEAR) -> Column:

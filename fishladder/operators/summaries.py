@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fishladder.functions.dates import micros, month_day_label
-from fishladder.operators.quantiles import quantiles_of_counts
+from fishladder.operators.quantiles import bucket, quantiles_of_counts
 from fishladder.operators.verbs import join_null_safe, union_all
 
 SUMMARY_KEYS = ["hatchery", "species", "release_year", "release_group"]
 
 
-def _ns_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
-    return join_null_safe(left, right, keys, how)
-
-
 def stacked_counts(df: DataFrame, keys, measures: dict) -> DataFrame:
     """keys, _m, _v, _c: rows per group, measure and value (NULL included).
 
@@ -55,29 +51,55 @@ def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
         "_mu_t": F.col(f"{lo_u}_traveltime"), "_ml_t": F.col(f"{lo_l}_traveltime"),
         "_mu_d": micros(F.col(upper)), "_ml_d": micros(F.col(lower)),
         "_rel": F.datediff(F.col("release_date").cast("date"), F.lit("1970-01-01").cast("date"))})
-    of, v, c = (lambda m: F.col("_m") == m), F.col("_v"), F.col("_c")
-    seen = lambda m: F.coalesce(F.sum(F.when(of(m) & v.isNotNull(), c)), F.lit(0)).cast("long")
-    day = lambda agg: month_day_label(F.date_add(F.lit("1970-01-01").cast("date"), agg(F.when(of("_rel"), v)).cast("int")))
-    all_dates = F.count(F.when(of("_rel") & v.isNull(), 1)) == 0           # min/max without na.rm
-    base = counts.groupBy(*keys).agg(
-        seen("_mu_d").alias(f"{lo_u}_detections"), seen("_ml_d").alias(f"{lo_l}_detections"),
-        F.when(all_dates, day(F.min)).alias("earliest_release"), F.when(all_dates, day(F.max)).alias("latest_release"))
-    # buckets: whole days for arrival times, single values for travel days
-    width = F.when(F.col("_m").isin("_mu_d", "_ml_d"), F.lit(DAY_MICROS)).otherwise(F.lit(1))
-    measured = counts.where((F.col("_m") != "_rel") & v.isNotNull())
-    q = quantiles_of_counts(measured, keys + ["_m"], {"_med": 0.5}, width=width)
-    med = q.groupBy(*keys).agg(*[F.max(F.when(of(m), F.col("_med"))).alias(m) for m in ("_mu_t", "_ml_t", "_mu_d", "_ml_d")])
-    j = _ns_join(base, med, keys)
+    is_ = lambda m: F.col("_m") == m
+    counts = counts.where(is_("_rel") | F.col("_v").isNotNull())
+    # buckets of the medians: single days for travel times, days of arrival; the release days are one bucket
+    arrival = F.col("_m").isin("_mu_d", "_ml_d")
+    counts = counts.withColumn("_b", F.when(arrival, bucket(F.col("_v"), DAY_MICROS)).when(~is_("_rel"), F.col("_v")))
+
+    # one row per group, measure and bucket: everything but the medians, and where their ranks lie
+    hist = counts.groupBy(*keys, "_m", "_b").agg(
+        F.sum("_c").alias("_t"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        F.count(F.when(F.col("_v").isNull(), 1)).alias("_nulls"))
+    group, measure = Window.partitionBy(*keys), Window.partitionBy(*keys, "_m")
+    upto = measure.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = lambda m: F.coalesce(F.sum(F.when(is_(m), F.col("_t"))).over(group), F.lit(0)).cast("long")
+    rel = lambda agg, c: agg(F.when(is_("_rel"), F.col(c))).over(group)
+    hist = hist.withColumns({
+        "_before": F.sum("_t").over(upto) - F.col("_t"), "_n": F.sum("_t").over(measure),
+        "_seen_u": seen("_mu_d"), "_seen_l": seen("_ml_d"), "_first": rel(F.min, "_lo"), "_last": rel(F.max, "_hi"),
+        "_undated": rel(F.max, "_nulls")})
+    half = (F.col("_n") - 1) * F.lit(0.5)
+    lo_rank, hi_rank = F.floor(half) + 1, F.ceil(half) + 1
+    held = lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_t"))
+    # a group's release row carries its counts and dates through, also where there is no median
+    cells = join_null_safe(counts, hist.where(is_("_rel") | held(lo_rank) | held(hi_rank)).drop("_lo", "_hi", "_nulls"),
+                           keys + ["_m", "_b"])
+    at = F.sum("_c").over(Window.partitionBy(*keys, "_m", "_b").orderBy("_v")
+                          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cells = cells.withColumn("_upto", F.col("_before") + at)
+    covers = lambda r: (r > F.col("_upto") - F.col("_c")) & (r <= F.col("_upto"))
+
+    def median(m):
+        lo, hi = (F.max(F.when(is_(m) & covers(r), F.col("_v"))).cast("double") for r in (lo_rank, hi_rank))
+        return lo + F.max(F.when(is_(m), half - F.floor(half))) * (hi - lo)
+
+    out = cells.groupBy(*keys).agg(
+        *[median(m).alias(m) for m in ("_mu_t", "_ml_t", "_mu_d", "_ml_d")],
+        *[F.max(c).alias(c) for c in ("_seen_u", "_seen_l", "_first", "_last", "_undated")])
     ts_date = lambda c: F.to_date(F.timestamp_micros(F.floor(F.col(c)).cast("long")))
-    return j.select(
+    # min/max without na.rm: one undated release leaves both empty
+    day = lambda c: F.when(F.col("_undated") == 0, month_day_label(
+        F.date_add(F.lit("1970-01-01").cast("date"), F.col(c).cast("int"))))
+    return out.select(
         *keys,
         F.floor("_mu_t").cast("long").alias(f"median_{lo_u}"),
         ts_date("_mu_d").alias(f"median_{lo_u}_date"),
-        f"{lo_u}_detections",
+        F.col("_seen_u").alias(f"{lo_u}_detections"),
         F.floor("_ml_t").cast("long").alias(f"median_{lo_l}"),
         ts_date("_ml_d").alias(f"median_{lo_l}_date"),
-        f"{lo_l}_detections",
-        "earliest_release", "latest_release")
+        F.col("_seen_l").alias(f"{lo_l}_detections"),
+        day("_first").alias("earliest_release"), day("_last").alias("latest_release"))
 
 
 def emigration_all(historical: DataFrame, current: DataFrame) -> DataFrame:

@@ -78,10 +78,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Only a local session may go without ``spark.checkpoint.dir``; its driver
     and workers share one machine and get one temporary folder.
     """
-    fallback = None
-    if spark.sparkContext.master.split("[")[0] == "local":
-        fallback = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="fishladder-")
-    return f"{checkpoint_dir(spark, fallback).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] == "local":
+        named = spark.sparkContext.getCheckpointDir() or checkpoint_dir(spark, tempfile.mkdtemp(prefix="fishladder-"))
+    return f"{(named or checkpoint_dir(spark)).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 def input_bytes(spark: SparkSession, paths) -> int:

@@ -17,8 +17,9 @@ def test_release_order(spark):
     m = _marks(spark, [("a", "DWORNF", "Chinook", D(2021, 3, 27)), ("b", "DWORNF", "Chinook", D(2021, 3, 27)),
                        ("c", "DWORNF", "Chinook", D(2021, 4, 10)), ("d", "DWORNF", "Chinook", D(2022, 4, 2)),
                        ("e", "DWORNF", "Chinook", None)])
-    got = rows(R.release_order(m), "pit_id", "release_order")
-    assert got == [("a", 1), ("b", 1), ("c", 2), ("d", 1), ("e", 1)]
+    for limit in (R.TALLY_ROWS, 0):                   # broadcast, and salted
+        got = rows(R.release_order(m, limit), "pit_id", "release_order")
+        assert got == [("a", 1), ("b", 1), ("c", 2), ("d", 1), ("e", 1)]
 
 
 def test_release_group_rules(spark):

@@ -47,3 +47,22 @@ def test_hot_tag_adds_no_shuffle_volume(spark):
                   H.first_per_site_day):
         p, s = shuffled_rows(build(plain)), shuffled_rows(build(skewed))
         assert 0 < s < p, (p, s)
+
+
+def test_hot_release_event_shuffles_no_marks(spark):
+    """One release event with a third of all marks: marks meet the tally
+    without a shuffle, and beyond the broadcast limit no task gets them all."""
+    from fishladder.operators import releases as R
+    marks = Dv.marks(spark, SF).withColumn("n", F.xxhash64("pit_id"))
+    hot = F.pmod(F.col("n"), F.lit(3)) == 0
+    for c, v in (("hatchery", "BUILDING"), ("species", "Chinook"), ("release_sitecode", "DWORNF")):
+        marks = marks.withColumn(c, F.when(hot, F.lit(v)).otherwise(F.col(c)))
+    marks = marks.withColumn("release_date", F.when(hot, F.lit("2000-04-01").cast("date")).otherwise(F.col("release_date").cast("date")))
+    path = __import__("tempfile").mkdtemp(prefix="fishladder-skew-", dir="/tmp") + "/marks"
+    marks.drop("n").write.parquet(path)
+    marks = spark.read.parquet(path)
+    assert shuffled_rows(R.release_order(marks)) == 0
+    salted = R.release_order(marks, 0)
+    assert shuffled_rows(salted) > 0 and salted.count() == marks.count()
+    key = lambda df: sorted((r["pit_id"], str(r["release_year"]), r["release_order"]) for r in df.collect())
+    assert key(salted) == key(R.release_order(marks))
