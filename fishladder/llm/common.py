@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import fishladder
-from fishladder.session import checkpoint_dir
+from fishladder.session import work_folder
 
 # A side of a join is broadcast only after its rows were counted and found
 # below this bound; otherwise the join shuffles (AQE splits skewed keys).
@@ -27,16 +26,8 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder of ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting (tests); it then gets a
-    temporary folder, which driver and workers of one machine share.
-    """
-    fallback = None
-    if spark.sparkContext.master.split("[")[0] == "local":
-        fallback = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="fishladder-llm-")
-    base = checkpoint_dir(spark, fallback)
-    return f"{qualified(spark, base)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared folder of ``spark.checkpoint.dir``, as a URI."""
+    return qualified(spark, work_folder(spark, name))
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
