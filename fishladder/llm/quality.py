@@ -10,8 +10,8 @@ word equal to an earlier line, and words that lie in an 8-word window found
 twice or more. The last one compares 64-bit hashes of windows within a text.
 
 The bounds are wide: they are meant to drop texts that hardly contain prose
-(symbols behind every word, tables, shouting, one line again and again) and to
-keep any ordinary text, also short of stop words.
+(symbols behind every word, tables, shouting, one line or word again and again)
+and to keep any ordinary text, also short of stop words.
 
 Defined cases: null text has no words and fails; ids may be null or repeated;
 other columns of the input are ignored; a rule whose denominator is 0 passes.
@@ -47,6 +47,7 @@ RULES = (
     ("stop_words", "stop_word_share", 0.01, None),
     ("duplicate_lines", "dup_line_share", None, 0.5),
     ("repeats", "repeat_share", None, 0.3),
+    ("stutter", "stutter_share", None, 0.25),
 )
 
 
@@ -63,6 +64,7 @@ MEASURES = {
     "stop_word_share": lambda: _ratio(F.col("n_stop_words"), F.col("n_words")),
     "dup_line_share": lambda: _ratio(F.col("n_dup_lines"), F.col("n_lines")),
     "repeat_share": lambda: _ratio(F.col("n_repeat_words"), F.col("n_words")),
+    "stutter_share": lambda: _ratio(F.col("n_stutters"), F.col("n_words")),
 }
 
 
@@ -115,7 +117,9 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.size("lines").cast("long").alias("n_lines"),
         _left(F.col("t"), NOT_LETTER).cast("long").alias("n_letters"),
         _left(F.col("t"), NOT_UPPER).cast("long").alias("n_capitals"),
-        F.size(F.filter("ws", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"))
+        F.size(F.filter("ws", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        # words equal to the word before
+        F.size(F.filter("ws", lambda w, i: F.coalesce(F.get("ws", i - 1) == w, F.lit(False)))).cast("long").alias("n_stutters"))
 
 
 def base_failed() -> Column:
@@ -150,12 +154,14 @@ m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
              CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
              length(regexp_replace(t, '[^\p{L}]+', '', 'g')) AS n_letters,
              length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS n_capitals,
-             len(list_filter(ws, lambda x: list_contains([STOPS], lower(x)))) AS n_stop_words
+             len(list_filter(ws, lambda x: list_contains([STOPS], lower(x)))) AS n_stop_words,
+             len(list_filter(generate_series(2, len(ws)), lambda i: ws[i] = ws[i - 1])) AS n_stutters
       FROM d LEFT JOIN c USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 15.0 * n_words AND n_symbols <= 0.25 * n_words
        AND n_letters >= 0.5 * word_chars AND n_capitals <= 0.6 * n_letters AND n_stop_words >= 0.01 * n_words
-       AND n_dup_lines <= 0.5 * n_lines AND 10 * n_repeat_words <= 3 * n_words AS kept
+       AND n_dup_lines <= 0.5 * n_lines AND 10 * n_repeat_words <= 3 * n_words
+       AND n_stutters <= 0.25 * n_words AS kept
 FROM b
 """.replace("STOPS", ", ".join(f"'{w}'" for w in STOP_WORDS))

@@ -26,4 +26,4 @@ REGISTRY = {f.__name__: f for f in (
     op1_token_records, op2_pii, op3_sharding, op4_chat_format, op5_decontaminate, op6_token_counts, op7_mixing,
     op8_language_id, op9_simhash, op10_quality, pipeline)}
 
-SQL = {"op5_decontaminate": OP5_SQL, "op7_mixing": OP7_SQL, "op10_quality": OP10_SQL}
+SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL, "op7_mixing": OP7_SQL, "op10_quality": OP10_SQL}

@@ -378,7 +378,8 @@ def test_rules_drop_junk_and_keep_prose(spark):
     prose += "Nobody knows how long it takes until the last one is home and the lamps are out again."
     words = prose.split()
     junk = {"symbols": " ".join(x + "&&&" for x in words), "shouting": " ".join(x.upper() + "!!" for x in words),
-            "table": " | ".join(words) + " |", "short": "too short"}
+            "table": " | ".join(words) + " |", "short": "too short",
+            "stutter": " ".join(x for x in words for _ in range(4))}
     rows = [("prose", prose)] + list(junk.items())
     got = {r["doc_id"]: r["kept"] for r in quality.quality(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
     assert got.pop("prose") is True and not any(got.values())
