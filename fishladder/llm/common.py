@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
@@ -53,17 +53,24 @@ _SHIPPED: set[str] = set()
 
 def prepare_workers(spark: SparkSession) -> None:
     """Arrow batches of few rows (texts may be long), and this package on the
-    executors' Python path, once per application."""
+    executors' Python path, once per application, by way of the shared folder."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     app = spark.sparkContext.applicationId
-    if app not in _SHIPPED:
-        package = Path(fishladder.__file__).parent
-        archive = f"{tempfile.mkdtemp(prefix='fishladder-py-')}/fishladder_workers.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for f in package.rglob("*.py"):
-                z.write(f, f.relative_to(package.parent))
-        spark.sparkContext.addPyFile(archive)
-        _SHIPPED.add(app)
+    if app in _SHIPPED:
+        return
+    package, archive = Path(fishladder.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    target = f"{work_dir(spark, 'workers')}/fishladder_workers.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(archive.getvalue())
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 def packed(df: DataFrame, name: str = "_row"):

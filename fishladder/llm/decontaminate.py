@@ -99,8 +99,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     n_keys = keys.count()
     slots = min(MAX_SLOTS, max(1 << 10, 1 << (32 * n_keys).bit_length()))
     table = bytearray(slots)
-    for r in keys.select(F.pmod("h", F.lit(slots)).alias("s")).distinct().collect():  # at most `slots` rows
-        table[r.s] = 1
+    slot = F.pmod("h", F.lit(slots))
+    bits = keys.groupBy(F.floor(slot / 64).cast("int").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {slots}) % 64 AS int))")).alias("bits"))
+    for r in bits.collect():                                                          # at most `slots` / 64 rows
+        for b in range(64):
+            if r.bits >> b & 1:
+                table[64 * r["at"] + b] = 1
     table = F.lit(bytes(table))
 
     key = [F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key")]
