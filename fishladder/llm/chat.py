@@ -212,9 +212,9 @@ e AS (SELECT *, '### ' || replace(replace(role, '\', '\\'), chr(10), '\n') || ':
              regexp_matches(text, '\\(### |</turn>)') OR regexp_matches(text || chr(10), '(^|[^\\])</turn>\n') AS hard
       FROM c)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
        CAST(sum(length(head) + length(CASE WHEN hard THEN escaped ELSE text END) + 9) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
