@@ -76,7 +76,7 @@ def test_comparison_filters_lie_below_the_medians(spark):
 
 def test_shared_tables_are_built_few_times(spark):
     scans = lambda name: plan(REGISTRY[name](spark, SF)).count("FileScan")
-    assert scans("group_kde") <= 20 and scans("emigration_all") <= 33
+    assert scans("group_kde") <= 12 and scans("emigration_all") <= 20
     assert scans("dam_grid") <= 2
     p = plan(REGISTRY["season_dense"](spark, SF))
     assert "FullOuter" not in p

@@ -49,7 +49,7 @@ def test_hot_tag_adds_no_shuffle_volume(spark):
         assert 0 < s < p, (p, s)
 
 
-def test_hot_release_event_shuffles_no_marks(spark):
+def test_hot_release_event_shuffles_no_marks(spark, tmpdir_path):
     """One release event with a third of all marks: marks meet the tally
     without a shuffle, and beyond the broadcast limit no task gets them all."""
     from fishladder.operators import releases as R
@@ -58,7 +58,7 @@ def test_hot_release_event_shuffles_no_marks(spark):
     for c, v in (("hatchery", "BUILDING"), ("species", "Chinook"), ("release_sitecode", "DWORNF")):
         marks = marks.withColumn(c, F.when(hot, F.lit(v)).otherwise(F.col(c)))
     marks = marks.withColumn("release_date", F.when(hot, F.lit("2000-04-01").cast("date")).otherwise(F.col("release_date").cast("date")))
-    path = __import__("tempfile").mkdtemp(prefix="fishladder-skew-", dir="/tmp") + "/marks"
+    path = f"{tmpdir_path}/marks"
     marks.drop("n").write.parquet(path)
     marks = spark.read.parquet(path)
     assert shuffled_rows(R.release_order(marks)) == 0
