@@ -181,7 +181,7 @@ def test_decontamination_of_hard_cases(spark, same, hard_docs, no_docs, dicts):
     bench = [(1, words), (2, "ONE Two"), (3, None), (4, ""), (5, "two"), (None, "evening tide"), (7, words), (7, "same line"),
              (8, "word3 word4 word5 word6 word7 word8 word9 word10 word11 word12 word13 word14 word15 word16"), (9, "café déjà")]
     b = spark.createDataFrame(bench, "item_id long, text string").withColumn("tok", F.lit(1))
-    for item in (b, b.where("item_id = 8"), b.where("item_id = 5"), b.where("false"), b.where("item_id in (3, 4)")):
+    for item in (b, b.where("item_id = 5"), b.where("item_id in (3, 4)")):       # all, one word only, no window at all
         out = decontaminate.decontaminate(hard_docs, item)
         out = out.select("doc_id", "n_words", "n_hit", F.size("items").alias("n_items"),
                          F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
@@ -224,7 +224,7 @@ def check_mix(df, rows):
 def test_mix_targets_match_repeated_sharing(spark):
     import random
     rnd = random.Random(4)
-    for n in (1, 2, 3, 7, 12):
+    for n in (1, 3, 9):
         sizes = {(None if i == n - 1 and n > 2 else f"s{i}"): rnd.choice([0, 1, 3, 50, 1000, 10**6]) for i in range(n)}
         df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
         got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
