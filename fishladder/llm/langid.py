@@ -46,7 +46,7 @@ from fishladder.llm.tokens import worker
 ORDER = 4
 SAMPLE_ROWS = 600
 SAMPLE_WORDS = 20_000
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 CACHED_LENGTH = 40
 CHUNK = 1 << 16
 TEMPERATURE = 0.1

@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000      # pre-tokens kept per worker; beyond that the cache starts anew
+CACHE_ENTRIES = 400_000      # pre-tokens kept per worker; beyond that the cache starts anew
 CACHED_LENGTH = 48           # longer pre-tokens are encoded but not kept
 
 # Characters whose case folding, composition and letter class are those of
@@ -99,11 +99,13 @@ _WORKER: dict = {}
 
 
 def worker(key: str, version, make):
-    """One object per worker process and key, kept between tasks until a task
-    asks for another version."""
-    if key not in _WORKER or _WORKER[key][0] != version:
-        _WORKER[key] = version, make()
-    return _WORKER[key][1]
+    """The object a worker process keeps between tasks. There is one at a time:
+    a task that asks for another key or version frees the one before, so the
+    caches of several operators never add up in a worker's memory."""
+    if (key, version) not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key, version] = make()
+    return _WORKER[key, version]
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
