@@ -13,7 +13,10 @@ first dealt into sublists of at most about ``LIST`` members, and every two
 sublists meet in a task of their own: no task holds more than two sublists.
 
 Components come from alternating large-star and small-star rounds on the
-links; every round is a written table, and links never go to the driver.
+links; every round is a written table, and links never go to the driver. What
+is aggregated per component is written before it is joined back: Spark splits
+the rows of a hot component only where both sides of the join are plain
+shuffles.
 
 Defined cases: null or empty texts have fingerprint 0 and link like any other;
 a null id never names a component unless all its ids are null; repeated rows
@@ -172,7 +175,7 @@ def components(links: DataFrame) -> DataFrame:
 
     def stars(pairs: DataFrame) -> DataFrame:
         """(u, v) with the smallest of u and its neighbours as m."""
-        low = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        low = write_table(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), work_dir(spark, "lows"))
         return pairs.join(low, "u")
 
     while True:
@@ -207,7 +210,7 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     own = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
                .select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = write_table(own, work_dir(spark, "fingerprint-roots"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = write_table(named.groupBy("root").agg(F.min("first").alias("component_id")), work_dir(spark, "component-ids"))
     names = named.join(least, "root").select("fp", "root", "component_id")
     return docs.join(names, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
@@ -219,7 +222,7 @@ def keep_one(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id
     spark = df.sparkSession
     named = write_table(near_duplicates(df, shingle, max_bits, id_col, text_col), work_dir(spark, "components"))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = named.groupBy("root").agg(F.min(key).alias("first"))
+    first = write_table(named.groupBy("root").agg(F.min(key).alias("first")), work_dir(spark, "component-firsts"))
     marked = named.select("root", "doc_id", "text_key", key.alias("own")).join(first, "root")
     others = write_table(marked.where(~F.col("own").eqNullSafe(F.col("first"))).select("doc_id", "text_key").distinct(),
                          work_dir(spark, "others"))
