@@ -2,8 +2,10 @@
 
 Base kinds (fixed definitions): e-mail address, IPv4 address (parts at most
 255), payment card (12 to 19 digits, Luhn) and international phone number (9
-to 15 digits). Further kinds of this operator: ``iban`` (mod 97 = 1 and at
-least 15 characters), ``ssn`` (3-2-4 digits with valid groups) and
+to 15 digits). Further kinds of this operator: ``iban`` (mod 97 = 1 at its
+country's length; for a country without a registered length, at the greatest
+length from 15 to 34 that ends at a token border), ``ssn`` (3-2-4 digits with
+valid groups) and
 ``secret`` (a word such as password or token, an assignment sign and a value
 with letters and digits, or an access key id).
 
@@ -40,11 +42,19 @@ _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_GROUP = re.compile(r" ?([A-Z0-9]{1,30}+)(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?:(?:password|passwd|secret|token|api[_-]?key)[\"']? ?[:=] ?[\"']?([A-Za-z0-9+/_=-]{8,256})"
                      r"|(AKIA[0-9A-Z]{16})(?![0-9A-Z]))")
 
+# Fixed value: account lengths of the IBAN registry.
+IBAN_LENGTH = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
 # Score of a span without context, and the words that raise or lower it.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.8, "ssn": 0.3, "secret": 0.7}
 CONTEXT = {
@@ -110,10 +120,20 @@ def _phones(text):
 
 
 def _ibans(text):
+    end = 0
     for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield m.span()
+        if m.start() < end:
+            continue
+        account, at, ends = m[0], m.end(), {}
+        while (g := _IBAN_GROUP.match(text, at)) and len(account) + len(g[1]) <= 34:
+            account, at = account + g[1], g.end()
+            ends[len(account)] = at
+        own = IBAN_LENGTH.get(m[0][:2])
+        for n in [own] if own else sorted(ends, reverse=True):
+            if n >= 15 and n in ends and mod97(account[:n]):
+                end = ends[n]
+                yield m.start(), end
+                break
 
 
 def _ssns(text):

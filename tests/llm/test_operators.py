@@ -109,6 +109,25 @@ def test_pii_further_kinds_and_scores():
     assert helped > plain
 
 
+@pytest.mark.parametrize("account", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947",
+                                     "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFF", " EUR 500", " I confirm", " 2024 invoice", " to pay", ", A1",
+                                   " DE89370400440532013000"])
+def test_accounts_before_upper_case_words(account, after):
+    text = "IBAN " + account + after
+    found = [text[s:e] for k, s, e, _ in pii.find_spans(text) if k == "iban"]
+    assert found == [account] + ([after[1:]] if len(after) > 20 else [])
+
+
+def test_accounts_of_other_countries_and_none():
+    found = lambda t: [t[s:e] for k, s, e, _ in pii.find_spans(t) if k == "iban"]
+    body = "0010 0100 0000 0123 456"
+    own = next(a for a in (f"ZZ{c:02d} {body}" for c in range(2, 99)) if pii.mod97(a.replace(" ", "")))
+    assert found(f"{own} EUR 400") == [own] and found(own) == [own]
+    assert found("DE88 3704 0044 0532 0130 00 EUR 500") == [] == found("DE89370400440532013000EUR")
+    assert found("AB12 " * 200_000) == [] == found("AB12" * 200_000)
+
+
 # --- 3: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["hard", "table"])
