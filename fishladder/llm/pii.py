@@ -5,14 +5,14 @@ Base kinds (fixed definitions): e-mail address, IPv4 address (parts at most
 to 15 digits). Further kinds of this operator: ``iban`` (mod 97 = 1 at its
 country's length; for a country without a registered length, at the greatest
 length from 15 to 34 that ends at a token border), ``ssn`` (3-2-4 digits with
-valid groups) and
-``secret`` (a word such as password or token, an assignment sign and a value
-with letters and digits, or an access key id).
+valid groups) and ``secret`` (a word such as password or token in any case, an
+assignment sign and a value of at least 8 characters with letters and digits,
+whose parts may be joined by single dots, or an access key id).
 
 Every span has a score in [0, 1]: the prior of its kind plus a bonus for each
-context word of that kind within ``WINDOW`` characters before it, minus a
-malus for words that speak against it. A base span always stays; a further
-span stays if its score reaches ``threshold``.
+context word of that kind within ``WINDOW`` characters before or after it,
+minus a malus for words before it that speak against it. A base span always
+stays; a further span stays if its score reaches ``threshold``.
 
 The patterns are written so that a long run of letters or digits is read
 once: addresses are found from their ``@`` outwards, digit runs are matched
@@ -45,8 +45,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
 _IBAN_GROUP = re.compile(r" ?([A-Z0-9]{1,30}+)(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:(?:password|passwd|secret|token|api[_-]?key)[\"']? ?[:=] ?[\"']?([A-Za-z0-9+/_=-]{8,256})"
-                     r"|(AKIA[0-9A-Z]{16})(?![0-9A-Z]))")
+_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:(?ai:password|passwd|secret|token|api[_-]?key)[\"']? ?[:=] ?[\"']?"
+                     r"(?=[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\.(?=[A-Za-z0-9+/_=-])){7})"        # 8 characters at least
+                     r"([A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+)|(AKIA[0-9A-Z]{16})(?![0-9A-Z]))")
+_KEYWORD = 9                                  # longest keyword and its sign
 
 # Fixed value: account lengths of the IBAN registry.
 IBAN_LENGTH = {country: n for n, countries in {
@@ -144,11 +146,14 @@ def _ssns(text):
 
 
 def _secrets(text):
-    for m in _SECRET.finditer(text):
+    at = 0
+    while m := _SECRET.search(text, at):
         group = 1 if m[1] else 2
-        value = m[group]
+        value, at = m[group], m.end()
         if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
             yield m.span(group)
+        else:                                 # the value may end in the keyword of another
+            at = max(m.start(group), at - _KEYWORD)
 
 
 FINDERS = {"email": ("@", _emails), "ip": (".", _ips), "card": ("", _cards), "phone": ("+", _phones),
@@ -156,9 +161,10 @@ FINDERS = {"email": ("@", _emails), "ip": (".", _ips), "card": ("", _cards), "ph
 _DIGIT = re.compile("[0-9]")
 
 
-def score(kind: str, text: str, start: int) -> float:
-    near = set(_WORD.findall(text[max(0, start - WINDOW):start].lower()))
-    s = PRIOR[kind] + BONUS * sum(w in near for w in CONTEXT[kind]) - MALUS * sum(w in near for w in AGAINST.get(kind, ()))
+def score(kind: str, text: str, start: int, end: int) -> float:
+    before = set(_WORD.findall(text[max(0, start - WINDOW):start].lower()))
+    near = before.union(_WORD.findall(text[end:end + WINDOW].lower()))
+    s = PRIOR[kind] + BONUS * sum(w in near for w in CONTEXT[kind]) - MALUS * sum(w in before for w in AGAINST.get(kind, ()))
     return min(1.0, max(0.0, s))
 
 
@@ -171,7 +177,7 @@ def find_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int,
         if (need and need not in text) or (kind != "email" and not digits):
             continue
         for start, end in finder(text):
-            s = score(kind, text, start)
+            s = score(kind, text, start, end)
             if kind in BASE or s >= threshold:
                 out.append((start, rank, kind, end, s))
     return [(kind, start, end, s) for start, _, kind, end, s in sorted(out)]

@@ -128,6 +128,28 @@ def test_accounts_of_other_countries_and_none():
     assert found("AB12 " * 200_000) == [] == found("AB12" * 200_000)
 
 
+@pytest.mark.parametrize("text, value", [
+    ("token=" + "a1" * 200 + " x", "a1" * 200), ("token: eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_9 x", "eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_9"),
+    ("API_KEY=abcd1234efgh", "abcd1234efgh"), ("Password: hunter2hunter2", "hunter2hunter2"), ("secret='a1.b2.c3.d'.", "a1.b2.c3.d"),
+    ("The token is Token: abcd1234. Then", "abcd1234"), ("token=see.the.password: hunter2hunter2", "hunter2hunter2"),
+    ("token=password= hunter2hunter2", "hunter2hunter2")])
+def test_secrets_are_whole(text, value):
+    assert [text[s:e] for k, s, e, _ in pii.find_spans(text) if k == "secret"] == [value]
+
+
+def test_secrets_read_long_runs_once():
+    n = 200_000
+    secrets = lambda t: [s[:3] for s in pii.find_spans(t) if s[0] == "secret"]
+    assert secrets("token=" * n + " 1") == [] == secrets("token=a.b.c.d." * n + " 1")
+    assert secrets("token:" * n + "1") == [] and secrets("token=" * n + "1") == [("secret", 6, 6 * n + 1)]
+
+
+def test_context_on_both_sides():
+    kinds = lambda t: [k for k, *_ in pii.find_spans(t)]
+    assert kinds("123-45-6789 (SSN)") == ["ssn"] == kinds("SSN 123-45-6789, order 55")
+    assert kinds("123-45-6789 (part)") == [] and kinds("password=hunter2hunter2, for example") == ["secret"]
+
+
 # --- 3: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["hard", "table"])
