@@ -163,10 +163,10 @@ class Scorer:
                 self.words.trim()
         if slots:
             total += self.words.table[slots].sum(axis=0)
-        return total, len(words) + sum(map(len, words))
+        return total, len(words) + len("".join(words).encode())
 
     def predict(self, text: str) -> tuple[str, float, float]:
-        """(language, score, bits per letter of the cheapest language)."""
+        """(language, score, bits per byte of the cheapest language)."""
         got = self.costs(text) if text and self.langs else None
         if got is None:
             return UNDETERMINED, 0.0, 0.0

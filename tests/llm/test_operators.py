@@ -338,6 +338,23 @@ def test_code_length_is_that_of_a_proper_code():
     assert n == 9 and abs(bits[0] - sum(tree.bits(b" " + w + b" ") for w in (b"abba", b"abc"))) < 1e-9
 
 
+def test_learned_scripts_of_three_byte_letters_stay(spark):
+    """Bits are counted per UTF-8 byte, so a learned Chinese-like language is not
+    rejected, and one nobody has learned still is."""
+    import random
+    rnd = random.Random(5)
+    sentence = lambda first: "，".join("".join(chr(first + int(rnd.random() ** 3 * 1500)) for _ in range(rnd.randint(2, 9)))
+                                      for _ in range(60)) + "。"
+    docs = spark.createDataFrame([(i, sentence(0x4E00), "zh") for i in range(60)]
+                                 + [(100 + i, sentence(0xAC00), None) for i in range(5)], "doc_id long, text string, lang string")
+    trees = langid.fit(docs)
+    assert list(trees) == ["zh"]
+    kept = {r["doc_id"] for r in langid.known_languages(docs, trees).collect()}
+    assert kept == set(range(60))
+    scorer = langid.Scorer(trees)
+    assert scorer.costs("Añb 日本")[1] == 5 + 7
+
+
 # --- 9: SimHash ------------------------------------------------------------------------------------------------
 
 def test_simhash_of_hard_cases(hard_docs, no_docs, same, dicts):
