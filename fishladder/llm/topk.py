@@ -12,8 +12,9 @@ times a block's largest component, a negative one itself times the smallest.
 Summed up, that bounds every score in the block. Per query the blocks of a
 tile are visited by falling bound, in waves; a wave scores whole blocks through
 their forward index against all queries that need them (one matrix product),
-and a query stops when the next bound is below its k-th score so far. Bounds
-equal to it are still visited, because ties go to the smaller id.
+and a query stops when the next bound is below its k-th score so far. A block
+whose bound equals that score is visited while it may hold an id smaller than
+the k-th's, because ties go to the smaller id.
 
 Queries are gathered into chunks of ``CHUNK`` and meet every tile once, by an
 equi-join on the tile's slot; nothing passes the driver. Slots are searched in
@@ -47,7 +48,8 @@ from fishladder.llm.vector_codes import _buffered, _column, as_integers
 
 SCALE, K, QUERY_STEP = 64, 20, 20
 TILE_ROWS, LEAST_TILE, BLOCK, CHUNK = 1 << 16, 1 << 11, 64, 1024
-GROWTH = 16
+GROWTH = 8
+PENDING = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 LEAST = np.iinfo(np.int64).min
 
@@ -85,12 +87,19 @@ def maxima(x: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Best:
-    """The k best (score, id) of some queries, smaller ids first among equals."""
+    """The k best (score, id) of some queries, smaller ids first among equals.
+
+    Only a score above ``floor``, or equal to it with an id below ``last``, can
+    still be among the first k."""
 
     def __init__(self, n: int, k: int, floor: np.ndarray):
-        self.k, self.floor = k, floor.copy()             # scores below the floor cannot be among the first k
+        self.k, self.floor, self.last = k, floor.copy(), np.full(n, NO_ID)
         self.query, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
 
+    def open(self, query, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        floor = self.floor[query]
+        return (score > floor) | ((score == floor) & (ids < self.last[query]))
+
     def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         query, score, ids = (np.concatenate(x) for x in ((self.query, query), (self.score, score), (self.id, ids)))
         order = np.lexsort((ids, -score, query))
@@ -98,7 +107,9 @@ class Best:
         first = np.searchsorted(query, query)
         rank = np.arange(len(query)) - first
         kth = rank == self.k - 1
-        self.floor[query[kth]] = np.maximum(self.floor[query[kth]], score[kth])
+        q, s, i = query[kth], score[kth], ids[kth]
+        self.last[q] = np.where(s > self.floor[q], i, np.where(s == self.floor[q], np.minimum(i, self.last[q]), self.last[q]))
+        self.floor[q] = np.maximum(self.floor[q], s)
         keep = rank < self.k
         self.query, self.score, self.id = query[keep], score[keep], ids[keep]
 
@@ -114,24 +125,28 @@ def search_tile(queries: np.ndarray, floor: np.ndarray, x: np.ndarray, ids: np.n
     bounds = (np.maximum(q, 0) @ hi.astype(kind).T + np.minimum(q, 0) @ lo.astype(kind).T).astype(np.int64)
     order = np.argsort(-bounds, axis=1, kind="stable")
     ranked = np.take_along_axis(bounds, order, axis=1)
-    best, at, scored = Best(len(q), k, floor), 0, 0
+    least_id = np.minimum.reduceat(ids, np.arange(0, len(ids), block))[order]
+    best, at, scored, every = Best(len(q), k, floor), 0, 0, np.arange(len(q))[:, None]
     while at < order.shape[1]:
         upto = max(at + max(1, -(-k // block)), 3 * at)
-        need = ranked[:, at:upto] >= best.floor[:, None]
-        if not need.any():
+        need = best.open(every, ranked[:, at:upto], least_id[:, at:upto])
+        if not (ranked[:, at] >= best.floor).any():
             break                                         # bounds fall along a row
         who, what = np.nonzero(need)
         what = order[:, at:upto][who, what]
         by_block = np.argsort(what, kind="stable")
         who, what = who[by_block], what[by_block]
-        starts = np.flatnonzero(np.r_[True, what[1:] != what[:-1]])
-        found = []
+        starts = np.flatnonzero(np.r_[True, what[1:] != what[:-1]][:len(what)])
+        found, pending = [], 0
         for s, e in zip(starts, np.r_[starts[1:], len(what)]):
             own, b = who[s:e], slice(what[s] * block, (what[s] + 1) * block)
-            scores = q[own] @ docs[b].T
-            r, c = np.nonzero(scores >= best.floor[own][:, None])
-            found.append((own[r], scores[r, c].astype(np.int64), ids[b][c]))
-        best.add(*(np.concatenate(f) for f in zip(*found)))
+            scores = (q[own] @ docs[b].T).astype(np.int64)
+            r, c = np.nonzero(best.open(own[:, None], scores, ids[b][None, :]))
+            found.append((own[r], scores[r, c], ids[b][c]))
+            pending += len(r)
+            if pending > PENDING or e == len(what):       # many equal scores: keep the best of them before going on
+                best.add(*(np.concatenate(f) for f in zip(*found)))
+                found, pending = [], 0
         scored += len(who)
         at = upto
     return best, scored
@@ -166,7 +181,7 @@ def _tables(df: DataFrame, is_query: Column, id_col: str, vec_col: str, scale: i
                 yield pa.RecordBatch.from_pydict({
                     "asks": [asks], "key": [(task << 32) + made], "n": pa.array([len(i)], pa.int32()), "dims": pa.array([v.shape[1]], pa.int32()),
                     "ids": [i.astype("<i8").tobytes()], "width": pa.array([width], pa.int32()), "x": [data],
-                    "hi": [hi.astype("<i8").tobytes()], "lo": [lo.astype("<i8").tobytes()]})
+                    "hi": [hi.astype(f"<i{width}").tobytes()], "lo": [lo.astype(f"<i{width}").tobytes()]})
                 made += 1
 
     schema = "asks boolean, key long, n int, dims int, ids binary, width int, x binary, hi binary, lo binary"
@@ -194,7 +209,7 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
             for r in b.to_pylist():
                 dims = max(r["dims"], r["q_dims"])
                 x, q = _pad(unpacked(r["x"], r["width"], r["n"]), dims), _pad(unpacked(r["q_x"], r["q_width"], r["q_n"]), dims)
-                hi, lo = (_pad(np.frombuffer(r[c], "<i8").reshape(-(-r["n"] // BLOCK), -1), dims) for c in ("hi", "lo"))
+                hi, lo = (_pad(unpacked(r[c], r["width"], -(-r["n"] // BLOCK)), dims) for c in ("hi", "lo"))
                 floor = np.full(r["q_n"], LEAST) if r["floor"] is None else np.array(r["floor"], np.int64)
                 best, _ = search_tile(q, floor, x, np.frombuffer(r["ids"], "<i8"), hi, lo, k)
                 own = (q.astype(np.int64) ** 2).sum(axis=1)

@@ -47,7 +47,7 @@ from fishladder.operators.verbs import join_null_safe
 
 SCALE, PARTS, ENTRIES, ROUNDS = 256, 16, 64, 2
 FITS = 1 << 62
-BUFFER_ROWS = 8192
+BUFFER_ROWS, BUFFER_CELLS = 8192, 1 << 22
 
 
 # --- whole-number vectors -----------------------------------------------------------------
@@ -150,14 +150,15 @@ class Books:
 # --- jobs -------------------------------------------------------------------------------------
 
 def _buffered(batches, rows: int = BUFFER_ROWS):
-    """Arrow batches joined to about ``rows`` rows."""
-    kept, n = [], 0
+    """Arrow batches (with a list column ``v``) joined to about ``rows`` rows, or ``BUFFER_CELLS`` components."""
+    kept, n, cells = [], 0, 0
     for b in batches:
         kept.append(b)
         n += b.num_rows
-        if n >= rows:
+        cells += len(b.column(b.schema.get_field_index("v")).flatten())
+        if n >= rows or cells >= BUFFER_CELLS:
             yield pa.Table.from_batches(kept).combine_chunks()
-            kept, n = [], 0
+            kept, n, cells = [], 0, 0
     if n:
         yield pa.Table.from_batches(kept).combine_chunks()
 

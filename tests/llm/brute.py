@@ -173,3 +173,71 @@ def op7_targets(sizes, weights=(1, 2, 3), cap=3):
             rest -= target[s]
             free.remove(s)
     return {s: float(t) for s, t in target.items()}
+
+
+def op11(docs):
+    """(doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256)"""
+    out = []
+    for d in docs:
+        t = d["text"] or ""
+        units = re.findall(r"[A-Za-z]+|[^A-Za-z]", t)
+        h = sha("1:" + ("" if d["doc_id"] is None else str(d["doc_id"])))
+        h1, h2, h3, h4 = (int(h[i:i + 8], 16) for i in (0, 8, 16, 24))
+        n = len(units)
+        a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+        p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+        if not t or "<P>" in t or "<S>" in t or "<M>" in t or h3 % 100 >= 90:
+            out.append((d["doc_id"], n, "plain", None, None, sha(t), sha(t)))
+        elif h4 % 100 < 20:
+            out.append((d["doc_id"], n, "spm", len(p), len(m), sha("<S>" + s + "<P>" + p + "<M>" + m), sha(t)))
+        else:
+            out.append((d["doc_id"], n, "psm", len(p), len(m), sha("<P>" + p + "<S>" + s + "<M>" + m), sha(t)))
+    return out
+
+
+def whole_vectors(rows, scale):
+    """(vec_id, label, integer components) of the rows that take part."""
+    import math
+    out = []
+    for r in rows:
+        v = r["embedding"]
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            out.append((r["vec_id"], r["label"], [math.floor(scale * x) for x in v]))
+    return out
+
+
+def op12(rows, parts=16, entries=64, rounds=2, scale=256):
+    """(vec_id, code, error, label_error, codebooks_sha256)"""
+    kept = whole_vectors(rows, scale)
+    size = max((len(v) for _, _, v in kept), default=0)
+    length = -(-size // parts)
+    cut = lambda v, p: (v + [0] * (parts * length - len(v)))[p * length:(p + 1) * length]
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[2]))[:entries]
+    books = [[cut(v, p) for _, _, v in first] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), i) for i, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            got = defaultdict(list)
+            for _, _, v in kept:
+                got[nearest(cut(v, p), books[p])[1]].append(cut(v, p))
+            books[p] = [[sum(c) // len(got[i]) for c in zip(*got[i])] if i in got else e for i, e in enumerate(books[p])]
+    digest = sha(",".join(str(c) for b in books for e in b for c in e))
+    coded = [(i, label, [nearest(cut(v, p), books[p]) for p in range(parts)]) for i, label, v in kept]
+    by_label = Counter()
+    for _, label, c in coded:
+        by_label[label] += sum(d for d, _ in c)
+    return [(i, "".join(f"{e:02x}" for _, e in c), sum(d for d, _ in c), by_label[label], digest) for i, label, c in coded]
+
+
+def op13(rows, k=20, step=20, scale=64):
+    """(query_id, rank, vec_id, score)"""
+    kept = whole_vectors(rows, scale)
+    out = []
+    for at, (q, _, x) in enumerate(kept):
+        if q is None or q % step:
+            continue
+        found = sorted(((-sum(a * b for a, b in zip(x, y)), i is None, i or 0) for j, (i, _, y) in enumerate(kept) if j != at))
+        out += [(q, r, None if none else i, -s) for r, (s, none, i) in enumerate(found[:k], 1)]
+    return out
