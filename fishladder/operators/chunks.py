@@ -13,20 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fishladder.session import work_folder
 from fishladder.sources import lookups as L
+from fishladder.sources.subtables import scratch_table
 
 RUN = 1 << 16
 
 
 def number_rows(df: DataFrame, order_col: str, name: str = "row_index") -> DataFrame:
     """(order_col, 0-based global row number) of every row, in the order of ``order_col``."""
-    spark = df.sparkSession
-    path = work_folder(spark, "numbered-rows")
-    (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
-       .repartitionByRange(order_col).withColumn("_range", F.spark_partition_id())
-       .write.parquet(path))
-    r = spark.read.parquet(path)
+    r = scratch_table(df.sparkSession, "numbered-rows",
+                      df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
+                        .repartitionByRange(order_col).withColumn("_range", F.spark_partition_id()))
     # one row per range
     firsts = r.groupBy("_range").agg(F.sum("_n").alias("_rows"))
     firsts = firsts.select("_range", (F.sum("_rows").over(Window.orderBy("_range").rowsBetween(

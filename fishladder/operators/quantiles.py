@@ -91,35 +91,3 @@ def grouped_quantiles(df: DataFrame, keys, value, probs: dict, count_name: str |
     """
     keys = list(keys)
     return quantiles_of_counts(value_counts(df, keys, value), keys, probs, count_name, width)
-
-
-def window_quantile(v: Column, c: Column, upto: Column, n: Column, p: float, group) -> Column:
-    """Quantile of a counted table as a window expression: ``upto`` is the
-    running sum of the counts ``c`` in value order, ``n`` their total, ``group``
-    the unordered window of the group."""
-    h = (n - 1) * F.lit(float(p))
-    covers = lambda r: (upto - c < r) & (upto >= r)
-    lo = F.max(F.when(covers(F.floor(h) + 1), v)).over(group).cast("double")
-    hi = F.max(F.when(covers(F.ceil(h) + 1), v)).over(group).cast("double")
-    return lo + (h - F.floor(h)) * (hi - lo)
-
-
-def grouped_quantiles_small_domain(df: DataFrame, keys, value, probs: dict) -> DataFrame:
-    """Exact quantiles for values with few distinct values per group (e.g.
-    whole travel days): counts per (group, value) are combined map-side by a
-    hash aggregation, so a hot group collapses to one row per distinct value;
-    the cumulative counts then run over distinct values only (bounded by the
-    value domain, e.g. the days of a season), never over rows.
-    """
-    keys = list(keys)
-    h = value_counts(df, keys, value)
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumns({"_cum": F.sum("_c").over(w), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
-    aggs = []
-    for name, p in probs.items():
-        hh = (F.col("_n") - 1) * F.lit(float(p))
-        covers = lambda r: (F.col("_cum") - F.col("_c") < r) & (F.col("_cum") >= r)
-        lo = F.max(F.when(covers(F.floor(hh) + 1), F.col("_v"))).cast("double")
-        hi = F.max(F.when(covers(F.ceil(hh) + 1), F.col("_v"))).cast("double")
-        aggs.append((lo + F.max(hh - F.floor(hh)) * (hi - lo)).alias(name))
-    return h.groupBy(*keys).agg(*aggs)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fishladder.functions.dates import mdy
 from fishladder.functions.text import word
-from fishladder.session import work_folder
 from fishladder.sources import lookups as L
+from fishladder.sources.subtables import scratch_table
 
 MARK_COLUMNS = ["pit_id", "hatchery", "mark_date", "release_site", "release_sitecode",
                 "release_date", "mark_lifestage", "species", "length_mm", "tag_file"]
@@ -53,21 +53,20 @@ def release_tally(marks: DataFrame) -> DataFrame:
 TALLY_ROWS, TALLY_SALTS = 1_000_000, 32
 
 
-def release_order(marks: DataFrame, tally_rows: int = TALLY_ROWS) -> DataFrame:
+def release_order(marks: DataFrame, tally_rows: int = TALLY_ROWS, tally: DataFrame | None = None) -> DataFrame:
     """Attach release_year and release_order to every mark.
 
-    The tally (one row per release event) is written to the shared folder and
-    its size looked up there. Up to ``tally_rows`` events it is broadcast, so
+    ``tally`` is the written ``release_tally`` of the same marks where the caller
+    keeps one; else it (one row per release event) is written to the shared
+    folder. Its size is looked up there: up to ``tally_rows`` events it is broadcast, so
     marks are not shuffled at all; a larger one is joined in copies by a salt
     of the tag, so an event that holds most tags is dealt over many tasks. The
     join matches NULL keys with NULL (N5).
     """
-    spark = marks.sparkSession
     on = RELEASE_KEYS + ["release_date"]
-    tally = release_tally(marks).select(*[F.col(k).alias("_t_" + k) for k in on], "release_year", "release_order")
-    path = work_folder(spark, "release-tally")
-    tally.write.parquet(path)
-    t = spark.read.schema(tally.schema).parquet(path)
+    if tally is None:
+        tally = scratch_table(marks.sparkSession, "release-tally", release_tally(marks))
+    t = tally.select(*[F.col(k).alias("_t_" + k) for k in on], "release_year", "release_order")
     cond = [F.col(k).eqNullSafe(F.col("_t_" + k)) for k in on]
     if t.count() <= tally_rows:
         t = F.broadcast(t)
@@ -97,9 +96,9 @@ def release_group_expr(rules=None, single_year: int = L.SINGLE_RELEASE_YEAR) ->
 
 
 def classify_release_groups(marks: DataFrame, rules=None,
-                            single_year: int = L.SINGLE_RELEASE_YEAR) -> DataFrame:
+                            single_year: int = L.SINGLE_RELEASE_YEAR, tally: DataFrame | None = None) -> DataFrame:
     """D10 + D11: marks -> the 12-column marks hand-off table."""
-    m = release_order(marks)
+    m = release_order(marks, tally=tally)
     m = m.withColumn("release_group", release_group_expr(rules, single_year).cast("string"))
     return m.select(*MARKS_TABLE_COLUMNS)
 

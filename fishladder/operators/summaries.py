@@ -35,22 +35,32 @@ def grouped_medians(df: DataFrame, keys, measures: dict, width=None) -> DataFram
 DAY_MICROS = 86_400_000_000
 
 
+def summary_counts(hist: DataFrame, upper: str = "LGR", lower: str = "BONN", keys=None) -> DataFrame:
+    """What ``emigration_summary`` needs of the histories, in one aggregation:
+    rows per group, measure and value of travel days, arrival times and release days."""
+    keys = SUMMARY_KEYS if keys is None else list(keys)
+    return stacked_counts(hist, keys, {
+        "_mu_t": F.col(f"{upper.lower()}_traveltime"), "_ml_t": F.col(f"{lower.lower()}_traveltime"),
+        "_mu_d": micros(F.col(upper)), "_ml_d": micros(F.col(lower)),
+        "_rel": F.datediff(F.col("release_date").cast("date"), F.lit("1970-01-01").cast("date"))})
+
+
 def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
                        keys=None) -> DataFrame:
+    """``summary_of_counts`` of the histories themselves."""
+    return summary_of_counts(summary_counts(hist, upper, lower, keys), upper, lower, keys)
+
+
+def summary_of_counts(counts: DataFrame, upper: str = "LGR", lower: str = "BONN", keys=None) -> DataFrame:
     """Per hatchery x species x release year x group: floor of the median
     travel days, date of the median arrival and detection count at the upper
     and lower dam, and the first/last release day as 'Month dd'.
 
-    Travel days, arrival times and release days are counted together in one
-    aggregation of the histories; counts, first and last days and all four
-    medians come from that table.
+    ``counts`` is ``summary_counts`` of the histories: counts, first and last
+    days and all four medians come from that table, which is read twice.
     """
     keys = SUMMARY_KEYS if keys is None else list(keys)
     lo_u, lo_l = upper.lower(), lower.lower()
-    counts = stacked_counts(hist, keys, {
-        "_mu_t": F.col(f"{lo_u}_traveltime"), "_ml_t": F.col(f"{lo_l}_traveltime"),
-        "_mu_d": micros(F.col(upper)), "_ml_d": micros(F.col(lower)),
-        "_rel": F.datediff(F.col("release_date").cast("date"), F.lit("1970-01-01").cast("date"))})
     is_ = lambda m: F.col("_m") == m
     counts = counts.where(is_("_rel") | F.col("_v").isNotNull())
     # buckets of the medians: single days for travel times, days of arrival; the release days are one bucket

@@ -106,15 +106,10 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Join on nullable keys, NULL matching NULL (N5); the right side's key
-    columns are renamed in one projection and dropped after the join.
-    ``how="full_outer_keys"``: full outer join with the keys coalesced."""
+    columns are renamed in one projection and dropped after the join."""
     keys = _names(keys)
     r = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys])
-    if how == "full_outer_keys":
-        j = left.join(r, cond, "full_outer")
-        rest = [c for c in j.columns if c not in keys and not c.startswith("_r_")]
-        return j.select(*[F.coalesce(F.col(k), F.col("_r_" + k)).alias(k) for k in keys], *rest)
     j = left.join(r, cond, how)
     return j.select(*[c for c in j.columns if not (c.startswith("_r_") and c[3:] in keys)])
 

@@ -10,15 +10,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fishladder.functions.dates import SeasonRule, micros, month_day_label, season_switched, to_fahrenheit
 from fishladder.functions.text import comma, str_c
 from fishladder.operators.density import group_kde
 from fishladder.operators.gauges import latest_reading
-from fishladder.operators.quantiles import window_quantile
-from fishladder.operators.verbs import filter_not_in, last_by, union_all
+from fishladder.operators.quantiles import quantiles_of_counts
+from fishladder.operators.summaries import DAY_MICROS
+from fishladder.operators.verbs import filter_not_in, join_null_safe, last_by, union_all
 from fishladder.operators.window_counts import current_spawn_years_df
 from fishladder.sources import lookups as L
 
@@ -71,18 +72,19 @@ def axis_limits(counted: DataFrame) -> DataFrame:
 
 
 def timing_summary(travel: DataFrame, species: str, dam: str = "LGR", selection=None) -> DataFrame:
+    """``timing_of_arrivals`` of the travel table."""
+    return timing_of_arrivals(arrivals(travel, species, dam, juvenile_selection(species) if selection is None else selection))
+
+
+def timing_of_arrivals(counted: DataFrame) -> DataFrame:
     """D30 / B3-B4 lines: per hatchery x release group the median arrival,
     the first release date (Q18) and whole days between them; axis limits.
-    The median runs over the distinct arrival times of a group."""
-    selection = juvenile_selection(species) if selection is None else selection
-    counted = arrivals(travel, species, dam, selection)
-    group = Window.partitionBy(*ARRIVAL_KEYS)
-    upto = F.sum("_c").over(group.orderBy("_us").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = counted.where("_own").withColumns({"_upto": upto, "_n": F.sum("_c").over(group)})
-    t = t.withColumn("_m", window_quantile(F.col("_us"), F.col("_c"), F.col("_upto"), F.col("_n"), 0.5, group))
-    j = t.groupBy(*ARRIVAL_KEYS).agg(
-        F.min("_rel").alias("release_date"),
-        F.timestamp_micros(F.floor(F.max("_m")).cast("long")).alias("median_arrival"))
+    The median comes from day buckets of the counted arrival times."""
+    own = counted.where("_own").withColumnRenamed("_us", "_v")
+    median = quantiles_of_counts(own.select(*ARRIVAL_KEYS, "_v", "_c"), ARRIVAL_KEYS, {"_m": 0.5}, width=DAY_MICROS)
+    released = own.groupBy(*ARRIVAL_KEYS).agg(F.min("_rel").alias("release_date"))
+    j = join_null_safe(released, median, ARRIVAL_KEYS).select(
+        *ARRIVAL_KEYS, "release_date", F.timestamp_micros(F.floor("_m").cast("long")).alias("median_arrival"))
     j = j.withColumn("travel_days", F.floor(
         (micros("median_arrival") - micros(F.col("release_date").cast("timestamp"))) / 86_400_000_000.0))
     return _one_row_join(j, axis_limits(counted))
@@ -90,11 +92,16 @@ def timing_summary(travel: DataFrame, species: str, dam: str = "LGR", selection=
 
 def arrival_density(travel: DataFrame, species: str, dam: str = "LGR", selection=None,
                     n_grid: int = 512, adjust: float = 0.5) -> DataFrame:
+    """``density_of_arrivals`` of the travel table."""
+    selection = juvenile_selection(species) if selection is None else selection
+    return density_of_arrivals(arrivals(travel, species, dam, selection), n_grid, adjust)
+
+
+def density_of_arrivals(counted: DataFrame, n_grid: int = 512, adjust: float = 0.5) -> DataFrame:
     """D29 / B3-B4 curves: density of arrival days per hatchery x group.
 
-    x and density are in days (epoch days; density per day)."""
-    selection = juvenile_selection(species) if selection is None else selection
-    counted = arrivals(travel, species, dam, selection)
+    ``counted`` (``arrivals``) is read several times: keep it as a written table
+    where it is used again. x and density are in days (epoch days; density per day)."""
     lim = axis_limits(counted).select((micros("xmin") / 86_400_000_000.0).alias("lo"),
                                       (micros("xmax") / 86_400_000_000.0).alias("hi"))
     own = counted.where("_own").withColumn("_day", F.col("_us") / 86_400_000_000.0)

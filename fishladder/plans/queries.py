@@ -16,13 +16,15 @@ from fishladder.operators import history as H
 from fishladder.operators import releases as R
 from fishladder.operators import summaries as S
 from fishladder.sources import driver as D
+from fishladder.sources.subtables import input_version, subtable
 
 REGISTRY: dict = {}
 
 # Sub-plans shared inside one query are built once per query call: the same
 # DataFrame object is reused, which saves py4j round trips and hands
 # Catalyst identical subtrees (their exchanges are then reused). The memo
-# lives only while one registered query is being built (per thread).
+# lives only while one registered query is being built (per thread). Tables
+# that several queries need are sub-tables of the session (``stored``).
 _STATE = threading.local()
 
 
@@ -54,7 +56,7 @@ def shared(fn):
         memo = getattr(_STATE, "memo", None)
         if memo is None:
             return fn(spark, sf, *args)
-        key = (fn.__name__, id(spark), sf, args)
+        key = (id(fn), id(spark), sf, args)
         if key not in memo:
             memo[key] = fn(spark, sf, *args)
         return memo[key]
@@ -62,16 +64,38 @@ def shared(fn):
     return get
 
 
+@shared
+def inputs_version(spark, sf):
+    return input_version(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "lineitem", "events")])
+
+
+def stored(fn):
+    """A sub-table that several queries of a session read: built once per input
+    version and kept in the shared folder. ``.direct`` is the plan itself, for
+    the query that stands for the operator."""
+    direct = shared(fn)
+
+    @shared
+    def get(spark, sf, *args):
+        return subtable(spark, fn.__name__, (sf, *args), inputs_version(spark, sf), lambda: direct(spark, sf, *args))
+    get.direct = direct
+    return get
+
+
 # driver views used by several helpers
 @shared
 def marks_v(spark, sf):
     return D.marks(spark, sf)
 
 
-@shared
+@stored
+def release_tally_v(spark, sf):
+    return R.release_tally(marks_v(spark, sf))
+
+
+@stored
 def marks_table_v(spark, sf):
-    from fishladder.operators.releases import classify_release_groups
-    return classify_release_groups(marks_v(spark, sf), single_year=D.SINGLE_YEAR)
+    return R.classify_release_groups(marks_v(spark, sf), single_year=D.SINGLE_YEAR, tally=release_tally_v(spark, sf))
 
 
 @shared
@@ -96,7 +120,7 @@ def inseason_first_per_site(spark, sf) -> DataFrame:
     return H.first_per_site(D.report(spark, sf))
 
 
-@shared
+@stored
 def inseason_travel_df(spark, sf) -> DataFrame:
     return H.inseason_travel(marks_v(spark, sf), inseason_first_per_site(spark, sf), D.dam_key(spark),
                              D.upstream_tags(spark, sf), release_dates=D.RELEASE_DATES)
@@ -193,21 +217,21 @@ def q_travel_days(spark, sf):
 
 @query("upstream_excluded")
 def q_upstream_excluded(spark, sf):
-    return inseason_travel_df(spark, sf)
+    return inseason_travel_df.direct(spark, sf)
 
 
 # --- releases ----------------------------------------------------------------------------------
 
 @query("release_order")
 def q_release_order(spark, sf):
-    m = R.release_order(marks_v(spark, sf))
+    m = R.release_order(marks_v(spark, sf), tally=release_tally_v(spark, sf))
     return m.select("pit_id", "hatchery", "species", "release_sitecode", "release_date",
                     "release_year", "release_order")
 
 
 @query("release_group")
 def q_release_group(spark, sf):
-    return marks_table_v(spark, sf)
+    return marks_table_v.direct(spark, sf)
 
 
 @query("release_group_dated")
@@ -230,6 +254,17 @@ def q_years_at_large(spark, sf):
                          .when(F.col("years_at_large") > 0, "adult")))
 
 
+@stored
+def history_counts(spark, sf) -> DataFrame:
+    """What all summaries of the histories are made of."""
+    return S.summary_counts(juvenile_history_df(spark, sf))
+
+
+@stored
+def inseason_counts(spark, sf) -> DataFrame:
+    return S.summary_counts(inseason_travel_df(spark, sf))
+
+
 @query("juvenile_history")
 def q_juvenile_history(spark, sf):
     return juvenile_history_df(spark, sf)
@@ -242,9 +277,8 @@ def q_emigration_summary(spark, sf):
 
 @query("emigration_all")
 def q_emigration_all(spark, sf):
-    hist = S.emigration_summary(juvenile_history_df(spark, sf))
-    cur = S.emigration_summary(inseason_travel_df(spark, sf))
-    return S.emigration_all(hist, cur)
+    hist, cur = history_counts(spark, sf), inseason_counts(spark, sf)
+    return S.emigration_all(S.summary_of_counts(hist), S.summary_of_counts(cur))
 
 
 # --- adult passage -----------------------------------------------------------------------------
@@ -264,14 +298,14 @@ def inseason_adults_df(spark, sf) -> DataFrame:
     return P.inseason_adult_detections(D.adult_report(spark, sf), marks_table_v(spark, sf))
 
 
-@shared
+@stored
 def adult_complete_df(spark, sf) -> DataFrame:
     day_first = H.first_per_site_day(detections_v(spark, sf))
     return P.passage_tables_reduced(day_first, marks_table_v(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
                                     P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR), obs_types=L.ADULT_OBS_TYPES)
 
 
-@shared
+@stored
 def adult_inseason_df(spark, sf) -> DataFrame:
     rep = D.adult_report(spark, sf).where(F.col("report_species") != "Coho")
     return P.passage_tables_reduced(rep, marks_table_v(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
@@ -303,12 +337,12 @@ def q_adult_daily(spark, sf):
 
 @query("adult_inseason")
 def q_adult_inseason(spark, sf):
-    return adult_inseason_df(spark, sf)
+    return adult_inseason_df.direct(spark, sf)
 
 
 @query("adult_complete")
 def q_adult_complete(spark, sf):
-    return adult_complete_df(spark, sf)
+    return adult_complete_df.direct(spark, sf)
 
 
 @query("adult_all_dams")
@@ -347,7 +381,7 @@ def window_finished_df(spark, sf) -> DataFrame:
     return WC.window_finished(daily, D.AS_OF)
 
 
-@shared
+@stored
 def window_table_df(spark, sf) -> DataFrame:
     return WC.window_table(window_current_df(spark, sf), window_finished_df(spark, sf))
 
@@ -379,7 +413,7 @@ def q_window_finished(spark, sf):
 
 @query("window_all")
 def q_window_all(spark, sf):
-    return window_table_df(spark, sf)
+    return window_table_df.direct(spark, sf)
 
 
 # --- gauges ------------------------------------------------------------------------------------
@@ -449,6 +483,12 @@ def juveniles_df(spark, sf, species="Chinook") -> DataFrame:
     return B.juveniles(inseason_travel_df(spark, sf), species, hatchery=HATCH["DWOR"])
 
 
+@stored
+def arrivals_df(spark, sf, species, dam) -> DataFrame:
+    """Counted arrivals behind the timing panels of a species and a dam."""
+    return B.arrivals(inseason_travel_df(spark, sf), species, dam, own(species))
+
+
 @shared
 def adult_bind_df(spark, sf) -> DataFrame:
     complete = P.season_dense(adult_complete_df(spark, sf), L.species_max_dates_df(spark), "max_date")
@@ -485,12 +525,12 @@ def _rounded_density(df: DataFrame) -> DataFrame:
 
 @query("group_kde")
 def q_group_kde(spark, sf):
-    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Steelhead", "LGR", own("Steelhead")))
+    return _rounded_density(B.density_of_arrivals(arrivals_df(spark, sf, "Steelhead", "LGR")))
 
 
 @query("timing_summary")
 def q_timing_summary(spark, sf):
-    return B.timing_summary(inseason_travel_df(spark, sf), "Chinook", "LGR", own("Chinook"))
+    return B.timing_of_arrivals(arrivals_df(spark, sf, "Chinook", "LGR"))
 
 
 @query("b01")
@@ -510,17 +550,17 @@ def q_b02(spark, sf):
 
 @query("b03")
 def q_b03(spark, sf):
-    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Chinook", "LGR", own("Chinook")))
+    return _rounded_density(B.density_of_arrivals(arrivals_df(spark, sf, "Chinook", "LGR")))
 
 
 @query("b04")
 def q_b04(spark, sf):
-    return _rounded_density(B.arrival_density(inseason_travel_df(spark, sf), "Chinook", "BONN", own("Chinook")))
+    return _rounded_density(B.density_of_arrivals(arrivals_df(spark, sf, "Chinook", "BONN")))
 
 
 @query("b04_lines")
 def q_b04_lines(spark, sf):
-    return B.timing_summary(inseason_travel_df(spark, sf), "Chinook", "BONN", own("Chinook"))
+    return B.timing_of_arrivals(arrivals_df(spark, sf, "Chinook", "BONN"))
 
 
 @query("b05")
@@ -576,10 +616,10 @@ def q_b14(spark, sf):
 
 def comparison_df(spark, sf, species, years) -> DataFrame:
     """The selection looks at summary keys only, so it is applied to the
-    histories and the medians of other species and years are never computed."""
+    counts and the medians of other species and years are never computed."""
     sel = B.comparison_selection(species, years)
-    both = S.emigration_all(S.emigration_summary(juvenile_history_df(spark, sf).where(sel)),
-                            S.emigration_summary(inseason_travel_df(spark, sf).where(sel)))
+    both = S.emigration_all(S.summary_of_counts(history_counts(spark, sf).where(sel)),
+                            S.summary_of_counts(inseason_counts(spark, sf).where(sel)))
     return B.emigration_comparison(both, species, years)
 
 
@@ -607,12 +647,12 @@ def q_b18(spark, sf):
 def q_b19(spark, sf):
     # The panel needs only year ranges. Densifying adds days inside existing
     # (species, hatchery, spawn year, dam) groups and every summary group comes
-    # from an input row, so the ranges of the passage tables and of the
-    # capture histories equal those of the densified and summarised tables;
-    # the medians and the gap filling are not needed for this panel.
+    # from an input row, so the ranges of the passage tables and of the counted
+    # histories equal those of the densified and summarised tables; the medians
+    # and the gap filling are not needed for this panel.
     adults = (adult_complete_df(spark, sf).unionByName(adult_inseason_df(spark, sf))
               .where(F.col("spawn_year") >= ADULT_FIRST_YEAR))
-    years = (juvenile_history_df(spark, sf).select("release_year")
-             .unionByName(inseason_travel_df(spark, sf).select("release_year")))
+    years = (history_counts(spark, sf).select("release_year")
+             .unionByName(inseason_counts(spark, sf).select("release_year")))
     return B.control_limits(adults, WC.dashboard_window(window_table_df(spark, sf)), years,
                             gauge_year_df(spark, sf), D.AS_OF)

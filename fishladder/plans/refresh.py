@@ -29,6 +29,7 @@ from fishladder.sources import lookups as L
 from fishladder.sources import readers
 from fishladder.operators.verbs import union_all
 from fishladder.sources.sinks import write_snapshot
+from fishladder.sources.subtables import drop_subtables
 
 
 @dataclass
@@ -99,7 +100,8 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
         return spark.read.parquet(paths[name])
 
     # marks and day-first detections: written once, read back (lineage cut)
-    marks = save("marks", R.classify_release_groups(inp.marks_history, single_year=inp.single_year),
+    tally = save("release_tally", R.release_tally(inp.marks_history))
+    marks = save("marks", R.classify_release_groups(inp.marks_history, single_year=inp.single_year, tally=tally),
                  "release_year")
     day_first = save("daily_detections", H.first_per_site_day(inp.tag_history), "obs_year")
     if chunk_dir:
@@ -162,8 +164,11 @@ def main(argv=None) -> None:
                 [x for v in spec.values() if isinstance(v, list) for x in v]
         size_for_input(spark, input_bytes(spark, files))
         inp = inputs_from_files(spark, spec, as_of)
-    for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks).items():
-        print(f"{name}\t{path}")
+    try:
+        for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks).items():
+            print(f"{name}\t{path}")
+    finally:
+        drop_subtables(spark)
 
 
 if __name__ == "__main__":

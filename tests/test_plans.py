@@ -60,7 +60,14 @@ def test_juvenile_history_reduces_detections_before_the_join(spark):
 def test_comparison_filters_lie_below_the_medians(spark):
     """Species and years reach the histories: no median of another species or
     year is computed, and every input is filtered before the stacked counts."""
-    p = REGISTRY["b15"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    from fishladder.operators import summaries as S
+    from fishladder.plans import dashboard as B
+    from fishladder.plans import queries as Q
+    sel = B.comparison_selection("Chinook", (1997, 2001))
+    both = S.emigration_all(S.emigration_summary(Q.juvenile_history_df(spark, SF).where(sel)),
+                            S.emigration_summary(Q.inseason_travel_df.direct(spark, SF).where(sel)))
+    df = B.emigration_comparison(both, "Chinook", (1997, 2001))
+    p = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     depth = lambda line: len(line) - len(line.lstrip(" :+-"))
     explodes = [i for i, line in enumerate(p) if "Generate explode" in line and "_mu_t" in line]
     assert explodes
@@ -74,9 +81,23 @@ def test_comparison_filters_lie_below_the_medians(spark):
             any("Chinook" in line for line in below) and any("1997" in line for line in below)), below[:5]
 
 
+def test_comparison_filters_reach_the_counted_histories(spark):
+    """The registered comparison reads stored counts: species and years are pushed into their scans."""
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    df = REGISTRY["b15"](spark, SF)
+    lines = df._jdf.queryExecution().explainString(formatted).splitlines()
+    pushed = [line for line in lines if "PushedFilters" in line and "EqualTo(species,Chinook)" in line
+              and "GreaterThanOrEqual(release_year,1997)" in line]
+    assert len(pushed) == plan(df).count("FileScan") == 4
+
+
 def test_shared_tables_are_built_few_times(spark):
     scans = lambda name: plan(REGISTRY[name](spark, SF)).count("FileScan")
-    assert scans("group_kde") <= 12 and scans("emigration_all") <= 20
+    shuffles = lambda name: plan(REGISTRY[name](spark, SF)).count("Exchange hashpartitioning")
+    assert scans("group_kde") <= 6 and scans("b04") <= 6
+    assert scans("emigration_all") <= 4 and shuffles("emigration_all") <= 16
+    assert scans("b15") <= 4 and scans("b16") <= 4 and shuffles("b16") <= 16
+    assert scans("b19") <= 8
     assert scans("dam_grid") <= 2
     p = plan(REGISTRY["season_dense"](spark, SF))
     assert "FullOuter" not in p

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fishladder.operators.chunks import number_rows, tag_chunks
@@ -65,6 +66,67 @@ def test_group_kde_matches_brute_force(spark):
         assert abs(np.trapezoid(dens, grid) - 1.0) < 0.02
 
 
+def test_hermite_coefficients():
+    from fishladder.operators.density import hermite
+    assert hermite(5) == [[1], [0, 1], [-1, 0, 1], [0, -3, 0, 1], [3, 0, -6, 0, 1]]
+
+
+@pytest.mark.parametrize("shape", ["wide", "narrow", "lumps", "equal", "two", "outlier", "ends"])
+def test_moments_equal_the_full_sum(spark, shape):
+    """Fast Gauss transform against every arrival on every grid point."""
+    rnd = random.Random(shape)
+    xs = {"wide": [rnd.uniform(0, 365) for _ in range(3000)],
+          "narrow": [200 + rnd.gauss(0, 1e-3) for _ in range(2000)],                     # far below the grid's step
+          "lumps": [float(rnd.choice([10, 11, 12, 300])) for _ in range(900)],
+          "equal": [77.25] * 40, "two": [5.0, 250.5],
+          "outlier": [100 + rnd.gauss(0, 0.5) for _ in range(500)] + [360.0],
+          "ends": [0.0] * 30 + [365.0] * 30 + [rnd.uniform(0, 365) for _ in range(50)]}[shape]
+    counted = spark.createDataFrame([(None, x) for x in xs], "g string, x double").repartition(4)
+    lim = spark.createDataFrame([(0.0, 365.0)], "lo double, hi double")
+    got = {r["point"]: r for r in group_kde(counted, ["g"], "x", lim).collect()}
+    weighted = counted.groupBy("g", "x").count()
+    again = {r["point"]: r["density"] for r in group_kde(weighted, ["g"], "x", lim, weight="count").collect()}
+    v = np.array(xs)
+    iqr = np.quantile(v, 0.75) - np.quantile(v, 0.25)
+    sd = 0.0 if v.min() == v.max() else v.std(ddof=1)
+    bw = 0.45 * (min(sd, iqr / 1.34) or sd or abs(v.min()) or 1.0) * len(v) ** -0.2
+    grid = np.linspace(0.0, 365.0, 512)
+    z = (grid[:, None] - v[None, :]) / bw
+    peak = 1 / (bw * math.sqrt(2 * math.pi))
+    want = peak * np.exp(-0.5 * z * z).mean(axis=1)
+    assert len(got) == 512 and all(r["g"] is None for r in got.values())
+    for i in range(512):
+        assert math.isclose(got[i]["x"], grid[i], rel_tol=1e-12)
+        assert abs(got[i]["density"] - want[i]) < 1e-12 * max(1.0, peak), (i, got[i]["density"], want[i])
+        assert abs(again[i] - want[i]) < 1e-12 * max(1.0, peak)
+
+
+def test_no_row_of_an_arrival_becomes_a_grid(spark):
+    """Rows made for the grid grow with the axis in bandwidths, not with the arrivals."""
+    from fishladder.operators.density import group_kde as kde
+    few, many = (spark.range(n).select(F.lit("g").alias("g"), (F.col("id") * 365.0 / n).alias("x")) for n in (2000, 40000))
+    lim = spark.createDataFrame([(0.0, 365.0)], "lo double, hi double")
+
+    def spread(df):
+        out = kde(df, ["g"], "x", lim)
+        out.collect()
+        rows = []
+
+        def walk(node):
+            if node.nodeName() == "Generate" and node.metrics().contains("numOutputRows"):
+                rows.append(node.metrics().apply("numOutputRows").value())
+            for plan in ([node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else []):
+                walk(plan)
+            if node.nodeName().endswith("QueryStage"):
+                walk(node.plan())
+            kids = node.children()
+            for i in range(kids.size()):
+                walk(kids.apply(i))
+        walk(out._jdf.queryExecution().executedPlan())
+        return max(rows)
+    assert spread(many) < 3 * spread(few)
+
+
 def test_tag_chunks_25000(spark):
     ids = spark.range(25000).select(F.format_string("3D9.%08d", (F.col("id") * 7919) % 25000).alias("pit_id"))
     ch = tag_chunks(ids.repartition(5))
@@ -82,13 +144,12 @@ def test_number_rows_is_dense(spark):
 
 
 def test_small_domain_quantiles_match_numpy(spark):
-    from fishladder.operators.quantiles import grouped_quantiles_small_domain
     rnd = random.Random(11)
     data = [("hot", rnd.randint(-5, 60)) for _ in range(4000)] + [(f"g{i % 9}", rnd.randint(0, 9)) for i in range(300)]
     data += [(None, 3), (None, 8), ("one", 7), ("nulls", None)]
     df = spark.createDataFrame(data, "g string, v long").repartition(5)
     probs = {"q25": 0.25, "q50": 0.5, "q90": 0.9}
-    got = {r["g"]: r for r in grouped_quantiles_small_domain(df, ["g"], "v", probs).collect()}
+    got = {r["g"]: r for r in grouped_quantiles(df, ["g"], "v", probs, width=1).collect()}
     groups = {}
     for g, v in data:
         if v is not None:

@@ -1,4 +1,4 @@
-"""Both exact-quantile paths against numpy on random, duplicate-heavy data."""
+"""Exact quantiles, with and without a bucket width, against numpy on random, duplicate-heavy data."""
 
 import math
 
@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fishladder.operators.quantiles import grouped_quantiles, grouped_quantiles_small_domain
+from fishladder.operators.quantiles import grouped_quantiles
 
 PROBS = {"q10": 0.1, "q50": 0.5, "q75": 0.75}
 
@@ -19,9 +19,9 @@ def test_quantile_paths_match_numpy(spark, data, parts):
     groups = {}
     for g, v in data:
         groups.setdefault(g, []).append(v)
-    for op in (grouped_quantiles, grouped_quantiles_small_domain):
-        got = {r["g"]: r for r in op(df, ["g"], "v", PROBS).collect()}
-        assert set(got) == set(groups), op.__name__
+    for width in (None, 1):
+        got = {r["g"]: r for r in grouped_quantiles(df, ["g"], "v", PROBS, width=width).collect()}
+        assert set(got) == set(groups), width
         for g, vals in groups.items():
             for name, p in PROBS.items():
-                assert math.isclose(got[g][name], float(np.quantile(vals, p)), abs_tol=1e-9), (op.__name__, g, name)
+                assert math.isclose(got[g][name], float(np.quantile(vals, p)), abs_tol=1e-9), (width, g, name)
