@@ -8,13 +8,14 @@ literal tables (<= 26 rows) and always broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import epoch_seconds, mdy_hms, travel_days
+from fishladder.functions.dates import epoch_seconds, mdy_hms, micros, travel_days
 from fishladder.functions.text import word
 from fishladder.operators.verbs import first_by, last_by
 from fishladder.sources import lookups as L
+from fishladder.sources.subtables import scratch_table
 
 
 # --- normalisation (D2) --------------------------------------------------------
@@ -47,13 +48,48 @@ def first_per_site(det: DataFrame) -> DataFrame:
     return first_by(det, ["pit_id", "site", "sitecode"], ["obs_datetime"], [])
 
 
-def first_per_site_day(det: DataFrame) -> DataFrame:
-    """First detection per (tag, day, site) - collapses antenna noise.
+# Event types up to which the first detections are packed into numbers.
+EVENT_TYPES = 10_000
 
-    ``obs_year`` is a function of the key (the day), so only the event type
-    rides along in the aggregation buffer and the year is derived after."""
-    first = first_by(det, ["pit_id", "obs_date", "obs_sitecode"], ["obs_datetime"], ["obs_type"])
-    return first.withColumn("obs_year", F.year("obs_date"))
+
+def event_types(det: DataFrame) -> DataFrame:
+    """The event types that occur, whatever they are, numbered from 1 in their
+    order: obs_type, code. One column is read, equal types combine map-side."""
+    types = det.select("obs_type").where(F.col("obs_type").isNotNull()).distinct()
+    return types.withColumn("code", F.row_number().over(Window.orderBy("obs_type")).cast("long"))
+
+
+def first_per_site_day(det: DataFrame, types: DataFrame | None = None, max_types: int = EVENT_TYPES) -> DataFrame:
+    """First detection per (tag, day, site) - collapses antenna noise; of
+    equal times the one with the smallest event type (none before all others).
+
+    Time and type travel as one number: microseconds since the start of the
+    day, times the number of types, plus the type's code. The smallest number is
+    the first time with the smallest type, and a plain ``min`` of a long is a
+    hash aggregation, combined map-side without a sort. ``types`` is the written
+    ``event_types`` table of the same detections where the caller keeps one; it
+    is broadcast after its rows were counted. Beyond ``max_types`` types the
+    pair is carried as it is (a sort aggregation).
+
+    ``obs_year`` is a function of the key (the day) and is derived after.
+    """
+    keys = ["pit_id", "obs_date", "obs_sitecode"]
+    if types is None:
+        types = scratch_table(det.sparkSession, "event-types", event_types(det))
+    n = types.count() + 1
+    if n > max_types:
+        first = first_by(det, keys, ["obs_datetime"], ["obs_type"])
+        return first.withColumn("obs_year", F.year("obs_date"))
+    coded = det.where(F.col("obs_datetime").isNotNull()).join(
+        F.broadcast(types.select(F.col("obs_type").alias("_type"), F.col("code").alias("_code"))),
+        F.col("obs_type") == F.col("_type"), "left")
+    day = F.unix_micros(F.coalesce("obs_date", F.lit("1970-01-01").cast("date")).cast("timestamp"))
+    packed = (micros("obs_datetime") - day) * F.lit(n).cast("long") + F.coalesce("_code", F.lit(0).cast("long"))
+    first = coded.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    first = first.withColumn("_code", F.pmod("_first", F.lit(n).cast("long")))
+    at = F.timestamp_micros(F.expr(f"(_first - _code) div {n}L") + day).cast(det.schema["obs_datetime"].dataType)
+    out = first.join(F.broadcast(types.select("obs_type", F.col("code").alias("_code"))), "_code", "left")
+    return out.select(*keys, at.alias("obs_datetime"), "obs_type", F.year("obs_date").alias("obs_year"))
 
 
 def last_per(det: DataFrame, keys) -> DataFrame:

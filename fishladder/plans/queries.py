@@ -103,6 +103,16 @@ def detections_v(spark, sf):
     return D.detections(spark, sf)
 
 
+@stored
+def event_types_v(spark, sf):
+    return H.event_types(detections_v(spark, sf))
+
+
+@shared
+def day_first_df(spark, sf):
+    return H.first_per_site_day(detections_v(spark, sf), event_types_v(spark, sf))
+
+
 # --- shared building blocks ---------------------------------------------------------
 
 @shared
@@ -172,7 +182,7 @@ def q_first_per_site(spark, sf):
 
 @query("first_per_site_day")
 def q_first_per_site_day(spark, sf):
-    return H.first_per_site_day(detections_v(spark, sf))
+    return day_first_df(spark, sf)
 
 
 @query("first_per_site_stream")
@@ -243,7 +253,7 @@ def q_release_group_dated(spark, sf):
 
 @query("years_at_large")
 def q_years_at_large(spark, sf):
-    det = H.first_per_site_day(detections_v(spark, sf))
+    det = day_first_df(spark, sf)
     m = marks_table_v(spark, sf).select(F.col("pit_id").alias("_pid"), "release_year")
     j = det.join(m, F.col("pit_id") == F.col("_pid"), "left").drop("_pid")
     yal = F.col("obs_year") - F.col("release_year")
@@ -289,7 +299,7 @@ from fishladder.sources import lookups as L  # noqa: E402
 
 @shared
 def history_adults_df(spark, sf) -> DataFrame:
-    day_first = H.first_per_site_day(detections_v(spark, sf))
+    day_first = day_first_df(spark, sf)
     return P.adult_detections(day_first, marks_table_v(spark, sf), L.ADULT_OBS_TYPES)
 
 
@@ -300,7 +310,7 @@ def inseason_adults_df(spark, sf) -> DataFrame:
 
 @stored
 def adult_complete_df(spark, sf) -> DataFrame:
-    day_first = H.first_per_site_day(detections_v(spark, sf))
+    day_first = day_first_df(spark, sf)
     return P.passage_tables_reduced(day_first, marks_table_v(spark, sf), D.PASSAGE_SITES, L.PASSAGE_PER_SITE,
                                     P.complete_filter(D.HISTORY_DROP_SPAWN_YEAR), obs_types=L.ADULT_OBS_TYPES)
 

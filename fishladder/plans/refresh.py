@@ -103,7 +103,8 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
     tally = save("release_tally", R.release_tally(inp.marks_history))
     marks = save("marks", R.classify_release_groups(inp.marks_history, single_year=inp.single_year, tally=tally),
                  "release_year")
-    day_first = save("daily_detections", H.first_per_site_day(inp.tag_history), "obs_year")
+    types = save("event_types", H.event_types(inp.tag_history))
+    day_first = save("daily_detections", H.first_per_site_day(inp.tag_history, types), "obs_year")
     if chunk_dir:
         write_chunks(tag_chunks(marks), chunk_dir)
 
