@@ -170,20 +170,22 @@ def history_columns(levels=None, release_group: bool = True) -> list[str]:
 
 # --- full histories (D15, in-season travel) ----------------------------------------------
 
-def juvenile_history(marks: DataFrame, det_dams: DataFrame, levels=None) -> DataFrame:
+def juvenile_history(marks: DataFrame, det_dams: DataFrame, levels=None, by_tag: bool = False) -> DataFrame:
     """One row per mark. Juvenile marks detected at a known dam in their
     release year get first-detection times; every other mark keeps NULL times
     and "0" flags (Q8).
 
     Detections are first reduced to (tag, year) x dams by a partially
     combined aggregation, then joined once to the marks on (tag, year).
+    ``by_tag``: both tables are bucketed by the tag, so the tag alone is the join
+    key (the year is compared beside it) and nothing is shuffled.
     """
     levels = L.DAM_LEVELS if levels is None else levels
     wide = wide_first_detections(det_dams.where(F.col("dam_code").isNotNull()),
                                  keys=("pit_id", "obs_year"), levels=levels)
     wide = wide.withColumnRenamed("pit_id", "_pid")
-    cond = ((F.col("pit_id") == F.col("_pid")) & (F.col("release_year") == F.col("obs_year"))
-            & (F.col("mark_lifestage") == "Juvenile"))
+    in_year = F.col("release_year") - F.col("obs_year") == 0 if by_tag else F.col("release_year") == F.col("obs_year")
+    cond = (F.col("pit_id") == F.col("_pid")) & in_year & (F.col("mark_lifestage") == "Juvenile")
     j = marks.join(wide, cond, "left").drop("_pid", "obs_year")
     j = j.withColumn("release_ts", F.col("release_date").cast("timestamp"))
     j = travel_times(capture_flags(j, levels), levels)

@@ -167,8 +167,8 @@ def read_gauge_daily(spark: SparkSession, paths) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a table written by ``sinks.write_snapshot``."""
-    from fishladder.sources.sinks import current_version
+    from fishladder.sources.sinks import current_version, read_version
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(version)
+    return read_version(spark, path, version.rsplit("/", 1)[1])
