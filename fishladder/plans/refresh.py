@@ -95,24 +95,25 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
     root = out_root.rstrip("/")
     paths = {}
 
-    def save(name, df, partition_by=None):
-        paths[name] = write_snapshot(df, f"{root}/{name}", partition_by)
-        return spark.read.parquet(paths[name])
+    def save(name, df, partition_by=None, bucket_by=None):
+        paths[name] = write_snapshot(df, f"{root}/{name}", partition_by, bucket_by)
+        return readers.read_snapshot(spark, f"{root}/{name}")
 
-    # marks and day-first detections: written once, read back (lineage cut)
+    # marks and day-first detections: written once, read back (lineage cut), bucketed by the tag they are joined on
     tally = save("release_tally", R.release_tally(inp.marks_history))
     marks = save("marks", R.classify_release_groups(inp.marks_history, single_year=inp.single_year, tally=tally),
-                 "release_year")
+                 "release_year", bucket_by="pit_id")
     types = save("event_types", H.event_types(inp.tag_history))
-    day_first = save("daily_detections", H.first_per_site_day(inp.tag_history, types), "obs_year")
+    day_first = save("daily_detections", H.first_per_site_day(inp.tag_history, types), "obs_year", bucket_by="pit_id")
     if chunk_dir:
         write_chunks(tag_chunks(marks), chunk_dir)
 
     det_dams = H.attach_dams(day_first, inp.dam_key, "obs_sitecode")
-    juv = save("juv_history", H.juvenile_history(marks, det_dams), "release_year")
+    juv = save("juv_history", H.juvenile_history(marks, det_dams, by_tag=True), "release_year")
     hist_summary = save("emigration_history", S.emigration_summary(juv))
 
-    travel = save("travel", H.inseason_travel(inp.marks_current, H.first_per_site(inp.reports), inp.dam_key_inseason,
+    first = save("first_detections", H.first_per_site(inp.reports), bucket_by="pit_id")
+    travel = save("travel", H.inseason_travel(inp.marks_current, first, inp.dam_key_inseason,
                                               inp.upstream, release_dates=inp.release_dates))
     save("emigration_all", S.emigration_all(hist_summary, S.emigration_summary(travel)))
 

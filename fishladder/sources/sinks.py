@@ -248,12 +248,15 @@ def fingerprints(df: DataFrame, partition_by) -> dict:
     return {_folder_name(r, by): {"rows": r["_n"], "hash": str(r["_h"])} for r in found.collect()}    # a row per partition
 
 
-def update_partitions(df: DataFrame, path: str, partition_by, only_changed: bool = False, whole: bool = False) -> str:
+def update_partitions(df: DataFrame, path: str, partition_by, only_changed: bool = False, whole: bool = False,
+                      covers=None) -> str:
     """Replace the partitions that ``df`` holds, keep all others, in one switch.
 
     ``only_changed``: a partition whose rows are what the table holds already
     (by count and content hash) is not written again. ``whole``: ``df`` is the
-    whole table, so partitions it does not hold go. Returns the version's folder.
+    whole table, so partitions it does not hold go; ``covers``: values of the
+    (one) partition column that ``df`` stands for, those without rows go.
+    Returns the version's folder.
     """
     spark = df.sparkSession
     root, by = path.rstrip("/"), _names(partition_by)
@@ -263,7 +266,8 @@ def update_partitions(df: DataFrame, path: str, partition_by, only_changed: bool
     same = {d for d, f in marks.items() if only_changed and d in base["parts"]
             and {k: base["parts"][d].get(k) for k in ("rows", "hash")} == f}
     changed = sorted(set(marks) - same)
-    gone = set(base["parts"]) - set(marks) if whole else set()
+    gone = set(base["parts"]) if whole else {_folder_name({by[0]: None if v is None else str(v)}, by) for v in covers or ()}
+    gone -= set(marks)
     version = f"v-{uuid.uuid4().hex}"
     if same:
         names = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)) for c in by]
