@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fishladder.sources import lookups as L
+from fishladder.sources.subtables import scratch_table
 
 
 def _c(col) -> Column:
@@ -44,21 +45,38 @@ def parse_mixed_date(col, orders=("ymd", "mdy", "dmy")) -> Column:
     return F.coalesce(*[F.try_to_date(c, _ORDER_FORMATS[o]) for o in orders])
 
 
-def parse_mixed_date_by(df, col: str, keys, orders=("ymd", "mdy", "dmy")):
+def date_order_counts(df, col: str, keys, orders=("ymd", "mdy", "dmy")):
+    """How many values of ``col`` each order parses, per ``keys``: a row per file."""
+    text = F.trim(F.col(col).cast("string"))
+    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        *[F.count(F.try_to_date(text, _ORDER_FORMATS[o])).alias(f"_n{i}") for i, o in enumerate(orders)])
+
+
+# Files up to which their date orders are broadcast.
+ORDER_ROWS = 1_000_000
+
+
+def parse_mixed_date_by(df, col: str, keys, orders=("ymd", "mdy", "dmy"), counts=None, order_rows: int = ORDER_ROWS):
     """``df`` with text column ``col`` parsed to dates, the order chosen per
     ``keys`` (e.g. the file): the order that parses most of a file's values is
     tried first, ties in the order given, values it cannot parse go on to the
     next. So 3/4 in a file that also has 25/4 is the 3rd of April.
+
+    ``counts`` is the written ``date_order_counts`` table of the same rows where
+    the caller keeps one. It has a row per file and is broadcast after its rows
+    were counted, so no row is moved; beyond ``order_rows`` files it is joined.
     """
     text = F.trim(F.col(col).cast("string"))
     attempts = [F.try_to_date(text, _ORDER_FORMATS[o]) for o in orders]
-    fits = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        *[F.count(a).alias(f"_n{i}") for i, a in enumerate(attempts)])
+    if counts is None:
+        counts = scratch_table(df.sparkSession, "date-orders", date_order_counts(df, col, keys, orders))
+    if counts.count() <= order_rows:
+        counts = F.broadcast(counts)
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     tried = F.array_sort(F.array(*[F.struct((-F.col(f"_n{i}")).alias("n"), F.lit(i).alias("i"), a.alias("d"))
                                    for i, a in enumerate(attempts)]))
     best = F.get(F.filter(tried, lambda x: x["d"].isNotNull()), F.lit(0))["d"]
-    out = df.join(fits, on, "left")
+    out = df.join(counts, on, "left")
     return out.select(*[best.alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
 
 

@@ -11,7 +11,7 @@ import threading
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fishladder.functions.dates import parse_mixed_date_by
+from fishladder.functions.dates import date_order_counts, parse_mixed_date_by
 from fishladder.operators import history as H
 from fishladder.operators import releases as R
 from fishladder.operators import summaries as S
@@ -162,15 +162,25 @@ def q_report_clean(spark, sf):
     return H.normalize_report(D.report_raw(spark, sf))
 
 
-@query("mixed_dates")
-def q_mixed_dates(spark, sf):
+@shared
+def dated_text(spark, sf):
     w = D.window_report(spark, sf, "finished")
     fmt = (F.when(F.col("Project") == "Lower Granite", F.date_format("Date", "yyyy-MM-dd"))
             .when(F.col("Project") == "Bonneville", F.date_format("Date", "M/d/yyyy"))
             .otherwise(F.date_format("Date", "d/M/yyyy")))
     t = w.select(F.col("Project").alias("dam"), fmt.alias("date_text"))
+    return t.withColumn("date", F.col("date_text"))
+
+
+@stored
+def date_orders_v(spark, sf):
+    return date_order_counts(dated_text(spark, sf), "date", ["dam"])
+
+
+@query("mixed_dates")
+def q_mixed_dates(spark, sf):
     # the dam stands for the file the row came from
-    return parse_mixed_date_by(t.withColumn("date", F.col("date_text")), "date", ["dam"])
+    return parse_mixed_date_by(dated_text(spark, sf), "date", ["dam"], counts=date_orders_v(spark, sf))
 
 
 # --- first events, dams, wide histories -------------------------------------------------

@@ -52,6 +52,7 @@ class Inputs:
     drop_spawn_year: int | None = None
     as_of: dt.date = field(default_factory=dt.date.today)
     gauge_as_of: dt.date | None = None
+    problems: DataFrame | None = None  # rejected cells per file and column of the landed files
 
 
 def inputs_from_files(spark: SparkSession, paths: dict, as_of: dt.date, **params) -> Inputs:
@@ -63,6 +64,9 @@ def inputs_from_files(spark: SparkSession, paths: dict, as_of: dt.date, **params
     adult = adult.select(F.col("Tag").alias("pit_id"), word("Site", 1).alias("obs_sitecode"),
                          mdy_hms("Obs Time").alias("obs_datetime"),
                          F.col("Species Name").alias("report_species"))
+    problems = union_all(*[readers.mark_problems(spark, paths[p]) for p in ("marks_history", "marks_current")],
+                         *[readers.window_problems(spark, paths[p]) for p in ("window_current", "window_finished")],
+                         readers.gauge_problems(spark, paths["gauges"]), readers.tag_history_problems(spark, paths["tag_history_dir"]))
     up = readers.read_detection_report(spark, paths["upstream"]).select(F.col("Tag").alias("pit_id"))
     return Inputs(
         marks_history=R.normalize_marks(readers.read_mark_file(spark, paths["marks_history"])),
@@ -73,7 +77,7 @@ def inputs_from_files(spark: SparkSession, paths: dict, as_of: dt.date, **params
         window_finished=readers.read_window_reports(spark, paths["window_finished"]),
         gauge_raw=readers.read_gauge_daily(spark, paths["gauges"]),
         dam_key=L.dam_key_df(spark), dam_key_inseason=L.dam_key_df(spark, L.DAM_KEY_INSEASON),
-        gauge_sites=L.gauge_sites_df(spark), as_of=as_of, **params)
+        gauge_sites=L.gauge_sites_df(spark), as_of=as_of, problems=problems, **params)
 
 
 def inputs_from_driver(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -99,6 +103,8 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
         paths[name] = write_snapshot(df, f"{root}/{name}", partition_by, bucket_by)
         return readers.read_snapshot(spark, f"{root}/{name}")
 
+    if inp.problems is not None:
+        save("reader_problems", inp.problems.coalesce(1))       # a row per file and column
     # marks and day-first detections: written once, read back (lineage cut), bucketed by the tag they are joined on
     tally = save("release_tally", R.release_tally(inp.marks_history))
     marks = save("marks", R.classify_release_groups(inp.marks_history, single_year=inp.single_year, tally=tally),
