@@ -10,6 +10,9 @@ inside their range only.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,54 @@ def tag_chunks(marks: DataFrame, chunk: int = L.TAG_CHUNK_SIZE, id_col: str = "p
     return n.select((F.floor(F.col("row_index") / chunk) + 1).cast("int").alias("chunk"), id_col)
 
 
+CHUNKS_PER_TASK = 64
+
+
+def write_chunk_files(marks: DataFrame, out_dir: str, chunk: int = L.TAG_CHUNK_SIZE, id_col: str = "pit_id",
+                      per_task: int = CHUNKS_PER_TASK) -> int:
+    """The ids of every chunk as one plain text file ``<n>.txt``, all in
+    the folder ``out_dir``; returns the number of chunks.
+
+    A task gets the ids of ``per_task`` chunks in a row, in order, and Spark's
+    text writer starts a new file after every ``chunk`` ids: file j of task p is
+    chunk p * per_task + j + 1. Its commit protocol keeps one attempt of every
+    task, so a retry leaves no chunk twice. The files are then renamed out of
+    the staging folder; ``_SUCCESS`` comes last, and a later export replaces the
+    files of an earlier one.
+    """
+    spark = marks.sparkSession
+    rows = number_rows(marks.select(id_col), id_col)
+    index = F.col("row_index")
+    n = rows.count()
+    tasks = max(1, -(-n // (chunk * per_task)))
+    out, jvm = out_dir.rstrip("/"), spark._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    staged = f"{out}/_staged-{uuid.uuid4().hex}"
+    (rows.repartitionById(tasks, F.floor(index / (chunk * per_task)).cast("int"))
+         .sortWithinPartitions("row_index").select(F.col(id_col).cast("string").alias("value"))
+         .write.option("maxRecordsPerFile", chunk).text(staged))
+
+    fs.delete(path(f"{out}/_SUCCESS"), False)
+    for st in fs.listStatus(path(out)):
+        if st.isFile() and re.fullmatch(r"[0-9]+[.]txt", st.getPath().getName()):
+            fs.delete(st.getPath(), False)
+    done = 0
+    files = fs.listFiles(path(staged), False)
+    while files.hasNext():
+        at = files.next().getPath()
+        part = re.match(r"part-([0-9]+)-.*-c([0-9]+)[.]txt", at.getName())
+        if part and n:            # no ids: the writer leaves one empty file
+            if not fs.rename(at, path(f"{out}/{int(part[1]) * per_task + int(part[2]) + 1}.txt")):
+                raise RuntimeError(f"could not rename {at}")
+            done += 1
+    if done != -(-n // chunk):
+        raise RuntimeError(f"{done} chunk files for {n} ids of {chunk} each")
+    fs.delete(path(staged), True)
+    fs.createNewFile(path(f"{out}/_SUCCESS"))
+    return done
+
+
 def write_chunks(chunks: DataFrame, out_dir: str, id_col: str = "pit_id") -> None:
     """One text file set per chunk directory (``chunk=<n>/``), ids only."""
     (chunks.repartition("chunk").sortWithinPartitions(id_col)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fishladder.functions.dates import epoch_seconds, mdy_hms, micros, travel_days
 from fishladder.functions.text import word
 from fishladder.operators.verbs import first_by, last_by
+from fishladder.session import input_bytes
 from fishladder.sources import lookups as L
 from fishladder.sources.subtables import scratch_table
 
@@ -229,19 +230,34 @@ def inseason_travel(marks: DataFrame, det_first_site: DataFrame, dam_key: DataFr
     return j.select(*history_columns(levels))
 
 
+# Upstream tags (rows, and bytes of their written table) up to which they are broadcast.
+UPSTREAM_ROWS, UPSTREAM_BYTES = 1_000_000, 32 << 20
+
+
 def exclude_upstream(df: DataFrame, marks: DataFrame, upstream_tags: DataFrame,
-                     onsite_codes=None, before_release: bool = False) -> DataFrame:
+                     onsite_codes=None, before_release: bool = False, broadcast_rows: int = UPSTREAM_ROWS) -> DataFrame:
     """Drop tags released on station that also appear in the upstream
     report. Default is presence only, as the program does (Q31); with
     ``before_release`` only tags seen upstream before their release day are
-    dropped (``upstream_tags`` then needs ``obs_datetime``)."""
+    dropped (``upstream_tags`` then needs ``obs_datetime``).
+
+    The upstream report is small beside the marks: its tags are written to the
+    shared folder, one row each, and broadcast if that table is within the
+    limits, so neither the marks nor ``df`` are shuffled for this step. A larger
+    report is joined by shuffles; Spark's own run-time Bloom filter of the report
+    then thins the marks before they are moved, where its size check allows.
+    """
     onsite_codes = L.ONSITE_RELEASE_CODES if onsite_codes is None else onsite_codes
     onsite = marks.where(F.col("release_sitecode").isin(onsite_codes)).select("pit_id", "release_date")
+    seen = F.min("obs_datetime") if before_release else F.lit(None)
+    tags = scratch_table(df.sparkSession, "upstream-tags", upstream_tags.where(F.col("pit_id").isNotNull())
+                         .groupBy("pit_id").agg(seen.cast("timestamp").alias("_first_up")))
+    few = tags.count() <= broadcast_rows and input_bytes(df.sparkSession, tags.inputFiles()) <= UPSTREAM_BYTES
+    near = F.broadcast if few else (lambda t: t)
     if before_release:
-        first_up = upstream_tags.groupBy("pit_id").agg(F.min("obs_datetime").alias("_first_up"))
-        flagged = (onsite.join(first_up, "pit_id")
-                         .where(F.col("_first_up").cast("timestamp") < F.col("release_date").cast("timestamp"))
-                         .select("pit_id"))
+        flagged = (onsite.join(near(tags), "pit_id")
+                         .where(F.col("_first_up") < F.col("release_date").cast("timestamp")).select("pit_id"))
     else:
-        flagged = onsite.select("pit_id").join(upstream_tags.select("pit_id").distinct(), "pit_id", "left_semi")
-    return df.join(flagged, "pit_id", "left_anti")
+        flagged = onsite.select("pit_id").join(near(tags.select("pit_id")), "pit_id", "left_semi")
+    # a tag marked more than once is one row here, so this side is no larger than the upstream table
+    return df.join(near(flagged.distinct()), "pit_id", "left_anti")

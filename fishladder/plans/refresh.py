@@ -23,7 +23,7 @@ from fishladder.operators import passage as P
 from fishladder.operators import releases as R
 from fishladder.operators import summaries as S
 from fishladder.operators import window_counts as WC
-from fishladder.operators.chunks import tag_chunks, write_chunks
+from fishladder.operators.chunks import tag_chunks, write_chunk_files, write_chunks
 from fishladder.operators.gauges import gauge_year
 from fishladder.sources import lookups as L
 from fishladder.sources import readers
@@ -94,8 +94,12 @@ def inputs_from_driver(spark: SparkSession, sf_dir: str) -> Inputs:
         drop_spawn_year=D.HISTORY_DROP_SPAWN_YEAR, as_of=D.AS_OF, gauge_as_of=D.AS_OF_EVENTS)
 
 
-def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: str | None = None) -> dict:
-    """Write all hand-off tables; returns {table name: folder of the version written}."""
+def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: str | None = None,
+                  chunk_files: str | None = None) -> dict:
+    """Write all hand-off tables; returns {table name: folder of the version written}.
+
+    ``chunk_dir``: the tag ids also as a folder per chunk; ``chunk_files``: as one
+    plain file per chunk in one folder."""
     root = out_root.rstrip("/")
     paths = {}
 
@@ -113,6 +117,8 @@ def build_catalog(spark: SparkSession, inp: Inputs, out_root: str, chunk_dir: st
     day_first = save("daily_detections", H.first_per_site_day(inp.tag_history, types), "obs_year", bucket_by="pit_id")
     if chunk_dir:
         write_chunks(tag_chunks(marks), chunk_dir)
+    if chunk_files:
+        write_chunk_files(marks, chunk_files)
 
     det_dams = H.attach_dams(day_first, inp.dam_key, "obs_sitecode")
     juv = save("juv_history", H.juvenile_history(marks, det_dams, by_tag=True), "release_year")
@@ -160,6 +166,7 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir")
     ap.add_argument("--inputs")
     ap.add_argument("--chunks")
+    ap.add_argument("--chunk-files")
     args = ap.parse_args(argv)
     spark = build_session()
     if args.sf_dir:
@@ -173,7 +180,7 @@ def main(argv=None) -> None:
         size_for_input(spark, input_bytes(spark, files))
         inp = inputs_from_files(spark, spec, as_of)
     try:
-        for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks).items():
+        for name, path in build_catalog(spark, inp, args.out, chunk_dir=args.chunks, chunk_files=args.chunk_files).items():
             print(f"{name}\t{path}")
     finally:
         drop_subtables(spark)
