@@ -20,13 +20,14 @@ per byte / ``TEMPERATURE``) among all languages. Texts without a letter are
 ``und`` with score 0.
 
 The model is fitted on a bounded sample: about ``SAMPLE_ROWS`` labelled rows
-per language, chosen by a hash of their id (each row of a language with n rows
-is in with probability SAMPLE_ROWS / n); at most ``SAMPLE_WORDS`` distinct words
-per language, the most frequent, enter the trees. Prediction covers all texts.
+per language, chosen by a hash of id and text (each row of a language with n
+rows is in with probability SAMPLE_ROWS / n). All words of these rows enter the
+trees; (context, next byte) pairs are counted in Spark. Prediction covers all
+texts.
 
 Defined cases: null text is ``und``; rows without a label are never learned
 from; without any learned language all texts are ``und``; ids may be null or
-repeated; other columns of the input are ignored.
+repeated (a language whose rows all have one id is learned like any other); other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -37,15 +38,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fishladder.llm.common import documents, prepare_workers
+from fishladder.llm.common import documents, prepare_workers, small, work_dir, write_table
 from fishladder.llm.tokens import worker
 
 ORDER = 4
 SAMPLE_ROWS = 600
-SAMPLE_WORDS = 20_000
 CACHE_ENTRIES = 300_000
 CACHED_LENGTH = 40
 CHUNK = 1 << 16
@@ -60,14 +60,23 @@ class Tree:
     """Byte context tree of one language."""
 
     def __init__(self, words: dict[str, int], order: int = ORDER):
-        self.order, nodes = order, {}
+        counts: dict[bytes, int] = {}
         for word, n in words.items():
-            data = b" " + word.encode() + b" "
-            for i in range(1, len(data)):
-                for k in range(min(order, i) + 1):
-                    node = nodes.setdefault(data[i - k:i], {})
-                    node[data[i]] = node.get(data[i], 0) + n
-        self.nodes = nodes
+            for g in grams(word, order):
+                counts[g] = counts.get(g, 0) + n
+        self._fill(counts, order)
+
+    @classmethod
+    def of_counts(cls, counts: dict[bytes, int], order: int = ORDER) -> Tree:
+        """The tree of counted (context, next byte) strings."""
+        tree = cls.__new__(cls)
+        tree._fill(counts, order)
+        return tree
+
+    def _fill(self, counts: dict[bytes, int], order: int) -> None:
+        self.order, self.nodes = order, {}
+        for g in sorted(counts):
+            self.nodes.setdefault(g[:-1], {})[g[-1]] = counts[g]
 
     def bits(self, data: bytes, lead: int = 1) -> float:
         """Code length of ``data[lead:]`` in bits."""
@@ -180,27 +189,67 @@ def held_out(id_col="doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def word_counts(docs: DataFrame, rows: int = SAMPLE_ROWS, words: int = SAMPLE_WORDS, id_col: str = "doc_id",
-                text_col: str = "text", lang_col: str = "lang") -> dict[str, dict[str, int]]:
-    """{language: {word: count}} of the bounded sample."""
-    train = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"),
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang") -> DataFrame:
+    """l, t, k: the texts that are learned from, and how many copies of each.
+
+    Equal rows (id, text, label) are counted, and of m copies floor(m * p + u)
+    are in, where p is the share of the language's rows that is wanted and u a
+    number in [0, 1) from a hash of id and text. So a single row is in with
+    probability p, many copies are in by their share, and rows with equal or
+    missing ids are chosen apart from each other."""
+    spark = docs.sparkSession
+    train = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"),
                         F.col(lang_col).cast("string").alias("l")) \
-                .where(~held_out("i") & F.col("l").isNotNull() & F.col("t").isNotNull())
-    per_lang = train.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    share = F.pmod(F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit("")), F.lit(20)), F.lit(1 << 40)) / float(1 << 40)
-    sample = train.join(F.broadcast(per_lang), "l").where(share * F.col("n") < rows)
-    found = sample.select("l", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")) \
-                  .groupBy("l", "w").agg(F.count(F.lit(1)).alias("c"))
-    best = Window.partitionBy("l").orderBy(F.desc("c"), "w")
-    out: dict[str, dict[str, int]] = {}
-    for r in found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= words).select("l", "w", "c").collect():
-        out.setdefault(r.l, {})[r.w] = r.c
+                .where(~held_out("i") & F.col("l").isNotNull() & F.col("t").isNotNull()) \
+                .withColumn("key", F.xxhash64("i", "t", "l"))
+    counted = write_table(train.groupBy("l", "key").agg(F.count(F.lit(1)).alias("m")), work_dir(spark, "language-rows"))
+    per_lang = write_table(counted.groupBy("l").agg(F.sum("m").alias("n")), work_dir(spark, "language-sizes"))
+    u = F.pmod(F.xxhash64("key", F.lit(20)), F.lit(1 << 40)) / float(1 << 40)
+    share = F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n"))
+    chosen = counted.join(small(per_lang), "l").withColumn("k", F.floor(F.col("m") * share + u).cast("long")).where("k > 0")
+    chosen = write_table(chosen.select(F.col("l").alias("cl"), F.col("key").alias("ck"), "k"), work_dir(spark, "language-sample"))
+    own = train.join(small(chosen), (F.col("l") == F.col("cl")) & (F.col("key") == F.col("ck")))
+    return own.groupBy("l", "key", "k").agg(F.first("t").alias("t")).select("l", "t", "k")
+
+
+def grams(word: str, order: int = ORDER):
+    """Every context of up to ``order`` bytes in a word, with the byte after it."""
+    data = b" " + word.encode() + b" "
+    for i in range(1, len(data)):
+        for k in range(min(order, i) + 1):
+            yield data[i - k:i + 1]
+
+
+def gram_counts(docs: DataFrame, order: int = ORDER, **options) -> dict[str, dict[bytes, int]]:
+    """{language: {context and next byte: count}} over all words of the sample.
+
+    Counted in Spark, all words; what comes back has a row per language and
+    distinct string of at most ``order`` + 1 bytes of the sampled rows."""
+    words = sample(docs, **options).select(
+        "l", "k", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")) \
+        .groupBy("l", "w").agg(F.sum("k").alias("c"))
+
+    def expand(batches):
+        for b in batches:
+            found: dict[tuple, int] = {}
+            for lang, word, n in zip(*(c.to_pylist() for c in b.columns)):
+                for g in grams(word, order):
+                    found[lang, g] = found.get((lang, g), 0) + n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.string()), pa.array([g for _, g in found], pa.binary()),
+                 pa.array(list(found.values()), pa.int64())], names=["l", "g", "n"])
+
+    prepare_workers(docs.sparkSession)
+    out: dict[str, dict[bytes, int]] = {}
+    for r in words.mapInArrow(expand, "l string, g binary, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).collect():
+        out.setdefault(r["l"], {})[bytes(r["g"])] = r["n"]
     return out
 
 
 def fit(docs: DataFrame, order: int = ORDER, **options) -> dict[str, Tree]:
-    """One tree per language of the bounded sample."""
-    return {lang: Tree(words, order) for lang, words in word_counts(docs, **options).items()}
+    """One tree per language of the bounded sample of rows."""
+    return {lang: Tree.of_counts(counts, order) for lang, counts in gram_counts(docs, order, **options).items()}
 
 
 def predict_languages(df: DataFrame, trees: dict[str, Tree], id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
