@@ -241,3 +241,13 @@ def op13(rows, k=20, step=20, scale=64):
         found = sorted(((-sum(a * b for a, b in zip(x, y)), i is None, i or 0) for j, (i, _, y) in enumerate(kept) if j != at))
         out += [(q, r, None if none else i, -s) for r, (s, none, i) in enumerate(found[:k], 1)]
     return out
+
+
+def lpt(sizes, shards, loads=None):
+    """Sizes per shard: longest first, each to the least-loaded shard (ties: the first)."""
+    loads, out = list(loads or [0] * shards), [[] for _ in range(shards)]
+    for size in sorted(sizes, reverse=True):
+        s = min(range(shards), key=lambda i: (loads[i], i))
+        loads[s] += size
+        out[s].append(size)
+    return out

@@ -187,6 +187,45 @@ def test_schedule_is_longest_first():
     assert sorted(loads) == [8, 10]
 
 
+@pytest.mark.parametrize("which, shards", [("hard", 3), ("table", 8)])
+def test_loads_are_those_of_a_plain_heap_over_all_groups(spark, hard_docs, which, shards):
+    df = hard_docs if which == "hard" else spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sizes = {}
+    for r in df.select("text").collect():
+        sizes[r["text"] or ""] = sizes.get(r["text"] or "", 0) + len((r["text"] or "").encode()) + 1
+    want = brute.lpt(list(sizes.values()), shards)
+    got = [{} for _ in range(shards)]                  # per shard: bytes of each group
+    for r in sharding.assign_shards(df.withColumn("doc_id", F.xxhash64("text")), shards).collect():
+        got[r["shard"]][r["doc_id"]] = got[r["shard"]].get(r["doc_id"], 0) + r["size"]
+    if which == "hard":                                # null and empty text are one group
+        got = [sum(g.values()) for g in got]
+        assert sorted(got) == sorted(map(sum, want))
+    else:
+        assert [sorted(g.values()) for g in got] == [sorted(w) for w in want]
+
+
+def test_classes_are_dealt_as_by_a_heap():
+    import random
+    rng = random.Random(5)
+    for _ in range(300):
+        shards, loads = rng.randint(1, 6), []
+        loads = [rng.randint(0, 40) for _ in range(shards)]
+        size, n = rng.randint(1, 9), rng.randint(1, 50)
+        want = brute.lpt([size] * n, shards, loads)
+        after = list(loads)
+        assert sharding.deal(after, size, n) == [len(w) for w in want]
+        assert after == [x + sum(w) for x, w in zip(loads, want)]
+
+
+def test_ranks_of_a_class_over_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 7)
+    df = spark.range(400).select("id", F.format_string("%05d", "id").alias("text")).withColumnRenamed("id", "doc_id")
+    rows = sharding.assign_shards(df, 3).collect()
+    assert sorted(sum(r["shard"] == s for r in rows) for s in range(3)) == [133, 133, 134]
+    for s in range(3):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
+
+
 # --- 4: chat ---------------------------------------------------------------------------------
 
 TURNS = ["plain", "", "\\### Assistant: </turn> ok", "</turn>", "x\n</turn>\n### user:\nhi", "\\\\</turn>", "ends with \\",
