@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 import fishladder
 from fishladder.session import work_folder
 
-# A side of a join is broadcast only after its rows were counted and found
-# below this bound; otherwise the join shuffles (AQE splits skewed keys).
+# A side of a join is broadcast only after its rows and bytes were counted and
+# found below these bounds; otherwise the join shuffles (AQE splits skewed keys).
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -36,12 +37,16 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, else unchanged.
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows and, written
+    as JSON, at most ``limit_bytes`` bytes, else unchanged.
 
-    Pass written tables: the count then reads Parquet metadata only.
+    Pass written tables: they are read once more, beyond ``limit`` rows only their metadata.
     """
-    return F.broadcast(df) if df.count() <= limit else df
+    if df.count() > limit:
+        return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= limit_bytes else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,11 @@ A window lies wholly inside a document or not at all, so of its shingles, put
 in order of rarity in the corpus, the first one is all that must be joined:
 
 1. one scan of the documents keeps the positions whose shingle may be one of
-   the benchmark's (a table of hash slots, at most ``MAX_SLOTS`` bytes, in the
-   expression) with the words around them, and the document's word count;
+   the benchmark's with the words around them, and the document's word count.
+   A table of bits in the expression tells: two bits per shingle, sized by the
+   benchmark (16 to 32 bits a shingle, so about one foreign position in 75 or
+   less passes), up to ``MAX_BITS`` bits, 4 million shingles. Beyond that more
+   positions pass to step 2; the result is exact at any size;
 2. an equality join with the benchmark's shingles makes these exact; counting
    them gives the rarity order and each window's rarest shingle;
 3. positions of a window's rarest shingle fix where the window must start:
@@ -36,7 +39,7 @@ from fishladder.operators.verbs import join_null_safe
 
 WINDOW_WORDS = 13
 SHINGLE = 3
-MAX_SLOTS = 1 << 20
+MAX_BITS = 1 << 26
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -66,16 +69,41 @@ def benchmark_windows(bench: DataFrame, item_col: str, text_col: str, window: in
 POSITIONS = "array<struct<pos:int,k:int,lo:int,ctx:array<string>>>"
 
 
-def _positions(k: int, window: int, table, slots: int):
-    """Positions of words ``ws`` whose shingle of ``k`` words has a slot in the
-    table, each with all words that a window holding that shingle can reach."""
+def _bits_of(h, bits: int):
+    """The two bits of a shingle hash in a table of ``bits`` bits, a power of two."""
+    low = F.lit(bits - 1)
+    return [h.bitwiseAND(low), F.shiftrightunsigned(h, 32).bitwiseAND(low)]
+
+
+def bit_table(keys: DataFrame, n_keys: int):
+    """(table, bits): array column of 64-bit words in which the bits of all hashes ``h`` are set."""
+    bits = min(MAX_BITS, max(1 << 10, 1 << (16 * n_keys - 1).bit_length() if n_keys else 0))
+    at = keys.select(F.explode(F.array(*_bits_of(F.col("h"), bits))).alias("at"))
+    found = at.groupBy(F.shiftright("at", 6).cast("int").alias("word")) \
+              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("set"))
+    table = [0] * (bits // 64)
+    for r in found.collect():                          # at most `bits` / 64 rows
+        table[r["word"]] = r["set"]
+    # one foldable expression, so the plan holds one literal and not one per word
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>"), bits
+
+
+def _hashes(k: int):
+    """Hashes of the shingles of ``k`` words of ``ws``, by position."""
+    return F.when(F.col("n") >= k, F.transform(F.sequence(F.lit(0), F.col("n") - k), lambda i: _shingle(F.col("ws"), i, k))) \
+            .otherwise(F.array().cast("array<bigint>"))
+
+
+def _positions(k: int, window: int, table, bits: int):
+    """Positions of words ``ws`` whose shingle of ``k`` words (hash in ``h<k>``) has its
+    bits in the table, each with all words that a window holding that shingle can reach."""
     back = window - k
-    slot = lambda i: F.pmod(_shingle(F.col("ws"), i, k), F.lit(slots)).cast("int") + 1
-    found = F.filter(F.sequence(F.lit(0), F.greatest(F.col("n") - k, F.lit(0))),
-                     lambda i: F.substring(table, slot(i), F.lit(1)) == F.lit(b"\x01"))
-    return F.transform(found, lambda i: F.struct(
-        i.alias("pos"), F.lit(k).alias("k"), F.greatest(i - back, F.lit(0)).alias("lo"),
-        F.slice("ws", F.greatest(i - back, F.lit(0)) + 1, F.least(i, F.lit(back)) + window).alias("ctx")))
+    is_set = lambda at: F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+    found = F.filter(F.transform(f"h{k}", lambda h, i: F.struct(h.alias("h"), i.alias("i"))),
+                     lambda x: is_set(_bits_of(x["h"], bits)[0]) & is_set(_bits_of(x["h"], bits)[1]))
+    return F.transform(found, lambda x: F.struct(
+        x["i"].alias("pos"), F.lit(k).alias("k"), F.greatest(x["i"] - back, F.lit(0)).alias("lo"),
+        F.slice("ws", F.greatest(x["i"] - back, F.lit(0)) + 1, F.least(x["i"], F.lit(back)) + window).alias("ctx")))
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -95,22 +123,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     keys = write_table(toks.select("tok").distinct().withColumn(
         "h", F.xxhash64(F.size("tok"), *[F.get("tok", F.lit(j)) for j in range(shingle)])), work_dir(spark, "bench-keys"))   # the hash skips missing words
 
-    # slots of the benchmark's shingle hashes: one byte each, bounded size
-    n_keys = keys.count()
-    slots = min(MAX_SLOTS, max(1 << 10, 1 << (32 * n_keys).bit_length()))
-    table = bytearray(slots)
-    slot = F.pmod("h", F.lit(slots))
-    bits = keys.groupBy(F.floor(slot / 64).cast("int").alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {slots}) % 64 AS int))")).alias("bits"))
-    for r in bits.collect():                                                          # at most `slots` / 64 rows
-        for b in range(64):
-            if r.bits >> b & 1:
-                table[64 * r["at"] + b] = 1
-    table = F.lit(bytes(table))
+    table, bits = bit_table(keys, keys.count())
 
     key = [F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key")]
     scan = docs.select(*key, words(F.col(text_col).cast("string")).alias("ws")).withColumn("n", F.size("ws"))
-    parts = [F.when(F.col("n") >= k, _positions(k, window, table, slots)).otherwise(F.array().cast(POSITIONS)) for k in lengths]
+    scan = scan.withColumns({f"h{k}": _hashes(k) for k in lengths})
+    parts = [_positions(k, window, table, bits) for k in lengths]
     cands = F.concat(F.array().cast(POSITIONS), *parts)
     scanned = write_table(scan.select("doc_id", "text_key", "n", cands.alias("c")), work_dir(spark, "doc-positions"))
 

@@ -270,6 +270,29 @@ def test_decontamination_of_hard_cases(spark, same, hard_docs, no_docs, dicts):
     assert decontaminate.decontaminate(no_docs, b).collect() == []
 
 
+def passing(df, table, bits):
+    """Rows of ``h`` whose two bits are set."""
+    row = df.agg(F.collect_list("h").alias("h3")).withColumn("n", F.size("h3") + 2).withColumn(
+        "ws", F.array_repeat(F.lit("w"), 1))
+    return row.select(F.size(decontaminate._positions(3, 13, table, bits)).alias("n")).first()["n"]
+
+
+def test_bit_table_grows_with_the_benchmark(spark):
+    hashes = lambda a, b: spark.range(a, b).select(F.xxhash64(F.lit(3), "id").alias("h"))
+    table, bits = decontaminate.bit_table(hashes(0, 200_000), 200_000)
+    assert bits == 1 << 22
+    assert passing(hashes(0, 20_000), table, bits) == 20_000             # none of its own is missed
+    assert passing(hashes(200_000, 240_000), table, bits) < 0.05 * 40_000
+    assert decontaminate.bit_table(hashes(0, 0), 0)[1] == 1 << 10
+
+
+def test_broadcast_sides_are_checked_in_rows_and_bytes(spark):
+    from fishladder.llm.common import small
+    df = spark.range(100).select(F.array_repeat(F.lit("item"), 50).alias("items"))
+    hinted = lambda x: "hint" in x._jdf.queryExecution().logical().toString().lower()
+    assert hinted(small(df)) and not hinted(small(df, limit=99)) and not hinted(small(df, limit_bytes=10_000))
+
+
 # --- 6: token counts ---------------------------------------------------------------------------------
 
 def test_token_counts_of_hard_cases(hard_docs, no_docs, same, dicts):
