@@ -11,7 +11,11 @@ twice or more. The last one compares 64-bit hashes of windows within a text.
 
 The bounds are wide: they are meant to drop texts that hardly contain prose
 (symbols behind every word, tables, shouting, one line or word again and again)
-and to keep any ordinary text, also short of stop words.
+and to keep any ordinary text, also short of stop words. The stop words are
+those of a few languages, so their rule judges only texts in the letters of
+these languages: a text with one letter in a hundred beyond them (Cyrillic,
+Greek, Han, Polish or Turkish letters) passes it. A text of another language
+that is written without such letters is judged by the rule.
 
 Defined cases: null text has no words and fails; ids may be null or repeated;
 other columns of the input are ignored; a rule whose denominator is 0 passes.
@@ -36,6 +40,10 @@ STOP_WORDS = ("the", "of", "and", "to", "in", "a", "is", "that", "for", "with",
               "le", "la", "les", "de", "des", "et", "en", "un", "une", "du",
               "el", "los", "las", "que", "y", "es", "por", "con", "del", "se")
 
+# Letters of the languages of the stop words.
+ALPHABET = "A-Za-zÀ-ÂÄÆ-ÏÑÓÔÖÙ-ÜßŒà-âäæ-ïñóôöù-üÿœ"
+NOT_FOREIGN = rf"[\P{{L}}{ALPHABET}]+"
+
 # (rule, measure, lower bound, upper bound); None: no bound. Ratios are per word,
 # per line or per character as the measure says.
 RULES = (
@@ -61,7 +69,9 @@ MEASURES = {
     "symbols_per_word": lambda: _ratio(F.col("n_symbols"), F.col("n_words")),
     "letter_share": lambda: _ratio(F.col("n_letters"), F.col("word_chars")),
     "capital_share": lambda: _ratio(F.col("n_capitals"), F.col("n_letters")),
-    "stop_word_share": lambda: _ratio(F.col("n_stop_words"), F.col("n_words")),
+    # null, so no verdict, where the letters are not those of the list
+    "stop_word_share": lambda: F.when(100 * F.col("n_foreign") <= F.col("n_letters"),
+                                      _ratio(F.col("n_stop_words"), F.col("n_words"))),
     "dup_line_share": lambda: _ratio(F.col("n_dup_lines"), F.col("n_lines")),
     "repeat_share": lambda: _ratio(F.col("n_repeat_words"), F.col("n_words")),
     "stutter_share": lambda: _ratio(F.col("n_stutters"), F.col("n_words")),
@@ -117,6 +127,7 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.size("lines").cast("long").alias("n_lines"),
         _left(F.col("t"), NOT_LETTER).cast("long").alias("n_letters"),
         _left(F.col("t"), NOT_UPPER).cast("long").alias("n_capitals"),
+        _left(F.col("t"), NOT_FOREIGN).cast("long").alias("n_foreign"),
         F.size(F.filter("ws", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         # words equal to the word before
         F.size(F.filter("ws", lambda w, i: F.coalesce(F.get("ws", i - 1) == w, F.lit(False)))).cast("long").alias("n_stutters"))
@@ -154,14 +165,15 @@ m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
              CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
              length(regexp_replace(t, '[^\p{L}]+', '', 'g')) AS n_letters,
              length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS n_capitals,
+             length(regexp_replace(t, '[\P{L}ALPHABET]+', '', 'g')) AS n_foreign,
              len(list_filter(ws, lambda x: list_contains([STOPS], lower(x)))) AS n_stop_words,
              len(list_filter(generate_series(2, len(ws)), lambda i: ws[i] = ws[i - 1])) AS n_stutters
       FROM d LEFT JOIN c USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 15.0 * n_words AND n_symbols <= 0.25 * n_words
-       AND n_letters >= 0.5 * word_chars AND n_capitals <= 0.6 * n_letters AND n_stop_words >= 0.01 * n_words
+       AND n_letters >= 0.5 * word_chars AND n_capitals <= 0.6 * n_letters AND (n_stop_words >= 0.01 * n_words OR 100 * n_foreign > n_letters)
        AND n_dup_lines <= 0.5 * n_lines AND 10 * n_repeat_words <= 3 * n_words
        AND n_stutters <= 0.25 * n_words AS kept
 FROM b
-""".replace("STOPS", ", ".join(f"'{w}'" for w in STOP_WORDS))
+""".replace("STOPS", ", ".join(f"'{w}'" for w in STOP_WORDS)).replace("ALPHABET", ALPHABET)

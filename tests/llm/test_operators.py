@@ -493,6 +493,25 @@ def test_repeated_words(spark, same, dicts):
     same(quality.quality(df), QUALITY, brute.op10(dicts(df, ("doc_id", "text"))))
 
 
+FOREIGN = {
+    "Polish": "Łodzie z całej wioski wracają wieczorem do portu, ponieważ wiatr znad morza jest wtedy łagodny. Rybacy "
+              "opowiadają swoim dzieciom, jak dawniej łowiono śledzie, i wspólnie naprawiają sieci przed następnym rankiem.",
+    "Russian": "Вечером лодки всей деревни возвращаются в гавань, потому что ветер с моря становится тихим. Рыбаки "
+               "рассказывают детям, как раньше ловили сельдь, и вместе чинят сети до следующего утра.",
+    "Turkish": "Akşam olunca köyün bütün kayıkları limana döner, çünkü denizden esen rüzgâr artık yumuşaktır. Balıkçılar "
+               "çocuklarına eskiden nasıl balık tutulduğunu anlatır ve ağları ertesi sabaha kadar birlikte onarırlar.",
+    "Greek": "Το βράδυ οι βάρκες όλου του χωριού γυρίζουν στο λιμάνι, γιατί ο άνεμος από τη θάλασσα είναι ήρεμος. Οι "
+             "ψαράδες λένε στα παιδιά πώς ψάρευαν παλιά και μαζί φτιάχνουν τα δίχτυα ως το επόμενο πρωί."}
+
+
+def test_stop_words_judge_only_texts_in_their_letters(spark):
+    junk = " ".join(f"kq{a}{b}zv" for a in "bcdfgh" for b in "jklmnp")                  # no stop word, plain letters
+    rows = [*FOREIGN.values(), junk, junk + " é", junk.replace("k", "ł") + " |#| " * 20, "ж " * 40]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    kept = [r["kept"] for r in quality.quality(df).orderBy("doc_id").collect()]
+    assert kept == [True] * len(FOREIGN) + [False] * 4
+
+
 def test_rules_drop_junk_and_keep_prose(spark):
     prose = "The boats of the village come back with the evening tide and the people wait for them in the harbour. "
     prose += "Nobody knows how long it takes until the last one is home and the lamps are out again."
