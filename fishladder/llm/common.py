@@ -49,6 +49,17 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS, limit_bytes: int = BROADCA
     return F.broadcast(df) if size <= limit_bytes else df
 
 
+def join_counted(rows: DataFrame, side: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join with ``side`` (written; one row per key, ``n`` counts the key's ``rows``).
+
+    Keys with over a thousandth of all ``total`` rows, fewer than 1,000 of them,
+    are broadcast, so that no key fills a task; the other keys are shuffled.
+    """
+    hot = F.broadcast(side.where(F.col("n") * 1000 > total).drop("n"))
+    cold = side.where(F.col("n") * 1000 <= total).drop("n")
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

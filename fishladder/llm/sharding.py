@@ -34,7 +34,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fishladder.llm.common import documents, work_dir, write_table
+from fishladder.llm.common import documents, join_counted, work_dir, write_table
 
 BUCKET_ROWS = 20_000
 RUN = 1 << 16
@@ -77,23 +77,23 @@ def schedule(sizes: list[tuple], shards: int) -> dict:
 
 
 def _group_shards(groups: DataFrame, shards: int) -> DataFrame:
-    """grp, shard for groups of (grp, bytes)."""
+    """grp, n, shard for groups of (grp, bytes, n)."""
     spark = groups.sparkSession
-    classes = write_table(groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")), work_dir(spark, "shard-classes"))
-    plan = list(schedule_classes([(r.bytes, r.n) for r in classes.collect()], shards))    # at most sqrt(2 x bytes) rows
+    classes = write_table(groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("groups")), work_dir(spark, "shard-classes"))
+    plan = list(schedule_classes([(r.bytes, r.groups) for r in classes.collect()], shards))    # at most sqrt(2 x bytes) rows
     plan = write_table(spark.createDataFrame(plan, "bytes long, ends array<long>"), work_dir(spark, "shard-plan"))
 
     # a group's rank in its class: groups of earlier buckets, then the order in its bucket
-    buckets = F.ceil(F.col("n") / BUCKET_ROWS)
-    sized = groups.join(classes, "bytes").select("grp", "bytes", F.pmod("grp", buckets).alias("bucket"))
+    buckets = F.ceil(F.col("groups") / BUCKET_ROWS)
+    sized = groups.join(classes, "bytes").select("grp", "n", "bytes", F.pmod("grp", buckets).alias("bucket"))
     counts = sized.groupBy("bytes", "bucket").agg(F.count(F.lit(1)).alias("in_bucket"))
     before = Window.partitionBy("bytes").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("bytes", "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("first"))
     order = Window.partitionBy("bytes", "bucket").orderBy("grp")
     ranked = (sized.withColumn("in_order", F.row_number().over(order) - 1).join(counts, ["bytes", "bucket"])
-              .select("grp", "bytes", (F.col("first") + F.col("in_order")).alias("rank")))
+              .select("grp", "n", "bytes", (F.col("first") + F.col("in_order")).alias("rank")))
     shard = F.size(F.filter("ends", lambda end: end <= F.col("rank")))
-    return write_table(ranked.join(plan, "bytes").select("grp", shard.cast("int").alias("shard")), work_dir(spark, "group-shards"))
+    return write_table(ranked.join(plan, "bytes").select("grp", "n", shard.cast("int").alias("shard")), work_dir(spark, "group-shards"))
 
 
 def assign_shards(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,10 +104,11 @@ def assign_shards(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_c
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("grp")), work_dir(spark, "shard-facts"))
 
-    groups = write_table(facts.groupBy("grp").agg(F.sum("size").alias("bytes")), work_dir(spark, "shard-groups"))
+    groups = facts.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    groups = write_table(groups, work_dir(spark, "shard-groups"))
     rows = facts.count()
     parts = max(1, -(-rows // (BUCKET_ROWS * shards)))
-    placed = (facts.join(_group_shards(groups, shards), "grp")
+    placed = (join_counted(facts, _group_shards(groups, shards), "grp", rows)
               .groupBy("shard", F.pmod(F.xxhash64("doc_id", "grp"), F.lit(parts)).alias("part"),
                        "doc_id", "size", "text_crc32", "grp").agg(F.count(F.lit(1)).alias("n")))
     placed = write_table(placed, work_dir(spark, "shard-rows"))
