@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fishladder.llm.common import documents, packed, prepare_workers, small, work_dir, write_table
+from fishladder.llm.common import BROADCAST_ROWS, documents, join_counted, packed, prepare_workers, small, work_dir, write_table
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 LIST = 2048
+LIMIT = BROADCAST_ROWS          # keys of a join side that may be broadcast whole
 CHUNK = 1 << 16
 
 
@@ -165,36 +166,46 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def joined(rows: DataFrame, side: DataFrame, key: str, total: int, fits: bool | None = None) -> DataFrame:
+    """Inner join of ``rows`` (``total`` of them) with ``side`` (written, one row
+    per key, ``n`` counts the key's ``rows``). A side of counted small size is
+    broadcast (``fits`` says so where it is known already); of a larger one only
+    the keys that hold many rows are, and the others are shuffled."""
+    if fits is None:
+        fits = small(side, LIMIT) is not side
+    return rows.join(F.broadcast(side.drop("n")), key) if fits else join_counted(rows, side, key, total)
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): smallest node of each component, for every linked node."""
+    """(node, root): smallest node of each component, for every linked node.
+
+    ``links``: distinct (a, b), a < b. A node with very many links fills no task:
+    its links are counted map-side, and ``joined`` keeps them where they are."""
     spark = links.sparkSession
-    e = write_table(links, work_dir(spark, "links"))
 
-    def stars(pairs: DataFrame) -> DataFrame:
-        """(u, v) with the smallest of u and its neighbours as m."""
-        low = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        return pairs.join(low, "u")
+    def written(df: DataFrame) -> DataFrame:
+        return write_table(df, work_dir(spark, "links"))
 
+    e = written(links)
     while True:
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")) \
-                .unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = stars(both).where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b")) \
-                           .where(F.col("a") < F.col("b")).distinct()
-        down = large.select(F.col("b").alias("u"), F.col("a").alias("v"))      # each node with its smaller neighbours
-        small_ = stars(down)
-        new = small_.select(F.col("m").alias("a"), F.col("v").alias("b")) \
-                    .unionByName(small_.select(F.col("m").alias("a"), F.col("u").alias("b"))) \
-                    .where(F.col("a") < F.col("b")).distinct()
-        new = write_table(new, work_dir(spark, "links"))
-        # done when every node has one link, to a root that is no one's leaf
-        roots = new.select("a").distinct()
-        leaves = new.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-        open_ = leaves.where(F.col("n") > 1).select("b").unionByName(
-            new.select("b").join(roots.withColumnRenamed("a", "b"), "b", "left_semi")).limit(1).count()
-        if not open_:
-            return new.select(F.col("b").alias("node"), F.col("a").alias("root")) \
-                      .unionByName(roots.select(F.col("a").alias("node"), F.col("a").alias("root")))
-        e = new
+        ends = e.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(0).alias("leaf")) \
+                .unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v"), F.lit(1).alias("leaf")))
+        low = written(ends.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"),
+                                            F.sum("leaf").alias("leaf")))
+        # done when every node is a root that is no one's leaf, or a leaf with one link
+        state = low.agg(F.count_if((F.col("leaf") > 0) & (F.col("n") > 1)).alias("open"),
+                        F.count_if(F.col("n") > F.col("leaf")).alias("heads")).first()
+        if not state["open"]:
+            return low.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        # large star: a node's greater neighbours go to the smallest of it and all its neighbours
+        heads = low.where(F.col("n") > F.col("leaf")).select(F.col("u").alias("a"), "m", (F.col("n") - F.col("leaf")).alias("n"))
+        large = written(joined(e, heads, "a", e.count(), state["heads"] <= LIMIT).select(F.col("m").alias("a"), "b").distinct())
+        # small star: a node and its smaller neighbours go to the smallest of these; with one of them nothing moves
+        first = written(large.groupBy("b").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("n")))
+        several = first.where(F.col("n") > 1)
+        e = written(joined(large, several, "b", large.count(), several.count() <= LIMIT)
+                    .select(F.col("m").alias("a"), F.col("a").alias("b")).where(F.col("a") < F.col("b"))
+                    .unionByName(first.select(F.col("m").alias("a"), "b")).distinct())
 
 
 def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
@@ -202,14 +213,17 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     """doc_id, text_key, fp, root (of the component) and component_id for every row."""
     spark = df.sparkSession
     docs = write_table(fingerprints(df, shingle, id_col, text_col), work_dir(spark, "fingerprints"))
-    nodes = write_table(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), work_dir(spark, "fingerprint-nodes"))
+    nodes = write_table(docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")),
+                        work_dir(spark, "fingerprint-nodes"))
     roots = components(near_links(nodes.select("fp"), max_bits))
     own = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-               .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+               .select("fp", "first", F.col("n").alias("rows"), F.coalesce("root", "fp").alias("root"))
     named = write_table(own, work_dir(spark, "fingerprint-roots"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = named.join(least, "root").select("fp", "root", "component_id")
-    return docs.join(names, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+    least = write_table(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")),
+                        work_dir(spark, "component-ids"))
+    names = write_table(joined(named, least, "root", named.count()).select("fp", "root", "component_id", F.col("rows").alias("n")),
+                        work_dir(spark, "fingerprint-names"))
+    return joined(docs, names, "fp", docs.count()).select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def keep_one(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
@@ -219,8 +233,9 @@ def keep_one(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id
     spark = df.sparkSession
     named = write_table(near_duplicates(df, shingle, max_bits, id_col, text_col), work_dir(spark, "components"))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = named.groupBy("root").agg(F.min(key).alias("first"))
-    marked = named.select("root", "doc_id", "text_key", key.alias("own")).join(first, "root")
+    first = write_table(named.groupBy("root").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")),
+                        work_dir(spark, "firsts"))
+    marked = joined(named.select("root", "doc_id", "text_key", key.alias("own")), first, "root", named.count())
     others = write_table(marked.where(~F.col("own").eqNullSafe(F.col("first"))).select("doc_id", "text_key").distinct(),
                          work_dir(spark, "others"))
     again = write_table(marked.where(F.col("own").eqNullSafe(F.col("first"))).groupBy("doc_id", "text_key")

@@ -419,12 +419,25 @@ def test_learned_scripts_of_three_byte_letters_stay(spark):
 
 # --- 9: SimHash ------------------------------------------------------------------------------------------------
 
-def test_simhash_of_hard_cases(hard_docs, no_docs, same, dicts):
+@pytest.mark.parametrize("limit", [simhash.LIMIT, 0])    # 0: no join side is broadcast whole
+def test_simhash_of_hard_cases(hard_docs, no_docs, same, dicts, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "LIMIT", limit)
     out = simhash.near_duplicates(hard_docs).select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
     same(out, SIM, brute.op9(dicts(hard_docs)))
     assert simhash.near_duplicates(no_docs).collect() == []
 
 
+@pytest.mark.parametrize("limit", [simhash.LIMIT, 0])
+def test_components_of_stars_and_chains(spark, monkeypatch, limit):
+    """Nodes with very many links, as head, leaf or middle of a chain."""
+    monkeypatch.setattr(simhash, "LIMIT", limit)
+    links = {(0, i) for i in range(1, 1500)} | {(i, 5000) for i in range(2000, 3500)} | {(i, i + 1) for i in range(6000, 6060)}
+    links |= {(3499, 6000), (7000, 7001), (7001, 7002), (7000, 7002)}
+    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(sorted(links), "a long, b long")).collect()}
+    want = {i: 0 for i in range(1500)} | {i: 2000 for i in [*range(2000, 3500), 5000, *range(6000, 6061)]}
+    assert got == want | {7000: 7000, 7001: 7000, 7002: 7000}
+
+
 def test_links_of_chains_and_crowds(spark):
     """Fingerprints in chains and balls: components as by comparing all pairs,
     also where lists are dealt into sublists."""
@@ -466,7 +479,9 @@ def test_links_of_chains_and_crowds(spark):
         assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
-def test_one_row_of_each_group_stays(spark, hard_docs, dicts, no_docs):
+@pytest.mark.parametrize("limit", [simhash.LIMIT, 0])
+def test_one_row_of_each_group_stays(spark, hard_docs, dicts, no_docs, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "LIMIT", limit)
     kept = simhash.keep_one(hard_docs)
     assert kept.columns == hard_docs.columns
     rows, docs = dicts(kept), dicts(hard_docs)
