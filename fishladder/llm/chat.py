@@ -32,6 +32,7 @@ import hashlib
 import re
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +90,8 @@ def format_turn(role: str, text: str) -> tuple[str, int, int]:
 
 LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 NAMES = ["conv_id", "part", "n_turns", "formatted", "loss"]
-SCHEMA = "conv_id long, part int, n_turns int, formatted string, loss array<struct<start:long,end:long>>"
+SCHEMA = "conv_id long, part long, n_turns int, formatted string, loss array<struct<start:long,end:long>>"
+RANGE_CHARS = 64                # of role and text, in the bounds of the ranges that turns are dealt into
 
 
 def _runs(batches):
@@ -101,7 +103,7 @@ def _runs(batches):
 def _table(rows) -> pa.RecordBatch:
     cols = list(zip(*rows))
     return pa.RecordBatch.from_arrays(
-        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
+        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
          pa.array(cols[3], pa.string()), pa.array(cols[4], LOSS)], names=NAMES)
 
 
@@ -109,15 +111,17 @@ def format_conversations(df: DataFrame, trained=TRAINED, part_chars: int = PART_
                          conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
     """conv_id, part, n_turns, formatted, loss ranges; the parts of a
-    conversation, joined in order, are its text. Conversations stream through
-    their task turn by turn; a task holds one part at a time."""
+    conversation, joined in order, are its text (part numbers rise with gaps).
+    Turns are dealt into ranges of (conversation, turn, role, text), so a very
+    long conversation is formatted by many tasks; a task goes through its range
+    turn by turn and holds one part at a time."""
     prepare_workers(df.sparkSession)
     src = df.select(F.col(conv_col).cast("long").alias("c"), F.col(turn_col).cast("long").alias("n"),
                     F.coalesce(F.col(role_col), F.lit("")).alias("r"), F.coalesce(F.col(text_col), F.lit("")).alias("x"))
 
     def run(batches):
-        out, held = [], 0
-        conv, part, blocks, loss, chars = None, 0, [], [], 0
+        out, held, base = [], 0, TaskContext.get().partitionId() << 32
+        conv, part, blocks, loss, chars = None, base, [], [], 0
 
         def close():
             out.append((conv, part, len(blocks), "".join(blocks), loss))
@@ -127,7 +131,7 @@ def format_conversations(df: DataFrame, trained=TRAINED, part_chars: int = PART_
             if blocks and (c != conv or chars + len(block) > part_chars):
                 close()
                 held += chars
-                part = part + 1 if c == conv else 0
+                part = part + 1 if c == conv else base
                 blocks, loss, chars = [], [], 0
                 if held >= part_chars:
                     yield _table(out)
@@ -142,7 +146,10 @@ def format_conversations(df: DataFrame, trained=TRAINED, part_chars: int = PART_
         if out:
             yield _table(out)
 
-    return src.repartition("c").sortWithinPartitions("c", "n", "r", "x").mapInArrow(run, SCHEMA)
+    # bounds go to the driver, so they hold short beginnings, in the order of the whole strings
+    short = F.char_length("r") <= RANGE_CHARS
+    bounds = ["c", "n", F.substring("r", 1, RANGE_CHARS), ~short, F.when(short, F.substring("x", 1, RANGE_CHARS))]
+    return src.repartitionByRange(*bounds).sortWithinPartitions("c", "n", "r", "x").mapInArrow(run, SCHEMA)
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

@@ -254,6 +254,24 @@ def test_conversations_of_hard_cases(spark, same):
     assert chat.conversation_digests(chat.format_conversations(df.where("false"))).collect() == []
 
 
+def test_a_conversation_of_a_third_of_all_rows(spark, same):
+    """It is formatted by several tasks; its parts, in order, are its text. Ties
+    in turn and long roles and texts with one beginning keep their order."""
+    rows = [(c, i, "assistant" if i % 2 else "user", f"turn {i} </turn>\n ### of {c}") for c in range(400) for i in range(10)]
+    rows += [(7000, i, "assistant" if i % 2 else "user", f"turn {i} \\### of {i}") for i in range(1400)]
+    rows += [(7000, 2000, role, text) for role in ("user", "r" * 64, "r" * 64 + "a", "r" * 65 + "é")
+             for text in [("x" * 70) + str(i) for i in range(150)]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    formatted = chat.format_conversations(df).persist()
+    tasks = formatted.where("conv_id = 7000").select((F.col("part") / (1 << 32)).cast("int")).distinct().count()
+    whole = "".join(r["formatted"] for r in formatted.where("conv_id = 7000").orderBy("part").collect())
+    assert tasks > 1 and [t[:2] for t in chat.parse(whole)] == [(r, x) for _, _, r, x in
+                                                                 sorted((t for t in rows if t[0] == 7000), key=lambda t: t[1:])]
+    same(chat.conversation_digests(formatted), CHAT,
+         [w for w in brute.op4([dict(zip(df.columns, r)) for r in rows]) if w[0] != -7])
+    formatted.unpersist()
+
+
 # --- 5: decontamination ---------------------------------------------------------------------------
 
 def test_decontamination_of_hard_cases(spark, same, hard_docs, no_docs, dicts):
