@@ -15,8 +15,9 @@ from fishladder.functions.dates import date_order_counts, parse_mixed_date_by
 from fishladder.operators import history as H
 from fishladder.operators import releases as R
 from fishladder.operators import summaries as S
+from fishladder.session import bound_tasks, input_bytes
 from fishladder.sources import driver as D
-from fishladder.sources.subtables import input_version, subtable
+from fishladder.sources.subtables import input_version, kept_subtable, path_exists, subtable
 
 REGISTRY: dict = {}
 
@@ -42,7 +43,10 @@ def query(name):
             outer = getattr(_STATE, "memo", None)
             _STATE.memo = {} if outer is None else outer
             try:
-                return naive_timestamps(fn(spark, sf)) if outer is None else fn(spark, sf)
+                if outer is not None:
+                    return fn(spark, sf)
+                bound_tasks(spark, tables_bytes(spark, sf))
+                return naive_timestamps(fn(spark, sf))
             finally:
                 _STATE.memo = outer
         run.__name__ = fn.__name__
@@ -64,6 +68,14 @@ def shared(fn):
     return get
 
 
+def table_paths(sf):
+    return [f"{sf.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "lineitem", "events")]
+
+
+def tables_bytes(spark, sf) -> int:
+    return input_bytes(spark, [p for p in table_paths(sf) if path_exists(spark, p)])
+
+
 @shared
 def inputs_version(spark, sf):
     return input_version(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "lineitem", "events")])

@@ -32,6 +32,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def input_version(spark: SparkSession, paths) -> str:
     """Digest of the files below ``paths``: path, length, modification time."""
     seen = hashlib.sha256()
@@ -52,9 +57,8 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def subtable(spark: SparkSession, name: str, params: tuple, version: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name(params)`` over inputs of ``version``; ``build`` makes it
-    where this session does not have it yet (or its folder is gone)."""
+def kept_subtable(spark: SparkSession, name: str, params: tuple, version: str) -> DataFrame | None:
+    """The table ``name(params)`` over inputs of ``version`` if this session has it."""
     with _LOCK:
         kept = _TABLES[spark.sparkContext.applicationId][(name, params)]
         for entry in [e for e in kept if e[0] == version]:
@@ -62,6 +66,17 @@ def subtable(spark: SparkSession, name: str, params: tuple, version: str, build:
             if fs.exists(p):
                 return spark.read.schema(entry[2]).parquet(entry[1])
             kept.remove(entry)
+        return None
+
+
+def subtable(spark: SparkSession, name: str, params: tuple, version: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``name(params)`` over inputs of ``version``; ``build`` makes it
+    where this session does not have it yet (or its folder is gone)."""
+    with _LOCK:
+        found = kept_subtable(spark, name, params, version)
+        if found is not None:
+            return found
+        kept = _TABLES[spark.sparkContext.applicationId][(name, params)]
         df, path = build(), work_folder(spark, name)
         df.write.parquet(path)
         kept.append((version, path, df.schema))
