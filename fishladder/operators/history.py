@@ -182,7 +182,7 @@ def juvenile_history(marks: DataFrame, det_dams: DataFrame, levels=None, by_tag:
     key (the year is compared beside it) and nothing is shuffled.
     """
     levels = L.DAM_LEVELS if levels is None else levels
-    wide = wide_first_detections(det_dams.where(F.col("dam_code").isNotNull()),
+    wide = wide_first_detections(det_dams.where(F.col("dam_code").isin(list(levels))),
                                  keys=("pit_id", "obs_year"), levels=levels)
     wide = wide.withColumnRenamed("pit_id", "_pid")
     in_year = F.col("release_year") - F.col("obs_year") == 0 if by_tag else F.col("release_year") == F.col("obs_year")
@@ -213,7 +213,10 @@ def inseason_travel(marks: DataFrame, det_first_site: DataFrame, dam_key: DataFr
     """
     from fishladder.operators.releases import release_group_dated_expr
     levels = L.DAM_LEVELS if levels is None else levels
-    det_dams = attach_dams(det_first_site, dam_key, "sitecode")
+    # a site outside the wanted dams fills no column; the site is a key of the first detections,
+    # so Spark drops such rows below that aggregation
+    sites = dam_key.where(F.col("dam_code").isin(list(levels))).select("sitecode")
+    det_dams = attach_dams(det_first_site.join(F.broadcast(sites), "sitecode", "left_semi"), dam_key, "sitecode")
     keys = ("pit_id", "_obs_year") if year_guard else ("pit_id",)
     if year_guard:
         det_dams = det_dams.withColumn("_obs_year", F.year("obs_datetime"))

@@ -78,19 +78,24 @@ def tables_bytes(spark, sf) -> int:
 
 @shared
 def inputs_version(spark, sf):
-    return input_version(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "lineitem", "events")])
+    return input_version(spark, table_paths(sf))
 
 
 def stored(fn):
     """A sub-table that several queries of a session read: built once per input
     version and kept in the shared folder. ``.direct`` is the plan itself, for
-    the query that stands for the operator."""
+    the query that stands for the operator; ``.kept`` the table if the session
+    has it already, else None."""
     direct = shared(fn)
 
     @shared
     def get(spark, sf, *args):
         return subtable(spark, fn.__name__, (sf, *args), inputs_version(spark, sf), lambda: direct(spark, sf, *args))
-    get.direct = direct
+
+    @shared
+    def kept(spark, sf, *args):
+        return kept_subtable(spark, fn.__name__, (sf, *args), inputs_version(spark, sf))
+    get.direct, get.kept = direct, kept
     return get
 
 
@@ -142,10 +147,22 @@ def inseason_first_per_site(spark, sf) -> DataFrame:
     return H.first_per_site(D.report(spark, sf))
 
 
+def inseason_travel_plan(spark, sf, levels=None) -> DataFrame:
+    return H.inseason_travel(marks_v(spark, sf), inseason_first_per_site(spark, sf), D.dam_key(spark),
+                             D.upstream_tags(spark, sf), levels=levels, release_dates=D.RELEASE_DATES)
+
+
 @stored
 def inseason_travel_df(spark, sf) -> DataFrame:
-    return H.inseason_travel(marks_v(spark, sf), inseason_first_per_site(spark, sf), D.dam_key(spark),
-                             D.upstream_tags(spark, sf), release_dates=D.RELEASE_DATES)
+    return inseason_travel_plan(spark, sf)
+
+
+def inseason_travel_at(spark, sf, dams) -> DataFrame:
+    """The travel table with the columns of ``dams`` (at least), for a table counted
+    from it: the kept table where the session has it. A session that does not have
+    it makes no table of all dams and columns only to read a few of them."""
+    kept = inseason_travel_df.kept(spark, sf)
+    return inseason_travel_plan(spark, sf, dams) if kept is None else kept
 
 
 @shared
@@ -518,7 +535,7 @@ def juveniles_df(spark, sf, species="Chinook") -> DataFrame:
 @stored
 def arrivals_df(spark, sf, species, dam) -> DataFrame:
     """Counted arrivals behind the timing panels of a species and a dam."""
-    return B.arrivals(inseason_travel_df(spark, sf), species, dam, own(species))
+    return B.arrivals(inseason_travel_at(spark, sf, [dam]), species, dam, own(species))
 
 
 @shared

@@ -63,3 +63,34 @@ def test_registered_queries_size_their_tasks(spark, conf, monkeypatch):
     assert int(conf.get(INITIAL)) == 11 and n > 0
     monkeypatch.undo()
     assert Q.tables_bytes(spark, SF) > 0 and Q.tables_bytes(spark, "/root/testdata/nothing") == 0
+
+
+def test_timing_and_density_make_no_table_of_all_dams(spark, no_tables):
+    got = {name: rows(Q.REGISTRY[name](spark, SF)) for name in ("timing_summary", "b04")}
+    assert "arrivals_df" in no_tables() and "inseason_travel_df" not in no_tables()
+    travel = Q.inseason_travel_df(spark, SF)                              # from now on the session has it
+    assert "inseason_travel_df" in no_tables()
+    whole = B.timing_summary(travel, "Chinook", "LGR", Q.own("Chinook"))
+    assert got["timing_summary"] == rows(Q.naive_timestamps(whole))
+    assert got["b04"] == rows(Q._rounded_density(B.arrival_density(travel, "Chinook", "BONN", Q.own("Chinook"))))
+    assert Q.inseason_travel_at(spark, SF, ["LGR"]).columns == travel.columns
+
+
+def test_travel_of_some_dams_equals_the_whole_table(spark):
+    first = H.first_per_site(D.report(spark, SF))
+    made = lambda levels: H.inseason_travel(
+        D.marks(spark, SF), first, D.dam_key(spark), D.upstream_tags(spark, SF), levels=levels, release_dates=D.RELEASE_DATES)
+    some, whole = made(["BONN"]), made(None)
+    assert rows(some) == rows(whole, *some.columns)
+    # other dams' sites are dropped below the first detections
+    lines = some._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "Aggregate" in line and "site#" in line)
+    assert any("LeftSemi" in line and "sitecode" in line for line in lines[at:])
+
+
+def test_observation_time_is_ship_date_plus_minutes(spark):
+    li = spark.sql("SELECT * FROM VALUES (1L, 61L, 1, 'A', TIMESTAMP_NTZ '1999-12-31 23:30:00.000001'), "
+                   "(2L, 300000L, 2, 'A', TIMESTAMP_NTZ '1969-01-01 00:00:00'), (3L, NULL, 2, 'A', TIMESTAMP_NTZ '1999-01-01 00:00:00'), "
+                   "(4L, 5L, 2, 'A', NULL) AS t(l_orderkey, l_suppkey, l_linenumber, l_returnflag, l_shipdate)")
+    got = {r["pit_id"]: r["t"] for r in D.report_rows(li).select("pit_id", F.col("obs_datetime").cast("timestamp_ntz").alias("t")).collect()}
+    assert got == {1: T(2000, 1, 1, 0, 31, 0, 1), 2: T(1969, 7, 28, 8, 0), 3: None, 4: None}
