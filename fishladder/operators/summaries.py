@@ -10,6 +10,7 @@ from fishladder.operators.quantiles import bucket, quantiles_of_counts
 from fishladder.operators.verbs import join_null_safe, union_all
 
 SUMMARY_KEYS = ["hatchery", "species", "release_year", "release_group"]
+SUMMARY_DAMS = ["LGR", "BONN"]
 
 
 def stacked_counts(df: DataFrame, keys, measures: dict) -> DataFrame:
@@ -33,16 +34,22 @@ def grouped_medians(df: DataFrame, keys, measures: dict, width=None) -> DataFram
 
 
 DAY_MICROS = 86_400_000_000
+# Days of a median's bucket: a group has some hundred buckets, so the table of buckets stays
+# far smaller than the counts, and a bucket holds a small part of a group's values.
+BUCKET_DAYS = 8
 
 
 def summary_counts(hist: DataFrame, upper: str = "LGR", lower: str = "BONN", keys=None) -> DataFrame:
     """What ``emigration_summary`` needs of the histories, in one aggregation:
-    rows per group, measure and value of travel days, arrival times and release days."""
+    rows per group, measure and value of travel days, arrival times and release days.
+    Every history has a release row (also an undated one), so its missing days and
+    times need none; Spark drops them before they are counted."""
     keys = SUMMARY_KEYS if keys is None else list(keys)
-    return stacked_counts(hist, keys, {
+    counts = stacked_counts(hist, keys, {
         "_mu_t": F.col(f"{upper.lower()}_traveltime"), "_ml_t": F.col(f"{lower.lower()}_traveltime"),
         "_mu_d": micros(F.col(upper)), "_ml_d": micros(F.col(lower)),
         "_rel": F.datediff(F.col("release_date").cast("date"), F.lit("1970-01-01").cast("date"))})
+    return counts.where((F.col("_m") == "_rel") | F.col("_v").isNotNull())
 
 
 def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
@@ -51,22 +58,28 @@ def emigration_summary(hist: DataFrame, upper: str = "LGR", lower: str = "BONN",
     return summary_of_counts(summary_counts(hist, upper, lower, keys), upper, lower, keys)
 
 
-def summary_of_counts(counts: DataFrame, upper: str = "LGR", lower: str = "BONN", keys=None) -> DataFrame:
-    """Per hatchery x species x release year x group: floor of the median
-    travel days, date of the median arrival and detection count at the upper
-    and lower dam, and the first/last release day as 'Month dd'.
+def _measure(m: str):
+    return F.col("_m") == m
 
-    ``counts`` is ``summary_counts`` of the histories: counts, first and last
-    days and all four medians come from that table, which is read twice.
-    """
-    keys = SUMMARY_KEYS if keys is None else list(keys)
-    lo_u, lo_l = upper.lower(), lower.lower()
-    is_ = lambda m: F.col("_m") == m
-    counts = counts.where(is_("_rel") | F.col("_v").isNotNull())
-    # buckets of the medians: single days for travel times, days of arrival; the release days are one bucket
+
+def _bucketed(counts: DataFrame) -> DataFrame:
+    """``_b``: buckets of the medians, days of travel and of arrival; the release days are one bucket."""
+    counts = counts.where(_measure("_rel") | F.col("_v").isNotNull())
     arrival = F.col("_m").isin("_mu_d", "_ml_d")
-    counts = counts.withColumn("_b", F.when(arrival, bucket(F.col("_v"), DAY_MICROS)).when(~is_("_rel"), F.col("_v")))
+    return counts.withColumn("_b", F.when(arrival, bucket(F.col("_v"), BUCKET_DAYS * DAY_MICROS))
+                             .when(~_measure("_rel"), bucket(F.col("_v"), BUCKET_DAYS)))
+
+
+def _median_ranks():
+    half = (F.col("_n") - 1) * F.lit(0.5)
+    return half, F.floor(half) + 1, F.ceil(half) + 1
+
 
+def median_buckets(counts: DataFrame, keys=None) -> DataFrame:
+    """Of ``summary_counts``: the buckets that hold a group's medians, and its
+    release row with detection counts and first/last days (nine rows a group at most)."""
+    keys = SUMMARY_KEYS if keys is None else list(keys)
+    is_, counts = _measure, _bucketed(counts)
     # one row per group, measure and bucket: everything but the medians, and where their ranks lie
     hist = counts.groupBy(*keys, "_m", "_b").agg(
         F.sum("_c").alias("_t"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
@@ -79,12 +92,36 @@ def summary_of_counts(counts: DataFrame, upper: str = "LGR", lower: str = "BONN"
         "_before": F.sum("_t").over(upto) - F.col("_t"), "_n": F.sum("_t").over(measure),
         "_seen_u": seen("_mu_d"), "_seen_l": seen("_ml_d"), "_first": rel(F.min, "_lo"), "_last": rel(F.max, "_hi"),
         "_undated": rel(F.max, "_nulls")})
-    half = (F.col("_n") - 1) * F.lit(0.5)
-    lo_rank, hi_rank = F.floor(half) + 1, F.ceil(half) + 1
+    _, lo_rank, hi_rank = _median_ranks()
     held = lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_t"))
     # a group's release row carries its counts and dates through, also where there is no median
-    cells = join_null_safe(counts, hist.where(is_("_rel") | held(lo_rank) | held(hi_rank)).drop("_lo", "_hi", "_nulls"),
-                           keys + ["_m", "_b"])
+    return hist.where(is_("_rel") | held(lo_rank) | held(hi_rank)).drop("_lo", "_hi", "_nulls")
+
+
+# Buckets of medians up to which their written table is broadcast.
+BUCKET_ROWS = 500_000
+
+
+def summary_of_counts(counts: DataFrame, upper: str = "LGR", lower: str = "BONN", keys=None,
+                      buckets: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Per hatchery x species x release year x group: floor of the median
+    travel days, date of the median arrival and detection count at the upper
+    and lower dam, and the first/last release day as 'Month dd'.
+
+    ``counts`` is ``summary_counts`` of the histories: counts, first and last
+    days and all four medians come from that table, which is read twice.
+    ``buckets`` is the written ``median_buckets`` table of the same counts where
+    the caller keeps one; it is broadcast after its rows were counted, so the
+    counts are not shuffled to find the few values beside the medians.
+    """
+    keys = SUMMARY_KEYS if keys is None else list(keys)
+    lo_u, lo_l, is_ = upper.lower(), lower.lower(), _measure
+    if buckets is None:
+        buckets = median_buckets(counts, keys)
+    elif buckets.count() <= bucket_rows:
+        buckets = F.broadcast(buckets)
+    half, lo_rank, hi_rank = _median_ranks()
+    cells = join_null_safe(_bucketed(counts), buckets, keys + ["_m", "_b"])
     at = F.sum("_c").over(Window.partitionBy(*keys, "_m", "_b").orderBy("_v")
                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cells = cells.withColumn("_upto", F.col("_before") + at)

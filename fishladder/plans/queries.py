@@ -306,12 +306,24 @@ def q_years_at_large(spark, sf):
 @stored
 def history_counts(spark, sf) -> DataFrame:
     """What all summaries of the histories are made of."""
-    return S.summary_counts(juvenile_history_df(spark, sf))
+    kept = marks_table_v.kept(spark, sf)
+    marks = marks_table_v.direct(spark, sf) if kept is None else kept
+    return S.summary_counts(H.juvenile_history(marks, hist_detections_with_dams(spark, sf), S.SUMMARY_DAMS))
 
 
 @stored
 def inseason_counts(spark, sf) -> DataFrame:
-    return S.summary_counts(inseason_travel_df(spark, sf))
+    return S.summary_counts(inseason_travel_at(spark, sf, S.SUMMARY_DAMS))
+
+
+@stored
+def history_buckets(spark, sf) -> DataFrame:
+    return S.median_buckets(history_counts(spark, sf))
+
+
+@stored
+def inseason_buckets(spark, sf) -> DataFrame:
+    return S.median_buckets(inseason_counts(spark, sf))
 
 
 @query("juvenile_history")
@@ -327,7 +339,8 @@ def q_emigration_summary(spark, sf):
 @query("emigration_all")
 def q_emigration_all(spark, sf):
     hist, cur = history_counts(spark, sf), inseason_counts(spark, sf)
-    return S.emigration_all(S.summary_of_counts(hist), S.summary_of_counts(cur))
+    return S.emigration_all(S.summary_of_counts(hist, buckets=history_buckets(spark, sf)),
+                            S.summary_of_counts(cur, buckets=inseason_buckets(spark, sf)))
 
 
 # --- adult passage -----------------------------------------------------------------------------

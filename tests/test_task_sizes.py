@@ -76,6 +76,15 @@ def test_timing_and_density_make_no_table_of_all_dams(spark, no_tables):
     assert Q.inseason_travel_at(spark, SF, ["LGR"]).columns == travel.columns
 
 
+def test_emigration_makes_no_wide_tables(spark, no_tables):
+    got = rows(Q.REGISTRY["emigration_all"](spark, SF))
+    assert not {"inseason_travel_df", "marks_table_v"} & no_tables()
+    assert {"history_counts", "inseason_counts"} <= no_tables()
+    want = S.emigration_all(S.emigration_summary(Q.juvenile_history_df(spark, SF)),
+                            S.emigration_summary(Q.inseason_travel_df(spark, SF)))
+    assert got == rows(want, *Q.REGISTRY["emigration_all"](spark, SF).columns)
+
+
 def test_travel_of_some_dams_equals_the_whole_table(spark):
     first = H.first_per_site(D.report(spark, SF))
     made = lambda levels: H.inseason_travel(
@@ -94,3 +103,36 @@ def test_observation_time_is_ship_date_plus_minutes(spark):
                    "(4L, 5L, 2, 'A', NULL) AS t(l_orderkey, l_suppkey, l_linenumber, l_returnflag, l_shipdate)")
     got = {r["pit_id"]: r["t"] for r in D.report_rows(li).select("pit_id", F.col("obs_datetime").cast("timestamp_ntz").alias("t")).collect()}
     assert got == {1: T(2000, 1, 1, 0, 31, 0, 1), 2: T(1969, 7, 28, 8, 0), 3: None, 4: None}
+
+
+def histories(spark):
+    """Groups with many arrivals, one with none, one with an undated release, one without a name."""
+    df = spark.range(400).select((F.col("id") % 4).alias("g"), F.col("id").alias("i"))
+    at = F.when(F.col("g") != 1, F.timestamp_seconds(F.lit(900_000_000) + F.col("i") * 7919 * (F.col("i") % 37)))
+    return df.select(F.when(F.col("g") < 3, F.concat(F.lit("H"), F.col("g").cast("string"))).alias("hatchery"),
+                     F.lit("Chinook").alias("species"), F.lit(1998).alias("release_year"), F.lit("x").alias("release_group"),
+                     at.alias("LGR"), F.when(F.col("i") % 3 == 0, at).alias("BONN"),
+                     (F.col("i") % 200).alias("lgr_traveltime"), (F.col("i") % 90 - 45).alias("bonn_traveltime"),
+                     F.when(F.col("i") != 2, F.lit("1998-04-05").cast("date")).alias("release_date"))
+
+
+def test_counts_keep_missing_values_only_of_releases(spark):
+    counts = S.summary_counts(histories(spark))
+    assert counts.where(F.col("_v").isNull()).select("_m").distinct().collect() == [("_rel",)]
+    assert counts.where("_m = '_rel'").agg(F.sum("_c")).first()[0] == 400
+
+
+def test_summary_from_written_buckets(spark):
+    hist = histories(spark)
+    counts = S.summary_counts(hist)
+    buckets = subtables.scratch_table(spark, "buckets", S.median_buckets(counts))
+    want = hist.groupBy("hatchery").agg(
+        F.floor(F.expr("median(lgr_traveltime)")).alias("median_lgr"), F.floor(F.expr("median(bonn_traveltime)")).alias("median_bonn"),
+        F.to_date(F.timestamp_micros(F.expr("floor(median(unix_micros(LGR)))").cast("long"))).alias("median_lgr_date"),
+        F.count("LGR").alias("lgr_detections"), F.count("BONN").alias("bonn_detections"))
+    for made in (S.summary_of_counts(counts), S.summary_of_counts(counts, buckets=buckets),
+                 S.summary_of_counts(counts, buckets=buckets, bucket_rows=0)):
+        assert rows(made, *want.columns) == rows(want)
+    near = S.summary_of_counts(counts, buckets=buckets)._jdf.queryExecution().optimizedPlan().toString()
+    far = S.summary_of_counts(counts, buckets=buckets, bucket_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in near and "strategy=broadcast" not in far
